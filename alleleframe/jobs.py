@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from alleleframe.operators import metering  # noqa: E402
 from alleleframe.plans import ingest, reports  # noqa: E402
-from alleleframe.session import session_builder  # noqa: E402
-from alleleframe.sinks.storage import stored_size  # noqa: E402
+from alleleframe.session import session_builder, size_shuffles  # noqa: E402
+from alleleframe.sinks.storage import input_bytes, stored_size  # noqa: E402
 from alleleframe.sources import tables  # noqa: E402
 
 
@@ -64,9 +64,9 @@ def convert_genes(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    merged = ingest.merged_variants(
-        open_source(spark, args.variants), open_source(spark, args.annotations)
-    )
+    variants, annotations = open_source(spark, args.variants), open_source(spark, args.annotations)
+    size_shuffles(spark, input_bytes(variants) + input_bytes(annotations))
+    merged = ingest.merged_variants(variants, annotations)
     ingest.publish_annotations(merged, args.output, args.table)
 
 

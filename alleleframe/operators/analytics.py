@@ -23,6 +23,12 @@ def row_count(df: DataFrame, where: Column | None = None, name: str = "cnt") ->
     return _matching(df, where).agg(F.count("*").alias(name))
 
 
+def preview(df: DataFrame, n: int = 10, order: Sequence[str] = ()) -> DataFrame:
+    """At most ``n`` rows to print; which ones is only fixed with ``order``."""
+    ordered = df.orderBy(*[quoted(c).asc_nulls_first() for c in order]) if order else df
+    return ordered.limit(n)
+
+
 def value_counts(
     df: DataFrame, key: str, where: Column | None = None, k: int | None = 25
 ) -> DataFrame:

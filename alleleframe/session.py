@@ -42,3 +42,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = spark.sparkContext.getCheckpointDir()
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/alleleframe-{app}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one folder made by ``scratch_path`` of this application."""
+    if f"/alleleframe-{spark.sparkContext.applicationId}/" not in path:
+        raise ValueError(f"not a scratch folder of this application: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, mb_per_partition: int = 64) -> int:
+    """Raise the number of shuffle partitions to fit ``input_bytes``; never lower it.
+
+    Compressed input grows a few times in a shuffle, so 64 MB of files stay
+    well inside a task's memory. Adaptive execution merges what is too small.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-input_bytes // (mb_per_partition * 1024 * 1024)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+STATISTICS = ("min", "max", "num_nulls", "distinct_count", "max_col_len")
 _COMPLEX = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -34,19 +33,10 @@ def collect_statistics(
 
 def column_statistics(spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:
     """Stored statistics, one row per column; reads the catalog, not the data."""
-    rows = []
+    entries = []
     for name in columns:
-        described = spark.sql(f"DESCRIBE EXTENDED {table} {_quote(name)}")
-        rows.append(
-            described.groupBy()
-            .pivot("info_name", ["min", "max", "num_nulls", "distinct_count", "max_col_len"])
-            .agg(F.first("info_value"))
-            .select(
-                F.lit(name).alias("column_name"),
-                *[
-                    F.nullif(F.col(c), F.lit("NULL")).alias(c)
-                    for c in ("min", "max", "num_nulls", "distinct_count", "max_col_len")
-                ],
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b), rows)
+        described = spark.sql(f"DESCRIBE EXTENDED {table} {_quote(name)}").collect()
+        stored = {r.info_name: None if r.info_value == "NULL" else r.info_value for r in described}
+        entries.append((name, *[stored.get(s) for s in STATISTICS]))
+    schema = ", ".join(f"{c} string" for c in ("column_name", *STATISTICS))
+    return spark.createDataFrame(entries, schema)

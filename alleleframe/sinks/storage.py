@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import quoted
-from alleleframe.session import scratch_path
+from alleleframe.session import drop_scratch, scratch_path
 
 TARGET_FILE_MB = 256
 _BYTES_PER_MB = 1024 * 1024
@@ -46,6 +46,12 @@ def stored_size(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the folders that the files of ``df`` lie in."""
+    folders = sorted({file.rsplit("/", 1)[0] for file in df.inputFiles()})
+    return stored_size(df.sparkSession, folders).first().total_bytes if folders else 0
+
+
 def target_file_count(total_bytes: int, target_mb: int = TARGET_FILE_MB) -> int:
     return max(int(total_bytes / _BYTES_PER_MB / target_mb), 1)
 
@@ -80,7 +86,8 @@ def write_clustered(
     ``df`` is first written once, unsorted, to the shared scratch folder. This
     gives the compressed size that sets the file count, and it keeps the
     sampling pass of the range partitioning from running the parse or join
-    behind ``df`` a second time; a lost executor restarts from there too.
+    behind ``df`` a second time; a lost executor restarts from there too. The
+    staged copy is deleted once the result is written.
     """
     spark = df.sparkSession
     staged = scratch_path(spark, "stage")
@@ -88,6 +95,9 @@ def write_clustered(
     count = target_file_count(stored_size(spark, staged).first().total_bytes, target_mb)
     clustered = cluster_files(spark.read.parquet(staged), keys, count)
     if table:
-        return save_external_table(clustered, table, path, partition_by)
-    write_parquet(clustered, path, partition_by)
-    return spark.read.parquet(path)
+        written = save_external_table(clustered, table, path, partition_by)
+    else:
+        write_parquet(clustered, path, partition_by)
+        written = spark.read.parquet(path)
+    drop_scratch(spark, staged)
+    return written

@@ -51,3 +51,9 @@ def shard_names(pattern: str) -> list[str]:
 def union_shards(shards: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name; shards whose columns differ raise."""
     return reduce(lambda left, right: left.unionByName(right), shards)
+
+
+def register_view(df: DataFrame, name: str) -> DataFrame:
+    """Name ``df`` for SQL text in this session."""
+    df.createOrReplaceTempView(name)
+    return df

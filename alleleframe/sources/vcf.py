@@ -157,6 +157,9 @@ def read_vcf(
         header = header_lines(spark, sorted(lines.inputFiles())[0])
     elif isinstance(header, str):
         header = header_lines(spark, header)
+    header = list(header)
+    if not any(line.startswith("##") for line in header):
+        raise ValueError("no VCF header found; name the file that has it with header=")
     declared = info_fields(header)
     if fields is not None:
         unknown = set(fields) - {f.name for f in declared}

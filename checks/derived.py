@@ -176,20 +176,33 @@ def vcf_lines(nested: DataFrame) -> DataFrame:
 
 
 def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotations under the column names of the source files, all strings."""
+    """Annotations under the column names of the source files, all strings.
+
+    At most one row per key and label, so that a key repeats a few times and a
+    join never pairs all lines of a hot key with each other.
+    """
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") <= 4)
     parts = table(spark, sf_dir, "part")
-    return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
-        bare_chromosome_of(F.col("l_partkey")).alias("#chr"),
-        F.col("l_orderkey").cast("string").alias("pos(1-based)"),
-        F.col("l_returnflag").alias("ref"),
-        F.col("l_linestatus").alias("alt"),
-        F.when(F.col("p_size") % 10 == 0, None)
-        .when(F.col("p_size") % 10 == 1, "")
-        .otherwise(F.col("p_brand"))
-        .alias("genename"),
-        F.col("p_type").alias("clinvar_clnsig"),
-        F.col("l_tax").cast("string").alias("gnomAD_genomes_AF"),
+    size = F.col("size")
+    return (
+        lines.join(parts, lines.l_partkey == parts.p_partkey)
+        .groupBy(
+            bare_chromosome_of(F.col("l_partkey")).alias("#chr"),
+            F.col("l_orderkey").cast("string").alias("pos(1-based)"),
+            F.col("l_returnflag").alias("ref"),
+            F.col("l_linestatus").alias("alt"),
+            F.col("p_type").alias("clinvar_clnsig"),
+        )
+        .agg(F.max("p_size").alias("size"), F.max("l_tax").alias("tax"))
+        .select(
+            *["#chr", "`pos(1-based)`", "ref", "alt"],
+            F.when(size % 10 == 0, None)
+            .when(size % 10 == 1, "")
+            .otherwise(F.concat(F.lit("Brand#"), size.cast("string")))
+            .alias("genename"),
+            "clinvar_clnsig",
+            F.col("tax").cast("string").alias("gnomAD_genomes_AF"),
+        )
     )
 
 

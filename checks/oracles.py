@@ -63,17 +63,18 @@ flat AS (
  WHERE allele < l_linenumber % 3
 )"""
 
-_GENE_OF_PART = (
-    "CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 10 = 1 THEN '' ELSE p_brand END"
-)
-
 NOTES = f"""
 notes AS (
- SELECT 'chr' || {_CHROMOSOME.format(key="l_partkey")} AS chromosome,
-  l_orderkey AS start_position, l_returnflag AS refallele, l_linestatus AS altallele,
-  {_GENE_OF_PART} AS genename, p_type AS clinvar_clnsig,
-  CAST(l_tax AS VARCHAR) AS gnomAD_genomes_AF
- FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 4
+ SELECT chromosome, start_position, refallele, altallele,
+  CASE WHEN size % 10 = 0 THEN NULL WHEN size % 10 = 1 THEN '' ELSE 'Brand#' || size END
+   AS genename, clinvar_clnsig, CAST(tax AS VARCHAR) AS gnomAD_genomes_AF
+ FROM (
+  SELECT 'chr' || {_CHROMOSOME.format(key="l_partkey")} AS chromosome,
+   l_orderkey AS start_position, l_returnflag AS refallele, l_linestatus AS altallele,
+   p_type AS clinvar_clnsig, MAX(p_size) AS size, MAX(l_tax) AS tax
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 4
+  GROUP BY ALL
+ )
 )"""
 
 MERGED = f"""
@@ -259,23 +260,27 @@ WHERE LENGTH(text) <= 65535 OR text IS NULL""",
     "union_shards": """SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier""",
     "annotate_left_join": f"WITH {FLAT}, {NOTES}, {MERGED} SELECT * FROM merged",
-    "annotate_hot_keys": """SELECT o_orderkey AS id, o_custkey AS key,
- COUNT(l_returnflag) AS notes, MAX(l_returnflag) AS last_flag
-FROM orders LEFT JOIN (
- SELECT CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_suppkey * 16 END AS note_key, l_returnflag
- FROM lineitem) ON o_custkey = note_key
-GROUP BY o_orderkey, o_custkey""",
-    "string_key_join": """SELECT o_orderkey AS start_position, o_orderstatus, l_returnflag
-FROM orders LEFT JOIN (
- SELECT TRY_CAST(CASE WHEN l_linenumber = 1 THEN l_orderkey || 'x'
-  ELSE CAST(l_orderkey AS VARCHAR) END AS BIGINT) AS pos, l_returnflag FROM lineitem)
- ON o_orderkey = pos""",
+    "annotate_hot_keys": """SELECT customers.key, l_orderkey, l_returnflag
+FROM (SELECT DISTINCT c_custkey AS key FROM customer) customers LEFT JOIN (
+ SELECT CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_suppkey * 16 END AS key,
+  l_orderkey, l_returnflag FROM lineitem) notes ON customers.key = notes.key""",
+    "string_key_join": """SELECT l_orderkey AS start_position, l_linenumber, o_orderstatus
+FROM lineitem LEFT JOIN (
+ SELECT DISTINCT TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN o_orderkey || 'x'
+  ELSE CAST(o_orderkey AS VARCHAR) END AS BIGINT) AS pos, o_orderstatus FROM orders)
+ ON l_orderkey = pos""",
     "gene_inner_join": f"""WITH {VARIANTS}, {GENES}
 SELECT chromosome, start_position, refallele, altallele, genename, genes.*
 FROM variants JOIN genes ON genename = Gene_name""",
     "variant_count": f"WITH {VARIANTS} SELECT COUNT(*) AS cnt FROM variants",
     "known_significance_count": f"""WITH {VARIANTS}
 SELECT COUNT(*) AS cnt FROM variants WHERE clinvar_clnsig IS NOT NULL""",
+    "preview": """SELECT doc_id, lang, n_chars FROM documents
+ORDER BY lang NULLS FIRST, doc_id NULLS FIRST LIMIT 10""",
+    "sql_view": f"""WITH {VARIANTS}
+SELECT chromosome, COUNT(*) AS count, MAX(info_af) AS info_af_max FROM variants
+WHERE info_af < CAST(0.5 AS DOUBLE) AND clinvar_review IS NOT NULL AND refallele <> 'N'
+GROUP BY chromosome""",
     "vcf_ingest": f"""WITH {FLAT}
 SELECT contigName, start, start + LENGTH(referenceAllele) - 1 AS "end", referenceAllele,
  filters, alternateAllele, INFO_AF, INFO_AF_XX, INFO_AF_XY, INFO_AN, INFO_lcr FROM flat""",

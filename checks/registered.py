@@ -200,32 +200,28 @@ def annotate_left_join(spark, sf_dir):
 
 def annotate_hot_keys(spark, sf_dir):
     """Left join where one key holds a third of the annotations."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("id")
-    )
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")).distinct()
     notes = table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_suppkey") * 16).alias("key"),
+        "l_orderkey",
         "l_returnflag",
     )
-    joined = left_join_on_keys(orders, notes, ["key"], hot_key_hashes(notes, ["key"]))
-    return joined.groupBy("id", "key").agg(
-        F.count("l_returnflag").alias("notes"), F.max("l_returnflag").alias("last_flag")
-    )
+    return left_join_on_keys(customers, notes, ["key"], hot_key_hashes(notes, ["key"]))
 
 
 def string_key_join(spark, sf_dir):
-    """Text positions, some not numbers, joined with numeric ones."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("start_position"), "o_orderstatus"
-    )
-    key = F.col("l_orderkey").cast("string")
+    """Numeric positions joined with text ones, some of which are not numbers."""
     lines = table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linenumber") == 1, F.concat(key, F.lit("x")))
+        F.col("l_orderkey").alias("start_position"), "l_linenumber"
+    )
+    key = F.col("o_orderkey").cast("string")
+    states = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", F.concat(key, F.lit("x")))
         .otherwise(key)
         .alias("start_position"),
-        "l_returnflag",
+        "o_orderstatus",
     )
-    return left_join_on_keys(orders, numeric_position(lines), ["start_position"])
+    return left_join_on_keys(lines, numeric_position(states).distinct(), ["start_position"])
 
 
 def gene_inner_join(spark, sf_dir):
@@ -247,6 +243,29 @@ def known_significance_count(spark, sf_dir):
     return analytics.row_count(variants, F.col("clinvar_clnsig").isNotNull())
 
 
+def preview(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return analytics.preview(documents, 10, order=["lang", "doc_id"])
+
+
+def sql_view(spark, sf_dir):
+    """SQL text over a named view: CTE, derived table, filter given as text."""
+    tables.register_view(
+        derived.merged_variants(spark, sf_dir).filter("info_af IS NOT NULL AND info_af < 0.5"),
+        "variants_below_half",
+    )
+    return spark.sql(
+        """
+        WITH reviewed AS (
+            SELECT * FROM variants_below_half WHERE clinvar_review IS NOT NULL
+        )
+        SELECT chromosome, COUNT(*) AS count, MAX(info_af) AS info_af_max
+        FROM (SELECT chromosome, info_af FROM reviewed WHERE refallele != 'N') AS some
+        GROUP BY chromosome
+        """
+    )
+
+
 # Sources
 
 
@@ -427,6 +446,8 @@ OPERATORS: dict[str, Query] = {
     "gene_inner_join": gene_inner_join,
     "variant_count": variant_count,
     "known_significance_count": known_significance_count,
+    "preview": preview,
+    "sql_view": sql_view,
     "vcf_ingest": vcf_ingest,
     "vcf_zero_based": vcf_zero_based,
     "tsv_ingest": tsv_ingest,
