@@ -20,9 +20,12 @@ from alleleframe.operators.reshape import (
     frequency_columns,
 )
 
-# The sketch below tracks this many keys and returns at most this many.
-_TRACKED_KEYS = 10_000
+# The sketch returns at most this many keys and tracks this many; its error is
+# then below 0.2 % of the rows. One task merges the sketches of all others, so
+# their number is bounded too.
 _RETURNED_KEYS = 100
+_TRACKED_KEYS = 2_000
+_SKETCHES = 4_096
 
 
 def derive_frequency_columns(variants: DataFrame) -> DataFrame:
@@ -52,6 +55,7 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> l
     sketch = F.expr(f"approx_top_k(_hash, {_RETURNED_KEYS}, {_TRACKED_KEYS})")
     row = (
         df.select(_key_hash(keys).alias("_hash"))
+        .coalesce(_SKETCHES)
         .agg(sketch.alias("top"), F.count("*").alias("total"))
         .first()
     )
@@ -74,7 +78,7 @@ def left_join_on_keys(
             raise TypeError(f"key {key} has different types on the two sides; cast it at ingest")
     if not hot:
         return left.join(right, keys, "left")
-    is_hot = F.coalesce(_key_hash(keys).isin(list(hot)), F.lit(False))
+    is_hot = _key_hash(keys).isin(list(hot))
     left_hot, right_hot = left.filter(is_hot), right.filter(is_hot)
     cold = left.filter(~is_hot).join(right.filter(~is_hot), keys, "left")
     matched = left_hot.join(right_hot, keys, "inner")

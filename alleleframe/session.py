@@ -13,7 +13,8 @@ def session_builder(app_name: str, hive: bool = False) -> SparkSession.Builder:
 
     Statistics written by ``sinks.statistics`` only influence plans when the
     cost-based optimizer is on. Adaptive execution splits hot shuffle
-    partitions of joins and coalesces small ones.
+    partitions of joins and coalesces small ones. Recording the Python line of
+    every expression only serves error messages and slows the driver.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -22,6 +23,7 @@ def session_builder(app_name: str, hive: bool = False) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.cbo.enabled", "true")
         .config("spark.sql.cbo.joinReorder.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return builder.enableHiveSupport() if hive else builder
 

@@ -13,12 +13,12 @@ import os
 import time
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alleleframe.operators.reshape import MERGE_KEYS
 from alleleframe.plans import reports
-from alleleframe.session import scratch_path
+from alleleframe.session import scratch_path, session_builder
 from alleleframe.sinks.storage import stored_size, write_clustered
 from checks import derived, registered
 
@@ -42,10 +42,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("bench")
+        session_builder("bench")
+        .master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
