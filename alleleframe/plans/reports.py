@@ -148,8 +148,9 @@ def review_values(variants: DataFrame) -> DataFrame:
     return value_counts(variants, "clinvar_review")
 
 
-# Every report takes the merged variants and the genes; most use only the first.
-REPORTS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+# Every report takes the merged variants and the genes; only GENE_REPORTS use genes.
+GENE_REPORTS = {"q17_divergent_variants"}
+REPORTS: dict[str, Callable[[DataFrame, DataFrame | None], DataFrame]] = {
     "q01_af_range_share": lambda v, g: frequency_range_share(v),
     "q02_rare_rate_by_chromosome": lambda v, g: rare_rate_by_chromosome(v),
     "q03_clnsig_share": lambda v, g: significance_share(v),

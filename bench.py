@@ -38,6 +38,11 @@ def two_scan_share(variants: DataFrame) -> DataFrame:
     )
 
 
+def scale_factor(sf_dir: str) -> float | str:
+    name = Path(sf_dir).name.removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -75,7 +80,7 @@ def main() -> None:
         "value": round(sum(warm.values()), 3),
         "unit": "sec",
         "queries": warm,
-        "sf": float(Path(sf_dir).name.removeprefix("sf")),
+        "sf": scale_factor(sf_dir),
         "cpus": cpus,
         "rows": variants.count(),
         "stored_mb": round(stored_size(spark, path).first().total_bytes / 1024 / 1024, 1),

@@ -72,7 +72,7 @@ notes AS (
   SELECT 'chr' || {_CHROMOSOME.format(key="l_partkey")} AS chromosome,
    l_orderkey AS start_position, l_returnflag AS refallele, l_linestatus AS altallele,
    p_type AS clinvar_clnsig, MAX(p_size) AS size, MAX(l_tax) AS tax
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 4
+  FROM lineitem JOIN part ON l_partkey = p_partkey
   GROUP BY ALL
  )
 )"""
@@ -119,8 +119,8 @@ def _overview(where: str, gap: str) -> str:
     )
     return f"""WITH {VARIANTS}
 SELECT * FROM (
- SELECT *, ROW_NUMBER() OVER (PARTITION BY dimension
-  ORDER BY count DESC, value ASC NULLS LAST) AS place FROM ({parts})
+ SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY dimension
+  ORDER BY count DESC, value ASC NULLS LAST) AS INTEGER) AS place FROM ({parts})
 ) WHERE place <= 25"""
 
 

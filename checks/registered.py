@@ -53,10 +53,9 @@ def _table_name(base: str) -> str:
 
 def report(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result = reports.REPORTS[name](
-            derived.merged_variants(spark, sf_dir), derived.genes(spark, sf_dir)
-        )
-        return clean_names(result, strict=True)
+        genes = derived.genes(spark, sf_dir) if name in reports.GENE_REPORTS else None
+        result = reports.REPORTS[name](derived.merged_variants(spark, sf_dir), genes)
+        return clean_names(result, strict=True) if genes else result
 
     return run
 

@@ -9,7 +9,6 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from alleleframe.session import scratch_path
 from alleleframe.sinks import storage, warehouse
 from alleleframe.sinks.statistics import collect_statistics, column_statistics
 
@@ -26,13 +25,6 @@ def variants(spark, n=20000):
     )
 
 
-def test_scratch_path_is_below_the_configured_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first != second
-    assert root is None or first.startswith(root)
-
-
 def test_file_count():
     mb = 1024 * 1024
     assert [storage.target_file_count(x * mb) for x in (0, 1, 256, 511, 512, 25600)] == [1, 1, 1, 1, 2, 100]
