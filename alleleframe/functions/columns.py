@@ -33,10 +33,11 @@ def absolute_difference(left: Column, right: Column) -> Column:
     return F.abs(left - right)
 
 
-def pairwise_divergence(values: Sequence[Column], digits: int = 3) -> Column:
+def pairwise_divergence(values: Sequence[Column], digits: int | None = 3) -> Column:
     """Sum of absolute differences over all pairs; a pair with NULL adds 0."""
     terms = [F.coalesce(F.abs(a - b), F.lit(0.0)) for a, b in combinations(values, 2)]
-    return F.round(reduce(add, terms), digits)
+    total = reduce(add, terms)
+    return total if digits is None else F.round(total, digits)
 
 
 def duration_text(seconds: Column) -> Column:

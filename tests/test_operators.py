@@ -200,6 +200,22 @@ def test_divergence_top_k_equals_plain_join(spark):
         assert rows(ours) == rows(plain)
 
 
+def test_divergence_keeps_rows_that_tie_only_after_rounding(spark):
+    """0.1004 and 0.0996 both round to 0.1; position decides, not the raw value."""
+    variants = spark.createDataFrame(
+        [(5, 0.1004, 0.0, "g"), (1, 0.0996, 0.0, "g"), (2, 0.0994, 0.0, "g"), (0, 9.0, 0.0, "unknown")],
+        "pos int, x double, y double, genename string",
+    )
+    genes = spark.createDataFrame([("g", "t"), ("h", "u")], "Gene_name string, text string")
+    top = lambda k, v=variants: rows(
+        analytics.pairwise_divergence_topk(v, ["x", "y"], genes, ["pos"], {"text": "text"}, k=k)
+    )
+    assert top(1) == [(1, 0.1, "t")]
+    assert top(2) == [(1, 0.1, "t"), (5, 0.1, "t")]
+    assert top(25) == [(1, 0.1, "t"), (2, 0.099, "t"), (5, 0.1, "t")]
+    assert top(25, variants.filter("genename = 'unknown'")) == []
+
+
 def test_gene_column_in_any_spelling(spark, sf_dir):
     variants, genes = derived.merged_variants(spark, sf_dir), derived.genes(spark, sf_dir)
     first = rows(reports.divergent_variants(variants, genes))
