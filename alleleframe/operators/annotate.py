@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +45,13 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[quoted(k) for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of keys that hold at least ``share`` of the rows of ``df``.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[tuple]:
+    """Keys without NULL that hold at least about ``share`` of the rows of ``df``.
 
-    One pass over the key columns with a mergeable frequent-items sketch: no
-    shuffle of rows, and at most 1 / ``share`` numbers reach the driver. The
-    result only chooses a route for rows, so an estimate is enough.
+    One pass over the key columns with a mergeable frequent-items sketch, no
+    shuffle of rows; only if it finds something, a second pass that looks up
+    the key values. At most about 1 / ``share`` keys reach the driver. They
+    only choose a route for rows, so an estimate is enough.
     """
     if share < 1 / _RETURNED_KEYS:
         raise ValueError(f"share must be at least {1 / _RETURNED_KEYS}")
@@ -59,18 +62,40 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> l
         .agg(sketch.alias("top"), F.count("*").alias("total"))
         .first()
     )
-    return [item["item"] for item in row.top if item["count"] >= share * row.total]
+    hashes = [item["item"] for item in row.top if item["count"] >= share * row.total]
+    if not hashes:
+        return []
+    frequent = df.filter(_key_hash(keys).isin(hashes)).select(*map(quoted, keys))
+    return [tuple(r) for r in frequent.dropna().distinct().collect()]
+
+
+def _is_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[tuple]) -> tuple[Column, Column]:
+    """Whether a row's key is in ``hot`` (never NULL), and a looser test on each column.
+
+    The second one reaches the Parquet scan: on a table clustered by key it
+    leaves few row groups to read.
+    """
+    types = [df.schema[k].dataType for k in keys]
+    values = [[F.lit(v).cast(t) for v, t in zip(key, types)] for key in hot]
+    exact = [
+        reduce(and_, [quoted(k).eqNullSafe(v) for k, v in zip(keys, key)]) for key in values
+    ]
+    hashes = [F.xxhash64(*key) for key in values]
+    per_column = [
+        quoted(k).isin(sorted({key[i] for key in hot})) for i, k in enumerate(keys)
+    ]
+    return _key_hash(keys).isin(hashes) & reduce(or_, exact), reduce(and_, per_column)
 
 
 def left_join_on_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[int] = ()
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[tuple] = ()
 ) -> DataFrame:
     """Left outer equi-join; repeated right keys multiply rows.
 
     Adaptive execution can split a hot partition of the left side of an outer
-    join but not of its right side. Rows whose key hash is in ``hot`` therefore
-    go through an inner join, where both sides can be split, and through an
-    anti join against the distinct hot keys, which restores unmatched rows.
+    join but not of its right side. Rows whose key is in ``hot`` therefore go
+    through an inner join, where both sides can be split, and through an anti
+    join against the distinct hot keys, which restores unmatched rows.
     """
     keys = list(keys)
     for key in keys:
@@ -78,8 +103,8 @@ def left_join_on_keys(
             raise TypeError(f"key {key} has different types on the two sides; cast it at ingest")
     if not hot:
         return left.join(right, keys, "left")
-    is_hot = _key_hash(keys).isin(list(hot))
-    left_hot, right_hot = left.filter(is_hot), right.filter(is_hot)
+    is_hot, in_hot_columns = _is_hot(left, keys, hot)
+    left_hot, right_hot = (df.filter(in_hot_columns & is_hot) for df in (left, right))
     cold = left.filter(~is_hot).join(right.filter(~is_hot), keys, "left")
     matched = left_hot.join(right_hot, keys, "inner")
     unmatched = left_hot.join(right_hot.select(*map(quoted, keys)).distinct(), keys, "left_anti")
@@ -87,7 +112,7 @@ def left_join_on_keys(
 
 
 def merge_annotations(
-    variants: DataFrame, annotations: DataFrame, hot: Sequence[int] = ()
+    variants: DataFrame, annotations: DataFrame, hot: Sequence[tuple] = ()
 ) -> DataFrame:
     """Variants that passed all filters, with every annotation that shares their key."""
     left = variants.filter(F.col("filters") == "PASS").select(

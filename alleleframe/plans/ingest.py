@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from alleleframe.operators.annotate import (
     derive_frequency_columns,
-    hot_key_hashes,
+    hot_keys,
     merge_annotations,
 )
 from alleleframe.operators.filters import within_length
@@ -53,7 +53,7 @@ def merged_variants(variants: DataFrame, annotations: DataFrame) -> DataFrame:
 
     One pass over the annotation keys looks for hot keys first.
     """
-    hot = hot_key_hashes(annotations, MERGE_KEYS)
+    hot = hot_keys(annotations, MERGE_KEYS)
     return merge_annotations(derive_frequency_columns(variants), annotations, hot)
 
 

@@ -19,7 +19,7 @@ from alleleframe.functions.columns import (
 from alleleframe.operators import analytics, metering
 from alleleframe.operators.annotate import (
     derive_frequency_columns,
-    hot_key_hashes,
+    hot_keys,
     join_genes,
     left_join_on_keys,
 )
@@ -205,7 +205,7 @@ def annotate_hot_keys(spark, sf_dir):
         "l_orderkey",
         "l_returnflag",
     )
-    return left_join_on_keys(customers, notes, ["key"], hot_key_hashes(notes, ["key"]))
+    return left_join_on_keys(customers, notes, ["key"], hot_keys(notes, ["key"]))
 
 
 def string_key_join(spark, sf_dir):

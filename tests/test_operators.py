@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from alleleframe.functions.columns import duration_text, fixed_width_bin, pairwise_divergence
 from alleleframe.operators import analytics
 from alleleframe.operators.annotate import (
-    hot_key_hashes,
+    hot_keys,
     left_join_on_keys,
     merge_annotations,
 )
@@ -108,21 +108,40 @@ def skewed_tables(spark):
 
 def test_hot_keys_take_another_route_to_the_same_rows(spark):
     left, right = skewed_tables(spark)
-    hot = hot_key_hashes(right, ["k"], share=0.1)
-    seven = spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]
-    assert hot == [seven]
+    hot = hot_keys(right, ["k"], share=0.1)
+    assert hot == [(7,)]
     plain = left.join(right, ["k"], "left")
-    # The hash of an unmatched left key is also routed, as a collision would be.
-    unmatched = spark.range(1).select(F.xxhash64(F.lit(399).cast("bigint"))).first()[0]
-    nulls = spark.range(1).select(F.xxhash64(F.lit(None).cast("bigint"))).first()[0]
-    for route in (hot, [*hot, unmatched, nulls]):
+    # Keys that only the left side has, or none, may be routed too.
+    for route in (hot, [*hot, (399,)], [(399,), (-1,)], [(k,) for k in range(100)]):
         split = left_join_on_keys(left, right, ["k"], route)
         assert split.columns == plain.columns
         assert rows(split) == rows(plain)
 
 
+def test_hot_keys_of_several_columns(spark):
+    left = spark.range(300).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias("c"), (F.col("id") % 20).alias("p"), F.col("id").alias("l")
+    )
+    right = spark.range(300).select(
+        F.when(F.col("id") < 100, "c1").otherwise(F.concat(F.lit("c"), F.col("id") % 3)).alias("c"),
+        F.when(F.col("id") < 100, 4).when(F.col("id") == 200, None).otherwise(F.col("id") % 25).alias("p"),
+        F.col("id").alias("r"),
+    )
+    hot = hot_keys(right, ["c", "p"], share=0.2)
+    assert hot == [("c1", 4)]
+    for route in (hot, [*hot, ("c2", 4), ("c1", 5)]):
+        assert rows(left_join_on_keys(left, right, ["c", "p"], route)) == rows(
+            left.join(right, ["c", "p"], "left")
+        )
+
+
+def test_mostly_null_keys_are_not_hot(spark):
+    df = spark.range(1000).select(F.when(F.col("id") > 900, F.col("id")).alias("k"))
+    assert hot_keys(df, ["k"], share=0.1) == []
+
+
 def test_no_hot_keys_in_even_data(spark):
-    assert hot_key_hashes(spark.range(10000), ["id"]) == []
+    assert hot_keys(spark.range(10000), ["id"]) == []
 
 
 def test_merge_keeps_passing_variants_and_multiplies(spark):

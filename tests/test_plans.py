@@ -8,7 +8,7 @@ import pytest
 from conftest import final_plan
 from pyspark.sql import functions as F
 
-from alleleframe.operators.annotate import hot_key_hashes, left_join_on_keys
+from alleleframe.operators.annotate import hot_keys, left_join_on_keys
 from alleleframe.plans import reports
 from alleleframe.sinks.storage import write_clustered, write_parquet
 from checks import derived
@@ -80,6 +80,13 @@ def test_one_scan_for_related_reports(published):
     assert "WindowGroupLimit" in plan
 
 
+def test_hot_rows_are_looked_up_by_key_in_the_scan(spark, tmp_path):
+    write_clustered(spark.range(1000).withColumn("v", F.lit("x")), str(tmp_path / "t"), ["id"])
+    table = spark.read.parquet(str(tmp_path / "t"))
+    joined = left_join_on_keys(table, table.withColumnRenamed("v", "w"), ["id"], [(7,), (9,)])
+    assert final(final_plan(joined)).count("In(id, [7,9])") >= 3
+
+
 def test_adaptive_execution_splits_hot_keys_on_either_side(spark, conf):
     """Small thresholds stand in for large data: hot partitions are split."""
     conf(
@@ -96,7 +103,7 @@ def test_adaptive_execution_splits_hot_keys_on_either_side(spark, conf):
     few = spark.range(0, 2000, 1, 8).select(F.col("id").alias("k"), F.lit("x").alias("note"))
     hot_left = left_join_on_keys(many, few, ["k"])
     assert "skew=true" in final(final_plan(hot_left))
-    hot = hot_key_hashes(many, ["k"])
+    hot = hot_keys(many, ["k"])
     hot_right = left_join_on_keys(few, many, ["k"], hot)
     assert "skew=true" in final(final_plan(hot_right))
     assert hot_right.count() == few.join(many, ["k"], "left").count()
