@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from alleleframe.operators import metering  # noqa: E402
 from alleleframe.plans import ingest, reports  # noqa: E402
 from alleleframe.session import session_builder, size_shuffles  # noqa: E402
-from alleleframe.sinks.storage import input_bytes, stored_size  # noqa: E402
+from alleleframe.sinks.storage import TARGET_FILE_MB, input_bytes, stored_size  # noqa: E402
 from alleleframe.sources import tables  # noqa: E402
 
 
@@ -40,6 +40,10 @@ def open_source(spark: SparkSession, name: str) -> DataFrame:
     return tables.read_parquet(spark, name) if "/" in name else tables.read_table(spark, name)
 
 
+def layout(args: argparse.Namespace) -> dict:
+    return {"target_mb": args.target_mb, "partition_by": args.partition_by}
+
+
 def convert_variants(spark: SparkSession, args: argparse.Namespace) -> None:
     flat = ingest.variants_from_vcf(
         spark,
@@ -48,26 +52,26 @@ def convert_variants(spark: SparkSession, args: argparse.Namespace) -> None:
         fields=args.fields,
         one_based=not args.zero_based,
     )
-    ingest.publish_variants(flat, args.output, args.table)
+    ingest.publish_variants(flat, args.output, args.table, **layout(args))
 
 
 def convert_annotations(spark: SparkSession, args: argparse.Namespace) -> None:
     annotations = ingest.annotations_from_tsv(spark, args.input, null_value=args.null_value)
-    ingest.publish_annotations(annotations, args.output, args.table)
+    ingest.publish_annotations(annotations, args.output, args.table, **layout(args))
 
 
 def convert_genes(spark: SparkSession, args: argparse.Namespace) -> None:
     genes = ingest.genes_from_tsv(
         spark, args.input, keep_nulls=args.keep_nulls, null_value=args.null_value
     )
-    ingest.publish_genes(genes, args.output, args.table)
+    ingest.publish_genes(genes, args.output, args.table, **layout(args))
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
     variants, annotations = open_source(spark, args.variants), open_source(spark, args.annotations)
     size_shuffles(spark, input_bytes(variants) + input_bytes(annotations))
     merged = ingest.merged_variants(variants, annotations)
-    ingest.publish_annotations(merged, args.output, args.table)
+    ingest.publish_annotations(merged, args.output, args.table, **layout(args))
 
 
 def run_reports(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -94,14 +98,20 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--hive", action="store_true", help="use a Hive catalog")
     commands = top.add_subparsers(dest="command", required=True)
 
-    def converter(name, run):
+    def writer(name, run):
         command = commands.add_parser(name)
-        command.add_argument("--input", nargs="+", required=True)
         command.add_argument("--output", required=True)
         command.add_argument("--table")
+        command.add_argument("--target-mb", type=int, default=TARGET_FILE_MB)
+        command.add_argument("--partition-by", nargs="+", default=[], help="folder columns")
         command.set_defaults(run=run)
         return command
 
+    def converter(name, run):
+        command = writer(name, run)
+        command.add_argument("--input", nargs="+", required=True)
+        return command
+
     variants = converter("variants", convert_variants)
     variants.add_argument("--header", help="file with the VCF header; default: the first input")
     variants.add_argument("--fields", nargs="+", help="INFO fields to keep; default: all")
@@ -112,11 +122,9 @@ def parser() -> argparse.ArgumentParser:
     genes.add_argument("--null-value")
     genes.add_argument("--keep-nulls", action="store_true")
 
-    merger = commands.add_parser("merge")
-    for name in ("--variants", "--annotations", "--output"):
-        merger.add_argument(name, required=True)
-    merger.add_argument("--table")
-    merger.set_defaults(run=merge)
+    merger = writer("merge", merge)
+    merger.add_argument("--variants", required=True)
+    merger.add_argument("--annotations", required=True)
 
     reporter = commands.add_parser("reports")
     reporter.add_argument("--merged", required=True)

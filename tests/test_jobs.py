@@ -37,7 +37,8 @@ def folder(spark, tmp_path_factory):
         HEADER,
         compress=True,
     )
-    head = "#chr\tpos(1-based)\tref\talt\tgenename\tclinvar_clnsig\tclinvar_trait\tclinvar_review\tclinvar_hgvs\tgnomAD_AF"
+    names = ["#chr", "pos(1-based)", "ref", "alt", "genename", "clinvar_clnsig", "clinvar_trait"]
+    head = "\t".join([*names, "clinvar_review", "clinvar_hgvs", "gnomAD_AF"])
     (base / "ann.tsv").write_text(
         f"{head}\n1\t100\tA\tT\tBRCA2\tPathogenic\tt1\treviewed_by_expert_panel\th1\t.\n"
         "2\t300\tG\tC\tUSH2A\tBenign\tt2\tx\th2\t.\n"
@@ -59,6 +60,7 @@ def test_from_text_to_reports(spark, folder, capsys):
     jobs.main(
         ["merge", "--variants", at("variants.parquet"), "--annotations", "job_ann"]
         + ["--output", at("merged.parquet"), "--table", "job_merged"]
+        + ["--partition-by", "chromosome", "--target-mb", "64"]
     )
     merged = spark.table("job_merged")
     assert "gnomAD_AF" not in merged.columns
