@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import mixing
+from alleleframe.llm import bpe, exact_dedup, mixing
 
 
 def all_queries():
     return {
+        "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
     }
 
 
 def all_sql():
-    return {**mixing.SQL}
+    return {**exact_dedup.SQL, **mixing.SQL}
