@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, exact_dedup, mixing
+from alleleframe.llm import bpe, exact_dedup, minhash_dedup, mixing
 
 
 def all_queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
     }
