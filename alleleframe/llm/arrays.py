@@ -57,8 +57,8 @@ def run_hashes(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(np.add.reduceat((symbols.astype(np.uint64) + np.uint64(1)) * powers[place], starts))
 
 
-_GAP = np.zeros(256, bool)
-_GAP[[9, 10, 11, 12, 13, 32]] = True
+GAP = np.zeros(256, bool)
+GAP[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -75,11 +75,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         while begin < end:
             stop = end
             if last == first + 1 and end - begin > CHUNK:
-                gap = np.flatnonzero(_GAP[data[begin + CHUNK : end]])
+                gap = np.flatnonzero(GAP[data[begin + CHUNK : end]])
                 stop = begin + CHUNK + int(gap[0]) + 1 if len(gap) else end
             part = data[begin:stop]
             marks = np.clip(offsets[first:last] - begin, 0, None)
-            inside = ~_GAP[part]
+            inside = ~GAP[part]
             fresh = inside.copy()
             fresh[1:] &= ~inside[:-1]
             at = marks[marks < len(part)]

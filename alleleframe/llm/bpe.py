@@ -296,14 +296,15 @@ def decoded(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, schema)
 
 
-def _decimal_digests(rows: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 over decimal ids joined by a space, decoded_sha256."""
+def _decimal_digests(rows: DataFrame, with_ids: bool) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 over decimal ids joined by a space, decoded_sha256, and ids if asked for."""
     schema = T.StructType(
         [
             rows.schema["doc_id"],
             T.StructField("n_tokens", T.LongType()),
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
+            *([rows.schema["ids"]] if with_ids else []),
         ]
     )
 
@@ -316,15 +317,22 @@ def _decimal_digests(rows: DataFrame) -> DataFrame:
                 of_ids.append(hashlib.sha256(" ".join(map(str, some)).encode()).hexdigest())
             of_data = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_data)],
+                [
+                    batch.column(0),
+                    pa.array(counts, pa.int64()),
+                    pa.array(of_ids, pa.string()),
+                    pa.array(of_data, pa.string()),
+                    *([batch.column(1)] if with_ids else []),
+                ],
                 names=schema.names,
             )
 
     return rows.mapInArrow(digest, schema)
 
 
-def round_trip(docs: DataFrame, ranks_path: str) -> DataFrame:
-    return _decimal_digests(decoded(encode(docs, ranks_path), ranks_path))
+def round_trip(docs: DataFrame, ranks_path: str, with_ids: bool = False) -> DataFrame:
+    """Digests of the ids of every text and of the bytes they decode to."""
+    return _decimal_digests(decoded(encode(docs, ranks_path), ranks_path), with_ids)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

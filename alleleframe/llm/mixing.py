@@ -235,10 +235,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, weight: str | None = None) -> DataFram
     """The mixed documents: every row as often as the mix takes it."""
     _, plan = plan_mix(docs, weights, weight=weight)
     share = F.col(weight).cast("double") if weight else F.lit(1.0)
-    plain = docs.select(F.struct("*").alias("row"), "doc_id", F.col("source").cast("string").alias("of_source"), share.alias("of_weight"))
+    plain = docs.select(
+        F.struct("*").alias("row"),
+        "doc_id",
+        F.col("source").cast("string").alias("of_source"),
+        share.alias("of_weight"),
+    )
     counted = with_copies(plain, plan, F.col("of_source"), F.col("of_weight"))
-    repeated = counted.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy"))
-    return repeated.select("row.*")
+    copies = F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int")))
+    return counted.select("row", copies.alias("copy")).select("row.*")
 
 
 def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

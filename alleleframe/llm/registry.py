@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, exact_dedup, minhash_dedup, mixing
+from alleleframe.llm import bpe, exact_dedup, minhash_dedup, mixing, quality
 
 
 def all_queries():
@@ -11,6 +11,7 @@ def all_queries():
         "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
+        "op9_quality_classifier": quality.op9_quality_classifier,
     }
 
 
