@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, exact_dedup, minhash_dedup, mixing, quality
+from alleleframe.llm import bpe, exact_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
 
 
 def all_queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op4_warc_audit": warc_audit.op4_warc_audit,
         "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
         "op9_quality_classifier": quality.op9_quality_classifier,
+        "op10_secret_scan": secrets.op10_secret_scan,
     }
 
 
 def all_sql():
-    return {**exact_dedup.SQL, **mixing.SQL}
+    return {**exact_dedup.SQL, **line_dedup.SQL, **warc_audit.SQL, **mixing.SQL}
