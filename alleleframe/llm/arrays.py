@@ -104,3 +104,24 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(wide):
         total = mixed(total * np.uint64(_BASE) + words[k : len(words) - wide + 1 + k])
     return np.unique(total)
+
+
+def whole_groups(batches, columns):
+    """Tables that hold whole groups of rows sorted by ``columns``, and the groups' first rows."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+        if rows.num_rows == 0:
+            continue
+        change = np.zeros(rows.num_rows, bool)
+        change[0] = True
+        for name in columns:
+            values = rows.column(name).to_numpy()
+            change[1:] |= values[1:] != values[:-1]
+        first = np.flatnonzero(change)
+        rest = rows.slice(first[-1])
+        if len(first) > 1:
+            yield rows.slice(0, first[-1]), first
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])

@@ -60,5 +60,7 @@ def components(links: DataFrame) -> DataFrame:
         current = staged(small_star(large_star(current)), "links")
         after = _state(current)
         if after == before:
-            return current.withColumnRenamed("other", "component")
+            stars = current.withColumnRenamed("other", "component")
+            centres = stars.select(F.col("component").alias("node"), "component").distinct()
+            return stars.unionByName(centres)
         before = after

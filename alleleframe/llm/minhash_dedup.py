@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alleleframe.llm.arrays import shingle_set, text_bytes, word_hashes
+from alleleframe.llm.arrays import shingle_set, text_bytes, whole_groups, word_hashes
 from alleleframe.llm.common import staged, table, whole_text
 from alleleframe.llm.components import components
 
@@ -214,27 +214,6 @@ def star_pairs(in_buckets: DataFrame, classes: DataFrame, least: float) -> DataF
     )
 
 
-def _whole_groups(batches, columns):
-    """Tables that hold whole groups of rows sorted by ``columns``, and the groups' first rows."""
-    rest = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
-        if rows.num_rows == 0:
-            continue
-        change = np.zeros(rows.num_rows, bool)
-        change[0] = True
-        for name in columns:
-            values = rows.column(name).to_numpy()
-            change[1:] |= values[1:] != values[:-1]
-        first = np.flatnonzero(change)
-        rest = rows.slice(first[-1])
-        if len(first) > 1:
-            yield rows.slice(0, first[-1]), first
-    if rest is not None and rest.num_rows:
-        yield rest, np.array([0, rest.num_rows])
-
-
 def open_pairs(in_buckets: DataFrame, classes: DataFrame, found: DataFrame, least: float) -> DataFrame:
     """Pairs of classes in one bucket but in different components, if signatures agree.
 
@@ -263,7 +242,7 @@ def open_pairs(in_buckets: DataFrame, classes: DataFrame, found: DataFrame, leas
     )
 
     def compare(batches):
-        for rows, first in _whole_groups(batches, at):
+        for rows, first in whole_groups(batches, at):
             low, high, block, part = (
                 rows.column(c).to_numpy() for c in ("low", "high", "block", "part")
             )

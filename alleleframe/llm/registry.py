@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, exact_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
+from alleleframe.llm import bpe, embedding_dedup, exact_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
 
 
 def all_queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
         "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_warc_audit": warc_audit.op4_warc_audit,
         "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
