@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, embedding_dedup, exact_dedup, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
+from alleleframe.llm import bpe, embedding_dedup, exact_dedup, license_scan, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
 
 
 def all_queries():
@@ -12,6 +12,7 @@ def all_queries():
         "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_warc_audit": warc_audit.op4_warc_audit,
         "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
+        "op6_license_scan": license_scan.op6_license_scan,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
         "op9_quality_classifier": quality.op9_quality_classifier,
@@ -20,4 +21,4 @@ def all_queries():
 
 
 def all_sql():
-    return {**exact_dedup.SQL, **line_dedup.SQL, **warc_audit.SQL, **mixing.SQL}
+    return {**exact_dedup.SQL, **line_dedup.SQL, **license_scan.SQL, **warc_audit.SQL, **mixing.SQL}
