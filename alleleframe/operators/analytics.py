@@ -88,40 +88,57 @@ def conditional_rate(
 
 def difference_reports(
     df: DataFrame,
-    keys: Sequence[str],
+    keys: dict[str, int | None],
     signed: Column,
     threshold: float,
     where: Column,
-    k: int = 25,
 ) -> DataFrame:
-    """The ``k`` most frequent values of each of ``keys``, from one scan.
+    """Three reports for each of ``keys`` from one scan: either way, upward, downward.
 
-    One row per (dimension, value): rows meeting ``where``, and how many of
-    them differ upward and downward by ``threshold``. The related single
-    reports would scan the table once each.
+    ``keys`` gives the number of values each report has (None: all). One row per
+    (dimension, value) that is in any report: rows meeting ``where``, how many of
+    them differ upward and downward by ``threshold``, and the place in each
+    report, NULL where the value is not in it. The single reports would scan the
+    table once each.
     """
-    dimension = F.lit(None)
-    value = F.lit(None)
-    for position, key in enumerate(keys):
+    dimension, value, limit = F.lit(None), F.lit(None), F.lit(None).cast("int")
+    for key, k in keys.items():
         in_set = F.grouping(quoted(key)) == 0
         dimension = F.when(in_set, F.lit(key)).otherwise(dimension)
         value = F.when(in_set, quoted(key).cast("string")).otherwise(value)
+        limit = F.when(in_set, F.lit(k).cast("int")).otherwise(limit)
     counts = (
         df.filter(where)
         .groupingSets([[quoted(key)] for key in keys], *[quoted(key) for key in keys])
         .agg(
             dimension.alias("dimension"),
             value.alias("value"),
+            limit.alias("limit"),
             F.count("*").alias("count"),
             F.count(F.when(signed >= threshold, 1)).alias("count_up"),
             F.count(F.when(signed <= -threshold, 1)).alias("count_down"),
         )
-        .select("dimension", "value", "count", "count_up", "count_down")
+        .select("dimension", "value", "limit", "count", "count_up", "count_down")
     )
-    place = Window.partitionBy("dimension").orderBy(
-        F.desc("count"), F.col("value").asc_nulls_last()
+    places = {"count": "place", "count_up": "place_up", "count_down": "place_down"}
+    for count, place in places.items():
+        order = Window.partitionBy("dimension").orderBy(
+            F.desc(count), F.col("value").asc_nulls_last()
+        )
+        rank = F.row_number().over(order)
+        listed = (F.col(count) > 0) & F.coalesce(rank <= F.col("limit"), F.lit(True))
+        counts = counts.withColumn(place, F.when(listed, rank))
+    return counts.filter(F.coalesce(*places.values()).isNotNull()).drop("limit")
+
+
+def report_of(overview: DataFrame, dimension: str, direction: str | None = None) -> DataFrame:
+    """One single report out of the rows of ``difference_reports``."""
+    end = f"_{direction}" if direction else ""
+    return (
+        overview.filter((F.col("dimension") == dimension) & F.col(f"place{end}").isNotNull())
+        .orderBy(f"place{end}")
+        .select(F.col("value").alias(dimension), F.col(f"count{end}").alias("count"))
     )
-    return counts.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= k)
 
 
 def extent_by_key(

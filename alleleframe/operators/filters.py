@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -61,10 +60,9 @@ def differs_only_in(
     group: str,
     threshold: float,
     direction: str | None = None,
-    among: Sequence[str] | None = None,
 ) -> Column:
     """The pair of ``group`` differs and the pairs of all other groups do not."""
-    others = [g for g in (among or pairs) if g != group]
+    others = [g for g in pairs if g != group]
     left, right = pairs[group]
     own = differs(left - right, threshold, direction)
     return reduce(and_, [F.abs(pairs[g][0] - pairs[g][1]) < threshold for g in others], own)

@@ -11,6 +11,7 @@ from alleleframe.functions.columns import quoted
 from alleleframe.operators.analytics import (
     conditional_rate,
     difference_reports,
+    report_of,
     extent_by_key,
     pairwise_divergence_topk,
     share_of_total,
@@ -40,6 +41,8 @@ GENE_TEXTS = [
 ]
 CLINICAL_COLUMNS = ["clinvar_clnsig", "clinvar_trait", "clinvar_review", "clinvar_hgvs"]
 DIMENSIONS = ["chromosome", "genename", "clinvar_clnsig"]
+# Values per report: one per autosome and sex chromosome, else 25.
+DIMENSION_SIZES = {d: 24 if d == "chromosome" else 25 for d in DIMENSIONS}
 
 
 def _sex_pairs() -> dict[str, tuple[Column, Column]]:
@@ -95,14 +98,14 @@ def east_asian_difference_counts(
 def sex_difference_overview(variants: DataFrame) -> DataFrame:
     """The sex-difference reports of all dimensions and directions in one scan."""
     signed = F.col("AF_XX_MINUS_AF_XY")
-    return difference_reports(variants, DIMENSIONS, signed, LARGE_DIFFERENCE, _sex_difference())
+    return difference_reports(variants, DIMENSION_SIZES, signed, LARGE_DIFFERENCE, _sex_difference())
 
 
 def east_asian_difference_overview(variants: DataFrame) -> DataFrame:
     """The East-Asian-only reports of all dimensions and directions in one scan."""
     xx, xy = _sex_pairs()["eas"]
     return difference_reports(
-        variants, DIMENSIONS, xx - xy, LARGE_DIFFERENCE, _east_asian_difference()
+        variants, DIMENSION_SIZES, xx - xy, LARGE_DIFFERENCE, _east_asian_difference()
     )
 
 
@@ -119,6 +122,35 @@ def pathogenic_frequency_extent(variants: DataFrame) -> DataFrame:
     return extent_by_key(variants, "genename", "info_af", names, _known_pathogenic())
 
 
+# Reports that an overview contains: dimension and direction.
+_IN_OVERVIEW = {
+    "by_chromosome": ("chromosome", None),
+    "by_gene": ("genename", None),
+    "by_clnsig": ("clinvar_clnsig", None),
+    "xx_by_clnsig": ("clinvar_clnsig", "up"),
+    "xy_by_clnsig": ("clinvar_clnsig", "down"),
+}
+
+
+def difference_suite(variants: DataFrame) -> dict[str, DataFrame]:
+    """The ten difference reports of the suite from two scans.
+
+    An overview has at most three reports' rows per dimension, so it goes through
+    the driver once and the reports are cut out of it.
+    """
+    found = {}
+    for family, overview in (
+        ("sex_diff", sex_difference_overview(variants)),
+        ("eas_only", east_asian_difference_overview(variants)),
+    ):
+        few = overview.sparkSession.createDataFrame(overview.collect(), overview.schema)
+        for name in REPORTS:
+            for ending, (dimension, direction) in _IN_OVERVIEW.items():
+                if name[4:] == f"{family}_{ending}":
+                    found[name] = report_of(few, dimension, direction)
+    return found
+
+
 def _in_any_case(genes: DataFrame, name: str) -> str:
     """Name of a gene column as this table spells it, odd characters or not."""
     plain = lambda text: "".join(ch for ch in text.lower() if ch.isalnum())

@@ -92,6 +92,10 @@ def main() -> None:
         "share_one_scan_sec": timed(suite["q01_af_range_share"]),
         "sex_reports_separate_sec": round(sum(v for n, v in warm.items() if n[:3] in separate), 3),
         "sex_reports_one_scan_sec": timed(lambda: reports.sex_difference_overview(variants)),
+        "eas_reports_separate_sec": round(
+            sum(v for n, v in warm.items() if n[4:12] == "eas_only"), 3
+        ),
+        "eas_reports_one_scan_sec": timed(lambda: reports.east_asian_difference_overview(variants)),
     }
     print(json.dumps(result))
 

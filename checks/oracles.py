@@ -109,19 +109,40 @@ SELECT {key}, COUNT(*) AS count FROM variants WHERE {where}
 GROUP BY {key} ORDER BY count DESC, {key} ASC NULLS LAST LIMIT {k}"""
 
 
-def _overview(where: str, gap: str) -> str:
-    parts = " UNION ALL ".join(
-        f"""SELECT '{key}' AS dimension, {key} AS value, COUNT(*) AS count,
+def _overview(source: str, gap: str, dimensions: dict[str, int], conditions: dict[str, str]) -> str:
+    """Single reports, each with its own condition and size, put side by side.
+
+    ``conditions`` has the condition of "" (either way), "_up" and "_down".
+    """
+    union = " UNION ALL "
+    base = union.join(
+        f"""SELECT '{key}' AS dimension, CAST({key} AS VARCHAR) AS value, COUNT(*) AS count,
  COUNT(CASE WHEN {gap} >= CAST(0.05 AS DOUBLE) THEN 1 END) AS count_up,
  COUNT(CASE WHEN {gap} <= CAST(-0.05 AS DOUBLE) THEN 1 END) AS count_down
- FROM variants WHERE {where} GROUP BY {key}"""
-        for key in ("chromosome", "genename", "clinvar_clnsig")
+ FROM variants WHERE {conditions[""]} GROUP BY {key}"""
+        for key in dimensions
     )
-    return f"""WITH {VARIANTS}
-SELECT * FROM (
- SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY dimension
-  ORDER BY count DESC, value ASC NULLS LAST) AS INTEGER) AS place FROM ({parts})
-) WHERE place <= 25"""
+    singles = {
+        end: union.join(
+            f"""SELECT '{key}' AS dimension, value, CAST(ROW_NUMBER() OVER (ORDER BY count DESC,
+ value ASC NULLS LAST) AS INTEGER) AS place FROM (SELECT CAST({key} AS VARCHAR) AS value, COUNT(*) AS count
+ FROM variants WHERE {where} GROUP BY {key} ORDER BY count DESC, value ASC NULLS LAST LIMIT {k})"""
+            for key, k in dimensions.items()
+        )
+        for end, where in conditions.items()
+    }
+    names = {"": "a", "_up": "b", "_down": "c"}
+    joins = " ".join(
+        f"LEFT JOIN ({singles[end]}) {n} ON base.dimension = {n}.dimension"
+        f" AND base.value IS NOT DISTINCT FROM {n}.value"
+        for end, n in names.items()
+    )
+    return f"""WITH {source}
+SELECT base.*, a.place AS place, b.place AS place_up, c.place AS place_down FROM ({base}) base {joins}
+WHERE a.place IS NOT NULL OR b.place IS NOT NULL OR c.place IS NOT NULL"""
+
+
+_REPORT_SIZES = {"chromosome": 24, "genename": 25, "clinvar_clnsig": 25}
 
 
 _PAIRS = " + ".join(
@@ -213,8 +234,24 @@ LIMIT 25""",
 }
 
 OPERATORS = {
-    "sex_diff_overview": _overview(_SEX, "af_xx_minus_af_xy"),
-    "eas_only_overview": _overview(_EAS, f"({_EAS_GAP})"),
+    "sex_diff_overview": _overview(
+        VARIANTS, "af_xx_minus_af_xy", _REPORT_SIZES, {"": _SEX, "_up": _SEX_UP, "_down": _SEX_DOWN}
+    ),
+    "eas_only_overview": _overview(
+        VARIANTS, f"({_EAS_GAP})", _REPORT_SIZES, {"": _EAS, "_up": _EAS_UP, "_down": _EAS_DOWN}
+    ),
+    "overview_many_values": _overview(
+        "variants AS (SELECT p_name, supplier_label, l_tax - l_discount AS gap FROM (SELECT l_partkey,"
+        " l_tax, l_discount, CAST(l_suppkey AS VARCHAR) AS supplier_label FROM lineitem)"
+        " JOIN part ON l_partkey = p_partkey)",
+        "gap",
+        {"p_name": 25, "supplier_label": 24},
+        {
+            "": "ABS(gap) >= CAST(0.05 AS DOUBLE)",
+            "_up": "gap >= CAST(0.05 AS DOUBLE)",
+            "_down": "gap <= CAST(-0.05 AS DOUBLE)",
+        },
+    ),
     "struct_flatten": """SELECT l_orderkey, l_linenumber, l_quantity AS price_qty,
  l_tax AS price_tax, l_returnflag AS state_flag FROM lineitem""",
     "allele_explode_align": """SELECT vec_id, embedding[idx] AS "alternateAllele",

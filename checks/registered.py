@@ -68,6 +68,21 @@ def eas_only_overview(spark, sf_dir):
     return reports.east_asian_difference_overview(derived.merged_variants(spark, sf_dir))
 
 
+def overview_many_values(spark, sf_dir):
+    """More values than a report lists, ranked differently upward and downward."""
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    )
+    gaps = lines.select(
+        "p_name",
+        F.col("l_suppkey").cast("string").alias("supplier_label"),
+        (F.col("l_tax") - F.col("l_discount")).alias("gap"),
+    )
+    return analytics.difference_reports(
+        gaps, {"p_name": 25, "supplier_label": 24}, F.col("gap"), 0.05, F.abs("gap") >= 0.05
+    )
+
+
 # Reshaping
 
 
@@ -220,7 +235,7 @@ def string_key_join(spark, sf_dir):
         .alias("start_position"),
         "o_orderstatus",
     )
-    return left_join_on_keys(lines, numeric_position(states).distinct(), ["start_position"])
+    return left_join_on_keys(lines, numeric_position(states), ["start_position"])
 
 
 def gene_inner_join(spark, sf_dir):
@@ -427,6 +442,7 @@ def frequency_derivation(spark, sf_dir):
 OPERATORS: dict[str, Query] = {
     "sex_diff_overview": sex_diff_overview,
     "eas_only_overview": eas_only_overview,
+    "overview_many_values": overview_many_values,
     "struct_flatten": struct_flatten,
     "allele_explode_align": allele_explode_align,
     "allele_explode_keep": allele_explode_keep,

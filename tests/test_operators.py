@@ -277,17 +277,23 @@ def test_directions_add_up(spark, sf_dir):
 
 
 def test_overview_equals_single_reports(spark, sf_dir):
-    variants = derived.merged_variants(spark, sf_dir)
-    overviews = {
-        reports.sex_difference_counts: reports.sex_difference_overview(variants),
-        reports.east_asian_difference_counts: reports.east_asian_difference_overview(variants),
-    }
-    for report, overview in overviews.items():
-        overview = overview.cache()
-        for key in reports.DIMENSIONS:
-            part = overview.filter(F.col("dimension") == key)
-            assert rows(part, "value", "count") == rows(report(variants, key))
-        clinical = overview.filter(F.col("dimension") == "clinvar_clnsig")
-        up = counts_by(report(variants, "clinvar_clnsig", "up"))
-        assert {r.value: r.count_up for r in clinical.collect() if r.count_up} == up
-        overview.unpersist()
+    variants = derived.merged_variants(spark, sf_dir).cache()
+    suite = reports.difference_suite(variants)
+    assert len(suite) == 10
+    for name, part in suite.items():
+        assert [tuple(r) for r in part.collect()] == [
+            tuple(r) for r in reports.REPORTS[name](variants, None).collect()
+        ], name
+    variants.unpersist()
+
+
+def test_overview_keeps_values_that_only_one_direction_lists(spark):
+    """31 labels; the ones that lead upward have few rows in all."""
+    data = [(f"label{i:02d}", -1.0) for i in range(25) for _ in range(10)]
+    data += [(f"rare{i}", 1.0) for i in range(6) for _ in range(5 - i % 2)]
+    df = spark.createDataFrame(data, "label string, gap double")
+    overview = analytics.difference_reports(df, {"label": 25}, F.col("gap"), 0.5, F.abs("gap") >= 0.5)
+    up = [tuple(r) for r in analytics.report_of(overview, "label", "up").collect()]
+    assert up == [("rare0", 5), ("rare2", 5), ("rare4", 5), ("rare1", 4), ("rare3", 4), ("rare5", 4)]
+    assert analytics.report_of(overview, "label").count() == 25
+    assert analytics.report_of(overview, "label", "down").count() == 25
