@@ -27,7 +27,13 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from alleleframe.operators import metering  # noqa: E402
 from alleleframe.plans import ingest, reports  # noqa: E402
 from alleleframe.session import session_builder, size_shuffles  # noqa: E402
-from alleleframe.sinks.storage import TARGET_FILE_MB, input_bytes, stored_size  # noqa: E402
+from alleleframe.sinks import warehouse  # noqa: E402
+from alleleframe.sinks.storage import (  # noqa: E402
+    CODEC,
+    TARGET_FILE_MB,
+    input_bytes,
+    stored_size,
+)
 from alleleframe.sources import tables  # noqa: E402
 
 
@@ -41,7 +47,7 @@ def open_source(spark: SparkSession, name: str) -> DataFrame:
 
 
 def layout(args: argparse.Namespace) -> dict:
-    return {"target_mb": args.target_mb, "partition_by": args.partition_by}
+    return {"target_mb": args.target_mb, "partition_by": args.partition_by, "codec": args.codec}
 
 
 def convert_variants(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -51,6 +57,7 @@ def convert_variants(spark: SparkSession, args: argparse.Namespace) -> None:
         header=args.header,
         fields=args.fields,
         one_based=not args.zero_based,
+        align=args.align,
     )
     ingest.publish_variants(flat, args.output, args.table, **layout(args))
 
@@ -62,7 +69,7 @@ def convert_annotations(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def convert_genes(spark: SparkSession, args: argparse.Namespace) -> None:
     genes = ingest.genes_from_tsv(
-        spark, args.input, keep_nulls=args.keep_nulls, null_value=args.null_value
+        spark, args.input, keep_nulls=args.keep_nulls or None, null_value=args.null_value
     )
     ingest.publish_genes(genes, args.output, args.table, **layout(args))
 
@@ -93,6 +100,11 @@ def run_reports(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    loaded = warehouse.load_checked(spark, args.source, args.table, args.output, args.keys)
+    print(f"{args.table}: {loaded.count()} rows")
+
+
 def storage(spark: SparkSession, args: argparse.Namespace) -> None:
     metering.storage_cost(stored_size(spark, args.path), args.rate).show(truncate=False)
 
@@ -108,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--table")
         command.add_argument("--target-mb", type=int, default=TARGET_FILE_MB)
         command.add_argument("--partition-by", nargs="+", default=[], help="folder columns")
+        command.add_argument("--codec", default=CODEC, help="Parquet compression")
         command.set_defaults(run=run)
         return command
 
@@ -117,9 +130,12 @@ def parser() -> argparse.ArgumentParser:
         return command
 
     variants = converter("variants", convert_variants)
-    variants.add_argument("--header", help="file with the VCF header; default: the first input")
+    variants.add_argument("--header", help="file with the VCF header; default: each input's own")
     variants.add_argument("--fields", nargs="+", help="INFO fields to keep; default: all")
     variants.add_argument("--zero-based", action="store_true")
+    variants.add_argument(
+        "--align", nargs="*", help="arrays with a value per allele, such as INFO_AF; default: all"
+    )
     annotations = converter("annotations", convert_annotations)
     annotations.add_argument("--null-value", help="text that means missing, such as .")
     genes = converter("genes", convert_genes)
@@ -136,6 +152,13 @@ def parser() -> argparse.ArgumentParser:
     reporter.add_argument("--only", nargs="+", choices=list(reports.REPORTS))
     reporter.set_defaults(run=run_reports)
 
+    loader = commands.add_parser("load", help="into a typed, clustered and analysed table")
+    loader.add_argument("--source", required=True)
+    loader.add_argument("--table", required=True)
+    loader.add_argument("--output", required=True)
+    loader.add_argument("--keys", nargs="+", default=[], help="columns to cluster by")
+    loader.set_defaults(run=load)
+
     sizer = commands.add_parser("storage")
     sizer.add_argument("--path", nargs="+", required=True)
     sizer.add_argument("--rate", type=float, default=metering.BIGQUERY_STORAGE_PER_GB_MONTH)

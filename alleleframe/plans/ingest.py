@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from alleleframe.operators.annotate import (
     derive_frequency_columns,
@@ -30,9 +31,22 @@ from alleleframe.sources.vcf import read_vcf
 GENE_KEYS = ["Gene_name"]
 
 
-def variants_from_vcf(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
-    """Flat variants, one row per alternate allele; ``options`` go to ``read_vcf``."""
-    return explode_alternates(flatten_structs(read_vcf(spark, paths, **options)))
+def variants_from_vcf(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    align: Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """Flat variants, one row per alternate allele; ``options`` go to ``read_vcf``.
+
+    ``align`` names the arrays with a value per allele; other arrays stay whole.
+    ``filters`` that stay whole become text, joined by ``;``, so that a record's
+    filter holds for all its alternates.
+    """
+    flat = explode_alternates(flatten_structs(read_vcf(spark, paths, **options)), align=align)
+    if align is not None and "filters" not in align:
+        flat = flat.withColumn("filters", F.array_join("filters", ";"))
+    return flat
 
 
 def annotations_from_tsv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
@@ -42,10 +56,18 @@ def annotations_from_tsv(spark: SparkSession, paths: str | Sequence[str], **opti
 
 
 def genes_from_tsv(
-    spark: SparkSession, paths: str | Sequence[str], keep_nulls: bool = False, **options
+    spark: SparkSession, paths: str | Sequence[str], keep_nulls: bool | None = None, **options
 ) -> DataFrame:
-    """Genes with clean column names and only texts a warehouse can hold."""
-    return within_length(clean_names(read_tsv(spark, paths, **options)), keep_nulls=keep_nulls)
+    """Genes with clean column names and only texts a warehouse can hold.
+
+    With a ``null_value``, rows with missing texts are kept; to drop them would
+    lose every gene with one missing mark, so that pair is refused.
+    """
+    marked = options.get("null_value") is not None
+    if marked and keep_nulls is False:
+        raise ValueError("null_value with keep_nulls=False drops every row with a missing text")
+    keep = marked if keep_nulls is None else keep_nulls
+    return within_length(clean_names(read_tsv(spark, paths, **options)), keep_nulls=keep)
 
 
 def merged_variants(variants: DataFrame, annotations: DataFrame) -> DataFrame:

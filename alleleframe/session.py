@@ -38,7 +38,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="alleleframe-"))
         root = spark.sparkContext.getCheckpointDir()
@@ -54,11 +55,13 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, mb_per_partition: int = 64) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, mb_per_partition: int = 1280) -> int:
     """Raise the number of shuffle partitions to fit ``input_bytes``; never lower it.
 
-    Compressed input grows a few times in a shuffle, so 64 MB of files stay
-    well inside a task's memory. Adaptive execution merges what is too small.
+    A partition takes about 1.25 GB of files: sorts and joins spill, and at 100 TB
+    there are 80,000 partitions, not a million whose block lists no driver holds.
+    The session's number covers small inputs, and adaptive execution splits and
+    merges partitions by their measured size.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(current, -(-input_bytes // (mb_per_partition * 1024 * 1024)))

@@ -11,22 +11,38 @@ from alleleframe.functions.columns import quoted
 from alleleframe.session import drop_scratch, scratch_path
 
 TARGET_FILE_MB = 256
+CODEC = "snappy"
+# Ranges of one clustered write, at most: each may hold several files.
+MOST_RANGES = 30_000
 _BYTES_PER_MB = 1024 * 1024
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``path`` with snappy Parquet files."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    codec: str = CODEC,
+    rows_per_file: int = 0,
+) -> None:
+    """Overwrite ``path`` with Parquet files; a task starts a new file after ``rows_per_file`` rows."""
+    writer = df.write.mode("overwrite").option("compression", codec)
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
 def save_external_table(
-    df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    path: str,
+    partition_by: Sequence[str] = (),
+    codec: str = CODEC,
+    rows_per_file: int = 0,
 ) -> DataFrame:
     """Overwrite a catalog table whose files live at ``path``; return its scan."""
-    writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy")
+    writer = df.write.mode("overwrite").format("parquet").option("compression", codec)
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table, path=path)
@@ -56,6 +72,20 @@ def target_file_count(total_bytes: int, target_mb: int = TARGET_FILE_MB) -> int:
     return max(int(total_bytes / _BYTES_PER_MB / target_mb), 1)
 
 
+def range_layout(total_bytes: int, rows: int, target_mb: int = TARGET_FILE_MB) -> tuple[int, int]:
+    """Number of key ranges and rows per file for files of about ``target_mb``.
+
+    One range per file while these are few. Beyond ``MOST_RANGES``, a range holds
+    several files, cut by row count, so that a shuffle of 100 TB has some ten
+    thousand reducers, sorted outside of memory, and not one per file.
+    """
+    files = target_file_count(total_bytes, target_mb)
+    if files <= MOST_RANGES:
+        return files, 0
+    per_range = -(-files // MOST_RANGES)
+    return -(-files // per_range), max(1, rows // files)
+
+
 def cluster_files(df: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
     """``df`` in ``count`` key ranges of similar size, each sorted by key.
 
@@ -80,6 +110,7 @@ def write_clustered(
     table: str | None = None,
     partition_by: Sequence[str] = (),
     target_mb: int = TARGET_FILE_MB,
+    codec: str = CODEC,
 ) -> DataFrame:
     """Write ``df`` clustered by ``keys`` into files of about ``target_mb``.
 
@@ -87,17 +118,19 @@ def write_clustered(
     gives the compressed size that sets the file count, and it keeps the
     sampling pass of the range partitioning from running the parse or join
     behind ``df`` a second time; a lost executor restarts from there too. The
-    staged copy is deleted once the result is written.
+    staged copy is deleted once the result is written, or when the write fails.
     """
     spark = df.sparkSession
     staged = scratch_path(spark, "stage")
-    write_parquet(df, staged)
-    count = target_file_count(stored_size(spark, staged).first().total_bytes, target_mb)
-    clustered = cluster_files(spark.read.parquet(staged), keys, count)
-    if table:
-        written = save_external_table(clustered, table, path, partition_by)
-    else:
-        write_parquet(clustered, path, partition_by)
-        written = spark.read.parquet(path)
-    drop_scratch(spark, staged)
-    return written
+    try:
+        write_parquet(df, staged, codec=codec)
+        copy = spark.read.parquet(staged)
+        size = stored_size(spark, staged).first().total_bytes
+        count, rows_per_file = range_layout(size, copy.count(), target_mb)
+        clustered = cluster_files(copy, keys, count)
+        if table:
+            return save_external_table(clustered, table, path, partition_by, codec, rows_per_file)
+        write_parquet(clustered, path, partition_by, codec, rows_per_file)
+        return spark.read.parquet(path)
+    finally:
+        drop_scratch(spark, staged)

@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alleleframe.functions.columns import quoted
 from alleleframe.operators.filters import MAX_TEXT_LENGTH
-from alleleframe.sinks.storage import save_external_table
+from alleleframe.sinks.statistics import collect_statistics, column_statistics
+from alleleframe.sinks.storage import TARGET_FILE_MB, cluster_files, range_layout, stored_size
 
 _SPARE_CHARACTERS = 5
 
 
-def text_width(longest: int | None) -> int:
-    """Width for a text column whose longest value has ``longest`` characters."""
-    if longest is None:
-        return MAX_TEXT_LENGTH
-    return min(longest + _SPARE_CHARACTERS, MAX_TEXT_LENGTH)
-
-
 def text_width_profile(df: DataFrame) -> DataFrame:
     """``column_name, max_length, width`` of every string column, in one pass."""
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -33,9 +29,29 @@ def text_width_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def warehouse_types(df: DataFrame) -> dict[str, str]:
-    """Column types of a warehouse table able to hold ``df``."""
-    widths = {row.column_name: row.width for row in text_width_profile(df).collect()}
+def stored_widths(spark: SparkSession, table: str) -> dict[str, int]:
+    """Widths of text columns from the statistics of a catalog table, where it has them."""
+    names = [f.name for f in spark.table(table).schema if isinstance(f.dataType, T.StringType)]
+    stored = column_statistics(spark, table, names).collect()
+    return {
+        row.column_name: min(int(row.max_col_len) + _SPARE_CHARACTERS, MAX_TEXT_LENGTH)
+        for row in stored
+        if row.max_col_len is not None
+    }
+
+
+def warehouse_types(df: DataFrame, widths: dict[str, int] | None = None) -> dict[str, str]:
+    """Column types of a warehouse table able to hold ``df``.
+
+    Text columns whose width is not given are measured in one pass.
+    """
+    widths = dict(widths or {})
+    unknown = [
+        f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in widths
+    ]
+    if unknown:
+        measured = text_width_profile(df.select(*map(quoted, unknown))).collect()
+        widths |= {row.column_name: row.width for row in measured}
     types = {}
     for field in df.schema:
         if isinstance(field.dataType, T.StringType):
@@ -47,26 +63,52 @@ def warehouse_types(df: DataFrame) -> dict[str, str]:
     return types
 
 
-def create_typed_table(df: DataFrame, table: str, path: str) -> DataFrame:
+def create_typed_table(
+    df: DataFrame,
+    table: str,
+    path: str,
+    keys: Sequence[str] = (),
+    widths: dict[str, int] | None = None,
+    target_mb: int = TARGET_FILE_MB,
+) -> DataFrame:
     """Replace ``table`` by one of bounded text columns and fill it from ``df``.
 
     Spark checks each value against its width on write and raises if it is too
-    long.
+    long. With ``keys``, ``df`` must be a Parquet scan; files are then clustered
+    by them.
     """
     spark = df.sparkSession
     columns = ", ".join(
         f"`{name}` {'DOUBLE' if kind == 'FLOAT8' else kind}"
-        for name, kind in warehouse_types(df).items()
+        for name, kind in warehouse_types(df, widths).items()
     )
+    rows = df
+    if keys:
+        folders = sorted({file.rsplit("/", 1)[0] for file in df.inputFiles()})
+        size = stored_size(spark, folders).first().total_bytes
+        rows = cluster_files(df, keys, range_layout(size, 0, target_mb)[0])
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
-    df.write.insertInto(table, overwrite=True)
+    rows.write.insertInto(table, overwrite=True)
     return spark.read.table(table)
 
 
-def load_checked(spark: SparkSession, source: str, table: str, path: str) -> DataFrame:
-    """Load Parquet files into a table and raise if it stays empty."""
-    loaded = save_external_table(spark.read.parquet(source), table, path)
-    if loaded.isEmpty():
-        raise RuntimeError(f"data load failed for {table}")
+def load_checked(
+    spark: SparkSession, source: str, table: str, path: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Load Parquet files or a table into a typed, clustered and analysed table.
+
+    The source is tested first, so an empty one leaves an old table as it is.
+    Widths come from the source's statistics if it is a table that has them. A
+    table with another number of rows than its source raises.
+    """
+    stored = "/" not in source
+    df = spark.read.table(source) if stored else spark.read.parquet(source)
+    if df.isEmpty():
+        raise RuntimeError(f"data load failed for {table}: {source} is empty")
+    widths = stored_widths(spark, source) if stored else None
+    loaded = create_typed_table(df, table, path, keys, widths)
+    collect_statistics(spark, table)
+    if loaded.count() != df.count():
+        raise RuntimeError(f"data load failed for {table}: rows are missing")
     return loaded

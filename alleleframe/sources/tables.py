@@ -35,8 +35,20 @@ def read_tsv(
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One scan over one or many Parquet folders."""
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    """One scan over one or many Parquet folders.
+
+    Columns of many folders are matched by name, whatever their order. Folders
+    whose names or types differ raise; Spark alone would take the columns of one.
+    """
+    if isinstance(paths, str):
+        return spark.read.parquet(paths)
+    schemas = {path: spark.read.parquet(path).schema for path in paths}
+    first, schema = next(iter(schemas.items()))
+    kinds = lambda s: {f.name: f.dataType for f in s}
+    for path, other in schemas.items():
+        if kinds(other) != kinds(schema):
+            raise ValueError(f"columns of {path} differ from those of {first}")
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

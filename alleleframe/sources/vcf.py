@@ -62,9 +62,21 @@ def info_fields(header: Iterable[str]) -> list[InfoField]:
     return fields
 
 
-def _require_readable(spark: SparkSession, paths: Sequence[str]) -> None:
+def common_fields(headers: dict[str, list[str]]) -> list[InfoField]:
+    """INFO fields of all files; a field declared in two ways raises."""
+    fields: dict[str, InfoField] = {}
+    for path, header in headers.items():
+        if not any(line.startswith("##") for line in header):
+            raise ValueError(f"no VCF header found in {path}; name the file that has it with header=")
+        for field in info_fields(header):
+            if fields.setdefault(field.name, field) != field:
+                raise ValueError(f"INFO field {field.name} of {path} is declared otherwise elsewhere")
+    return list(fields.values())
+
+
+def _require_readable(spark: SparkSession, files: Sequence[str]) -> None:
     """Plain ``.bgz`` needs a codec; without one Spark would read raw bytes."""
-    if any(p.endswith(".bgz") for p in paths):
+    if any(p.endswith(".bgz") for p in files):
         codecs = spark.conf.get("spark.hadoop.io.compression.codecs", "") or ""
         if "bgz" not in codecs.lower():
             raise ValueError(
@@ -78,11 +90,12 @@ def _info_as_json(info: Column) -> Column:
 
     A map would be searched from its start for every declared field, which is
     quadratic on the hundreds of INFO fields of a population VCF; a repeated
-    key would also raise. Here the last one wins.
+    key would also raise. Here the last one wins. Entries without a name become
+    members without a name, which nothing reads.
     """
     escaped = F.replace(info, F.lit("\\"), F.lit("\\\\"))
     escaped = F.replace(escaped, F.lit('"'), F.lit('\\"'))
-    members = F.regexp_replace(escaped, r";*([^;=]++)(?:=([^;]*+))?;*", '"$1":"$2",')
+    members = F.regexp_replace(escaped, r";*(?:([^;=]++)(?:=([^;]*+))?|=[^;]*+);*", '"$1":"$2",')
     return F.concat(F.lit("{"), F.rtrim(members, F.lit(",")), F.lit("}"))
 
 
@@ -146,21 +159,23 @@ def read_vcf(
 ) -> DataFrame:
     """Scan VCF files with one schema, such as one file per chromosome.
 
-    ``header`` is a path or the lines themselves; by default it is taken from
-    the first file. ``fields`` keeps only some INFO fields. A gzip file is one
-    task, so ship many files, or plain text, which splits.
+    By default the header of every file is read: fields of all files are kept,
+    and a field that two files declare in different ways raises. ``header``, a
+    path or the lines themselves, stands for all files; what it does not declare
+    is not read. ``fields`` keeps only some INFO fields. A gzip file is one task,
+    so ship many files, or plain text, which splits.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    _require_readable(spark, paths)
     lines = spark.read.text(paths)
+    files = sorted(lines.inputFiles())
+    _require_readable(spark, [*paths, *files])
     if header is None:
-        header = header_lines(spark, sorted(lines.inputFiles())[0])
+        headers = {file: header_lines(spark, file) for file in files}
     elif isinstance(header, str):
-        header = header_lines(spark, header)
-    header = list(header)
-    if not any(line.startswith("##") for line in header):
-        raise ValueError("no VCF header found; name the file that has it with header=")
-    declared = info_fields(header)
+        headers = {header: header_lines(spark, header)}
+    else:
+        headers = {"header": list(header)}
+    declared = common_fields(headers)
     if fields is not None:
         unknown = set(fields) - {f.name for f in declared}
         if unknown:

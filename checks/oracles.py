@@ -385,5 +385,11 @@ SELECT run_id, {_duration("seconds * 40")} AS runtime FROM runs""",
 }
 
 
+_STORED = "SELECT CAST(SUM(strlen(COALESCE(o_orderpriority, '')) + 1) AS BIGINT) AS total_bytes FROM orders"
+OPERATORS["stored_size"] = _STORED
+OPERATORS["storage_cost"] = f"""SELECT total_bytes, total_bytes / CAST(1073741824 AS DOUBLE) AS total_gb,
+ total_bytes / CAST(1073741824 AS DOUBLE) * CAST(0.024 AS DOUBLE) AS monthly_cost FROM ({_STORED})"""
+
+
 def all_sql() -> dict[str, str]:
     return {**SUITE, **OPERATORS}

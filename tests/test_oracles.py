@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from alleleframe.operators import metering
+from alleleframe.sinks import storage
+from checks import oracles, registered
 from checks.compare import connect, differences
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registered.all_queries()
+SQL = oracles.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +19,10 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-def test_only_stored_sizes_lack_an_oracle():
-    assert set(QUERIES) - set(SQL) == {"storage_cost"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_an_oracle_and_is_registered():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -26,10 +30,11 @@ def test_equals_oracle(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, SQL[name]) == []
 
 
-def test_storage_cost_counts_the_files(spark, sf_dir):
+def test_stored_size_counts_the_files(spark, sf_dir):
     import os
 
-    row = QUERIES["storage_cost"](spark, sf_dir).first()
+    paths = [f"{sf_dir}/{n}.parquet" for n in ("lineitem", "part", "orders")]
+    row = metering.storage_cost(storage.stored_size(spark, paths), 0.024).first()
     sizes = [os.path.getsize(f"{sf_dir}/{n}.parquet") for n in ("lineitem", "part", "orders")]
     assert row.total_bytes == sum(sizes)
     assert row.monthly_cost == sum(sizes) / 1024**3 * 0.024

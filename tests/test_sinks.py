@@ -77,10 +77,48 @@ def test_load_must_not_be_empty(spark, tmp_path):
         warehouse.load_checked(spark, source, "t_empty", str(tmp_path / "t"))
 
 
-def test_widths():
-    assert [warehouse.text_width(n) for n in (None, 0, 10, 65530, 65534, 10**6)] == [
-        65535, 5, 15, 65535, 65535, 65535,
-    ]
+def test_empty_source_leaves_the_old_table(spark, tmp_path):
+    full, empty = str(tmp_path / "full"), str(tmp_path / "none")
+    storage.write_parquet(spark.range(5), full)
+    storage.write_parquet(spark.range(0), empty)
+    warehouse.load_checked(spark, full, "t_kept", str(tmp_path / "t"))
+    with pytest.raises(RuntimeError, match="t_kept"):
+        warehouse.load_checked(spark, empty, "t_kept", str(tmp_path / "t"))
+    assert spark.table("t_kept").count() == 5
+
+
+def test_load_is_typed_clustered_and_analysed(spark, tmp_path):
+    source = str(tmp_path / "source")
+    df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS k", "concat('v', id) AS v")
+    storage.write_parquet(df.repartition(4), source)
+    loaded = warehouse.load_checked(spark, source, "t_load", str(tmp_path / "t"), keys=["k"])
+    assert rows(loaded) == rows(df)
+    types = {r.col_name: r.data_type for r in spark.sql("DESCRIBE t_load").collect()}
+    assert types["v"] == "varchar(9)"
+    for name in os.listdir(tmp_path / "t"):
+        if name.endswith(".parquet"):
+            keys = [r.k for r in spark.read.parquet(str(tmp_path / "t" / name)).collect()]
+            assert keys == sorted(keys)
+    assert column_statistics(spark, "t_load", ["k"]).first()["max"] == "999"
+    # Widths of a further load come from these statistics.
+    assert warehouse.stored_widths(spark, "t_load") == {"v": 9}
+    again = warehouse.load_checked(spark, "t_load", "t_again", str(tmp_path / "t2"), keys=["k"])
+    assert rows(again) == rows(df)
+
+
+def test_one_range_holds_several_sorted_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "MOST_RANGES", 2)
+    monkeypatch.setattr(storage, "target_file_count", lambda *a: 8)
+    out = str(tmp_path / "out")
+    written = storage.write_clustered(spark.range(4000).selectExpr("4000 - id AS k"), out, ["k"], codec="zstd")
+    assert sorted(r.k for r in written.collect()) == list(range(1, 4001))
+    files = sorted(f for f in os.listdir(out) if f.endswith(".parquet"))
+    assert len(files) >= 8
+    assert len({f.split("-")[1] for f in files}) == 2
+    assert all("zstd" in f for f in files)
+    for f in files:
+        keys = [r.k for r in spark.read.parquet(f"{out}/{f}").collect()]
+        assert keys == sorted(keys)
 
 
 def test_typed_table_checks_widths(spark, tmp_path):

@@ -91,6 +91,50 @@ def test_gzip_shards_share_one_header(spark, tmp_path):
     assert rows(nested.groupBy("contigName").count()) == [("chr1", 4), ("chr2", 3)]
 
 
+def test_fields_of_all_headers_are_read(spark, tmp_path):
+    first = write_vcf(tmp_path / "a.vcf", RECORDS)
+    more = [*HEADER[:-1], '##INFO=<ID=extra,Number=1,Type=Integer,Description="x">', HEADER[-1]]
+    second = write_vcf(tmp_path / "b.vcf", ["chr2\t5\t.\tA\tT\t.\tPASS\tAN=1;extra=9"], header=more)
+    nested = vcf.read_vcf(spark, [first, second])
+    assert rows(nested, "contigName", "INFO.extra")[-1] == ("chr2", 9)
+    other = [line.replace("ID=AN,Number=1,Type=Integer", "ID=AN,Number=1,Type=Float") for line in HEADER]
+    third = write_vcf(tmp_path / "c.vcf", RECORDS, header=other)
+    with pytest.raises(ValueError, match="AN"):
+        vcf.read_vcf(spark, [first, third])
+    assert vcf.read_vcf(spark, [first, third], header=HEADER).count() == 6
+
+
+def test_nameless_info_entries_are_skipped(spark, tmp_path):
+    records = [f"chr1\t{i}\t.\tA\tT\t.\tPASS\t{info}" for i, info in enumerate(["AF=0.1;=x", "=x;AF=0.1", "=", "=;=;AF=0.1;"])]
+    nested = vcf.read_vcf(spark, write_vcf(tmp_path / "a.vcf", records))
+    assert rows(nested, "start", "INFO.AF") == [(0, [0.1]), (1, [0.1]), (2, None), (3, [0.1])]
+
+
+def test_aligned_arrays_leave_filters_whole(spark, tmp_path):
+    path = write_vcf(tmp_path / "a.vcf", RECORDS)
+    flat = variants_from_vcf(spark, path, align=["INFO_AF"])
+    assert rows(flat, "alternateAllele", "filters", "INFO_AF")[:2] == [
+        ("G", "AC0;AS_VQSR", None),
+        ("G", "PASS", 0.2),
+    ]
+
+
+def test_bgz_in_a_folder_needs_a_codec(spark, tmp_path):
+    write_vcf(tmp_path / "a.vcf.bgz", RECORDS, compress=True)
+    with pytest.raises(ValueError, match="codec"):
+        vcf.read_vcf(spark, str(tmp_path), header=HEADER)
+
+
+def test_shard_folders_must_have_the_same_columns(spark, tmp_path):
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(one)
+    spark.createDataFrame([("b", 2)], "v string, k int").write.parquet(two)
+    spark.createDataFrame([(3, "c", 1)], "k int, v string, extra int").write.parquet(three)
+    assert rows(tables.read_parquet(spark, [one, two]), "k", "v") == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="three"):
+        tables.read_parquet(spark, [one, two, three])
+
+
 def test_bgz_needs_a_codec(spark, tmp_path):
     with pytest.raises(ValueError, match="codec"):
         vcf.read_vcf(spark, write_vcf(tmp_path / "a.vcf.bgz", RECORDS, compress=True))
@@ -156,6 +200,12 @@ def test_union_goes_by_name(spark):
 
 def test_genes(spark, tmp_path):
     (tmp_path / "g.tsv").write_text("Gene_name\tGene.full\nG1\tx\nG2\t\nG3\t" + "y" * 65536 + "\n")
-    assert rows(genes_from_tsv(spark, str(tmp_path))) == [("G1", "x")]
-    assert rows(genes_from_tsv(spark, str(tmp_path), keep_nulls=True)) == [("G1", "x"), ("G2", None)]
-    assert genes_from_tsv(spark, str(tmp_path)).columns == ["Gene_name", "Gene_full"]
+    assert rows(genes_from_tsv(spark, str(tmp_path / "g.tsv"))) == [("G1", "x")]
+    assert rows(genes_from_tsv(spark, str(tmp_path / "g.tsv"), keep_nulls=True)) == [("G1", "x"), ("G2", None)]
+    marked = tmp_path / "marked"
+    marked.mkdir()
+    (marked / "g.tsv").write_text("Gene_name\tnote\nG1\tx\nG2\t.\nG3\t.\n")
+    assert genes_from_tsv(spark, str(marked), null_value=".").count() == 3
+    with pytest.raises(ValueError, match="keep_nulls"):
+        genes_from_tsv(spark, str(marked), null_value=".", keep_nulls=False)
+    assert genes_from_tsv(spark, str(tmp_path / "g.tsv")).columns == ["Gene_name", "Gene_full"]
