@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +19,15 @@ from alleleframe.operators.reshape import (
     annotation_columns,
     frequency_columns,
 )
+from alleleframe.session import scratch_path
 
-# The sketch returns at most this many keys and tracks this many; its error is
-# then below 0.2 % of the rows. One task merges the sketches of all others, so
-# their number is bounded too.
-_RETURNED_KEYS = 100
-_TRACKED_KEYS = 2_000
-_SKETCHES = 4_096
+# Rows of one key that a task joins without being split, in bytes before compression.
+TASK_BYTES = 256 * 1024 * 1024
+# Key hashes, 8 bytes each, that every executor may hold to route rows without a shuffle. At
+# TASK_BYTES per key, 250 TB of rows have fewer hot keys.
+_BROADCAST_KEYS = 1_000_000
+# Bytes a value is taken to have, by type; others count as 64.
+_VALUE_BYTES = {"boolean": 1, "int": 4, "float": 4, "bigint": 8, "double": 8, "string": 32}
 
 
 def derive_frequency_columns(variants: DataFrame) -> DataFrame:
@@ -45,74 +45,67 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[quoted(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[tuple]:
-    """Keys without NULL that hold at least about ``share`` of the rows of ``df``.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None
+) -> DataFrame | None:
+    """Hashes (``_hash``) of the keys that hold more rows than one task should join.
 
-    One pass over the key columns with a mergeable frequent-items sketch, no
-    shuffle of rows; only if it finds something, a second pass that looks up
-    the key values. At most about 1 / ``share`` keys reach the driver. They
-    only choose a route for rows, so an estimate is enough.
+    By default that is ``TASK_BYTES`` of rows of ``df``. Group counts of the
+    8-byte key hash, with partial counts before the shuffle; the result is kept
+    in the shared folder as a table, of any number of keys, and is None if there
+    is none. It only chooses a route for rows, so keys that share a hash do no harm.
     """
-    if share < 1 / _RETURNED_KEYS:
-        raise ValueError(f"share must be at least {1 / _RETURNED_KEYS}")
-    sketch = F.expr(f"approx_top_k(_hash, {_RETURNED_KEYS}, {_TRACKED_KEYS})")
-    row = (
-        df.select(_key_hash(keys).alias("_hash"))
-        .coalesce(_SKETCHES)
-        .agg(sketch.alias("top"), F.count("*").alias("total"))
-        .first()
+    if rows_per_task is None:
+        row = sum(_VALUE_BYTES.get(kind, 64) for _, kind in df.dtypes)
+        rows_per_task = max(1, TASK_BYTES // row)
+    spark = df.sparkSession
+    path = scratch_path(spark, "hot-keys")
+    (
+        df.select(*map(quoted, keys))
+        .dropna()
+        .groupBy(_key_hash(keys).alias("_hash"))
+        .count()
+        .filter(F.col("count") > rows_per_task)
+        .select("_hash")
+        .write.parquet(path)
     )
-    hashes = [item["item"] for item in row.top if item["count"] >= share * row.total]
-    if not hashes:
-        return []
-    frequent = df.filter(_key_hash(keys).isin(hashes)).select(*map(quoted, keys))
-    return [tuple(r) for r in frequent.dropna().distinct().collect()]
-
-
-def _is_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[tuple]) -> tuple[Column, Column]:
-    """Whether a row's key is in ``hot`` (never NULL), and a looser test on each column.
-
-    The second one reaches the Parquet scan: on a table clustered by key it
-    leaves few row groups to read.
-    """
-    types = [df.schema[k].dataType for k in keys]
-    values = [[F.lit(v).cast(t) for v, t in zip(key, types)] for key in hot]
-    exact = [
-        reduce(and_, [quoted(k).eqNullSafe(v) for k, v in zip(keys, key)]) for key in values
-    ]
-    hashes = [F.xxhash64(*key) for key in values]
-    per_column = [
-        quoted(k).isin(sorted({key[i] for key in hot})) for i, k in enumerate(keys)
-    ]
-    return _key_hash(keys).isin(hashes) & reduce(or_, exact), reduce(and_, per_column)
+    hot = spark.read.schema("_hash bigint").parquet(path)
+    return None if hot.isEmpty() else hot
 
 
 def left_join_on_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: Sequence[tuple] = ()
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
 ) -> DataFrame:
     """Left outer equi-join; repeated right keys multiply rows.
 
     Adaptive execution can split a hot partition of the left side of an outer
-    join but not of its right side. Rows whose key is in ``hot`` therefore go
-    through an inner join, where both sides can be split, and through an anti
-    join against the distinct hot keys, which restores unmatched rows.
+    join but not of its right side. Rows whose key hash is in ``hot`` therefore
+    go through an inner join, where both sides can be split, and through an anti
+    join against the distinct hot keys, which restores unmatched rows. Rows are
+    routed where they are read, as a shuffle by hash would bring a hot key into
+    one task; only more than ``_BROADCAST_KEYS`` hot keys are not broadcast.
     """
     keys = list(keys)
     for key in keys:
         if left.schema[key].dataType != right.schema[key].dataType:
             raise TypeError(f"key {key} has different types on the two sides; cast it at ingest")
-    if not hot:
+    if hot is None:
         return left.join(right, keys, "left")
-    is_hot, in_hot_columns = _is_hot(left, keys, hot)
-    left_hot, right_hot = (df.filter(in_hot_columns & is_hot) for df in (left, right))
-    cold = left.filter(~is_hot).join(right.filter(~is_hot), keys, "left")
+
+    listed = F.broadcast(hot) if hot.count() <= _BROADCAST_KEYS else hot
+
+    def routed(df: DataFrame, kind: str) -> DataFrame:
+        return df.withColumn("_hash", _key_hash(keys)).join(listed, "_hash", kind).drop("_hash")
+
+    left_hot, right_hot = routed(left, "left_semi"), routed(right, "left_semi")
+    cold = routed(left, "left_anti").join(routed(right, "left_anti"), keys, "left")
     matched = left_hot.join(right_hot, keys, "inner")
     unmatched = left_hot.join(right_hot.select(*map(quoted, keys)).distinct(), keys, "left_anti")
     return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
 
 
 def merge_annotations(
-    variants: DataFrame, annotations: DataFrame, hot: Sequence[tuple] = ()
+    variants: DataFrame, annotations: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
     """Variants that passed all filters, with every annotation that shares their key."""
     left = variants.filter(F.col("filters") == "PASS").select(

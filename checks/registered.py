@@ -214,13 +214,13 @@ def annotate_left_join(spark, sf_dir):
 
 def annotate_hot_keys(spark, sf_dir):
     """Left join where one key holds a third of the annotations."""
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")).distinct()
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
     notes = table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_suppkey") * 16).alias("key"),
         "l_orderkey",
         "l_returnflag",
     )
-    return left_join_on_keys(customers, notes, ["key"], hot_keys(notes, ["key"]))
+    return left_join_on_keys(customers, notes, ["key"], hot_keys(notes, ["key"], rows_per_task=1000))
 
 
 def string_key_join(spark, sf_dir):

@@ -106,14 +106,20 @@ def skewed_tables(spark):
     return left, right
 
 
+def hashes(spark, *keys, names):
+    return spark.createDataFrame(list(keys), names).select(F.xxhash64(*names).alias("_hash"))
+
+
 def test_hot_keys_take_another_route_to_the_same_rows(spark):
     left, right = skewed_tables(spark)
-    hot = hot_keys(right, ["k"], share=0.1)
-    assert hot == [(7,)]
+    right = right.withColumn("k", F.col("k").cast("bigint"))
+    left = left.withColumn("k", F.col("k").cast("bigint"))
+    hot = hot_keys(right, ["k"], rows_per_task=20)
+    assert rows(hot) == rows(hashes(spark, (7,), names=["k"]))
     plain = left.join(right, ["k"], "left")
     # Keys that only the left side has, or none, may be routed too.
-    for route in (hot, [*hot, (399,)], [(399,), (-1,)], [(k,) for k in range(100)]):
-        split = left_join_on_keys(left, right, ["k"], route)
+    for route in ([(7,)], [(7,), (399,)], [(399,), (-1,)], [(k,) for k in range(100)]):
+        split = left_join_on_keys(left, right, ["k"], hashes(spark, *route, names=["k"]))
         assert split.columns == plain.columns
         assert rows(split) == rows(plain)
 
@@ -127,21 +133,21 @@ def test_hot_keys_of_several_columns(spark):
         F.when(F.col("id") < 100, 4).when(F.col("id") == 200, None).otherwise(F.col("id") % 25).alias("p"),
         F.col("id").alias("r"),
     )
-    hot = hot_keys(right, ["c", "p"], share=0.2)
-    assert hot == [("c1", 4)]
-    for route in (hot, [*hot, ("c2", 4), ("c1", 5)]):
-        assert rows(left_join_on_keys(left, right, ["c", "p"], route)) == rows(
-            left.join(right, ["c", "p"], "left")
-        )
+    hot = hot_keys(right, ["c", "p"], rows_per_task=50)
+    assert rows(hot) == rows(hashes(spark, ("c1", 4), names=["c", "p"]))
+    for route in ([("c1", 4)], [("c1", 4), ("c2", 4), ("c1", 5)]):
+        joined = left_join_on_keys(left, right, ["c", "p"], hashes(spark, *route, names=["c", "p"]))
+        assert rows(joined) == rows(left.join(right, ["c", "p"], "left"))
 
 
-def test_mostly_null_keys_are_not_hot(spark):
+def test_null_keys_are_not_hot(spark):
     df = spark.range(1000).select(F.when(F.col("id") > 900, F.col("id")).alias("k"))
-    assert hot_keys(df, ["k"], share=0.1) == []
+    assert hot_keys(df, ["k"], rows_per_task=100) is None
 
 
 def test_no_hot_keys_in_even_data(spark):
-    assert hot_keys(spark.range(10000), ["id"]) == []
+    assert hot_keys(spark.range(10000), ["id"], rows_per_task=1) is None
+    assert hot_keys(spark.range(10000), ["id"]) is None
 
 
 def test_merge_keeps_passing_variants_and_multiplies(spark):

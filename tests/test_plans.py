@@ -102,14 +102,6 @@ def test_pass_filter_is_below_the_join(spark, sf_dir):
 def test_one_scan_for_related_reports(published):
     plan = final(final_plan(reports.sex_difference_overview(published[0])))
     assert plan.count("FileScan") == 1
-    assert "WindowGroupLimit" in plan
-
-
-def test_hot_rows_are_looked_up_by_key_in_the_scan(spark, tmp_path):
-    write_clustered(spark.range(1000).withColumn("v", F.lit("x")), str(tmp_path / "t"), ["id"])
-    table = spark.read.parquet(str(tmp_path / "t"))
-    joined = left_join_on_keys(table, table.withColumnRenamed("v", "w"), ["id"], [(7,), (9,)])
-    assert final(final_plan(joined)).count("In(id, [7,9])") >= 3
 
 
 def test_adaptive_execution_splits_hot_keys_on_either_side(spark, conf):
@@ -122,13 +114,24 @@ def test_adaptive_execution_splits_hot_keys_on_either_side(spark, conf):
         spark__sql__adaptive__coalescePartitions__enabled="false",
     )
     text = F.sha2(F.col("id").cast("string"), 512)
-    many = spark.range(0, 60000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), text.alias("payload")
-    )
     few = spark.range(0, 2000, 1, 8).select(F.col("id").alias("k"), F.lit("x").alias("note"))
-    hot_left = left_join_on_keys(many, few, ["k"])
-    assert "skew=true" in final(final_plan(hot_left))
-    hot = hot_keys(many, ["k"])
-    hot_right = left_join_on_keys(few, many, ["k"], hot)
-    assert "skew=true" in final(final_plan(hot_right))
-    assert hot_right.count() == few.join(many, ["k"], "left").count()
+
+    def many(key):
+        return spark.range(0, 60000, 1, 8).select(key.alias("k"), text.alias("payload"))
+
+    third = many(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")))
+    assert "skew=true" in final(final_plan(left_join_on_keys(third, few, ["k"])))
+    # One key with a third of the rows, one with 0.9 %, and a thousand keys with 60 rows each.
+    cases = {
+        "third": (third, 1000, 1),
+        "small share": (many(F.when(F.col("id") % 111 == 0, 5).otherwise(F.col("id"))), 300, 1),
+        "many keys": (many(F.pmod("id", F.lit(1000))), 50, 1000),
+    }
+    for name, (right, rows_per_task, n) in cases.items():
+        hot = hot_keys(right, ["k"], rows_per_task)
+        assert hot.count() == n, name
+        joined = left_join_on_keys(few, right, ["k"], hot)
+        plan = final(final_plan(joined))
+        assert name == "many keys" or "skew=true" in plan, name
+        plain = few.join(right, ["k"], "left")
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty(), name
