@@ -1 +1,8 @@
 """Operators for preparing training text and embeddings; see README, section LLM."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from alleleframe.session import scratch_path
 
-#: Words are runs without ASCII white space.
-WORD_GAP = r"[\x20\x09-\x0D]+"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,7 +1,7 @@
 """Mix sources to target weights with Pareto order sampling.
 
 Every source gets a target in words: a share of all words by its weight, at most
-``max_copies`` times its own words; what a capped source leaves is shared again
+``MAX_COPIES`` times its own words; what a capped source leaves is shared again
 by weight. The words of a source are wanted ``target / words`` times. The whole
 part of that number is taken for certain; of the fraction, a sample is drawn.
 
@@ -47,7 +47,7 @@ def uniform(key: Column, seed: str = SEED) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def source_targets(sized: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+def source_targets(sized: DataFrame, weights=WEIGHTS) -> DataFrame:
     """One row per source: mix_source, source_size, target.
 
     ``sized`` has mix_source and size. Sources in code point order, null last,
@@ -66,7 +66,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPI
         range(len(weights)),
         F.lit(float(weights[0])),
     )
-    limit = F.col("source_size").cast("double") * float(max_copies)
+    limit = F.col("source_size").cast("double") * float(MAX_COPIES)
     order = W.orderBy(F.col("limit") / F.col("weight"), "place")
     whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     before = order.rowsBetween(W.unboundedPreceding, -1)
@@ -96,8 +96,8 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPI
     )
 
 
-def _scaled(sized: DataFrame, targets: DataFrame, max_copies: int, weighted: bool) -> DataFrame:
-    """Targets with ``scale``: wanted copies of a document are scale x weight, at most ``max_copies``.
+def _scaled(sized: DataFrame, targets: DataFrame, weighted: bool) -> DataFrame:
+    """Targets with ``scale``: wanted copies of a document are scale x weight, at most ``MAX_COPIES``.
 
     With equal weights that is target / words. With unequal ones, documents at
     the limit are set aside and the rest raised until no further one reaches it.
@@ -108,7 +108,7 @@ def _scaled(sized: DataFrame, targets: DataFrame, max_copies: int, weighted: boo
     current = targets.withColumn("scale", F.lit(0.0))
     limited = -1
     while True:
-        at_limit = F.col("scale") * F.col("mix_weight") >= max_copies
+        at_limit = F.col("scale") * F.col("mix_weight") >= MAX_COPIES
         parts = (
             sized.join(current, sized["mix_source"].eqNullSafe(current["mix_source"]))
             .groupBy(current["mix_source"])
@@ -123,8 +123,8 @@ def _scaled(sized: DataFrame, targets: DataFrame, max_copies: int, weighted: boo
             )
         )
         scale = F.when(
-            F.col("free") > 0, (F.col("target") - max_copies * F.col("full")) / F.col("free")
-        ).otherwise(float(max_copies))
+            F.col("free") > 0, (F.col("target") - MAX_COPIES * F.col("full")) / F.col("free")
+        ).otherwise(float(MAX_COPIES))
         current = staged(parts.withColumn("scale", scale), "mix-scale")
         now = current.agg(F.sum("limited")).first()[0] or 0
         if now == limited:
@@ -206,12 +206,12 @@ def _size_columns(docs: DataFrame, weight: str | None) -> DataFrame:
 
 
 def plan_mix(
-    docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, weight: str | None = None
+    docs: DataFrame, weights=WEIGHTS, weight: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Staged word counts of all documents, and one row per source with its cut."""
     sized = staged(_size_columns(docs, weight), "mix-sizes")
-    targets = staged(source_targets(sized, weights, max_copies), "mix-targets")
-    targets = _scaled(sized, targets, max_copies, weight is not None)
+    targets = staged(source_targets(sized, weights), "mix-targets")
+    targets = _scaled(sized, targets, weight is not None)
     return sized, staged(cuts(sized, targets), "mix-cuts")
 
 
@@ -233,7 +233,7 @@ def with_copies(rows: DataFrame, plan: DataFrame, source: Column, weight: Column
 
 def mix(docs: DataFrame, weights=WEIGHTS, weight: str | None = None) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it."""
-    _, plan = plan_mix(docs, weights, weight=weight)
+    _, plan = plan_mix(docs, weights, weight)
     share = F.col(weight).cast("double") if weight else F.lit(1.0)
     plain = docs.select(
         F.struct("*").alias("row"),
