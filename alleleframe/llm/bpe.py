@@ -1,12 +1,13 @@
 """Byte-level BPE over whole corpora: every distinct word is encoded once.
 
 Pre-tokens (the matches of the public pattern) repeat a lot. Documents are read
-in blocks of a bounded number of pre-tokens. A block keeps, per document, the
-sequence of its pre-tokens by position, as numbers of the block's own word list,
-and hands out that word list, one row per word. The words of all blocks meet in
-one shuffle, each distinct word is encoded once, the ids are joined back to the
-blocks' word lists, and every block is put together again by position. So a
-frequent word is one row per block, and only the packed sequences are moved.
+in blocks of a bounded number of pre-tokens. A block keeps the sequence of its
+pre-tokens by position, as numbers of the block's own word list, and hands out
+that word list once, packed into one row per hash bucket of words. Buckets are
+the global distinct-word shuffle: all lists of a bucket meet, each distinct word
+is encoded once, and every list gets its ids back as one packed row. Blocks are
+then put together again by position. A frequent word is one entry per block, and
+apart from the sequences only words that differ within a block are moved.
 
 Decoding joins the token-byte table: 50,256 rows whatever the data, so it is
 sent to the executors whole.
@@ -18,7 +19,6 @@ also null or repeated. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 
 import numpy as np
@@ -34,8 +34,13 @@ from pyspark.sql import types as T
 from alleleframe.llm.arrays import run_hashes, spans, text_bytes
 from alleleframe.llm.common import staged, table, whole_text
 
-#: Pre-tokens of a block, at most, but for one document that has more.
+#: Pre-tokens of a block, at most, but for what one megabyte of text or one document has more.
 BLOCK = 1 << 21
+#: Bytes of text per bucket of words.
+PER_BUCKET = 1 << 24
+MOST_BUCKETS = 1 << 18
+#: Numbers up to here take one byte, two bytes, more.
+_ONE, _TWO = 1 << 7, 1 << 14
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
@@ -44,7 +49,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-@functools.cache
 def character_kinds() -> np.ndarray:
     r"""Kind of every code point, as the tokenizer's own pattern engine sees \p{L}, \p{N} and \s."""
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
@@ -59,7 +63,7 @@ def character_kinds() -> np.ndarray:
     return kinds
 
 
-def token_starts(points: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+def token_starts(points: np.ndarray, fresh: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Where the matches of the public pattern begin; ``fresh`` marks the first point of a text.
 
     Matches cover the whole text, so their starts are enough. They are runs of
@@ -68,7 +72,7 @@ def token_starts(points: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     begins a match takes one of seven endings with it.
     """
     n = len(points)
-    kind = character_kinds()[points]
+    kind = kinds[points]
     begins = fresh.copy()
     begins[1:] |= kind[1:] != kind[:-1]
     space = kind == _SPACE
@@ -96,8 +100,8 @@ def token_starts(points: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
-def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Seven bits a byte, low ones first, the last byte below 128; and the end of every value."""
+def pack(values: np.ndarray) -> np.ndarray:
+    """Seven bits a byte, low ones first, the last byte of a value below 128."""
     sizes = 1 + (values >= 1 << 7) + (values >= 1 << 14) + (values >= 1 << 21)
     ends = np.cumsum(sizes)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
@@ -105,23 +109,39 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(4):
         more = sizes > k
         out[first[more] + k] = (values[more] >> 7 * k & 127) | np.where(sizes[more] > k + 1, 128, 0)
-    return out, ends
+    return out
 
 
-def unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of ``pack`` and the end of each."""
+def unpack(data: np.ndarray) -> np.ndarray:
+    """The values of ``pack``."""
     last = np.flatnonzero(data < 128)
-    if len(last) == 0:
-        return np.zeros(0, np.int64), last
-    first = np.append(0, last[:-1] + 1)
-    place = np.arange(len(data)) - np.repeat(first, last + 1 - first)
-    return np.add.reduceat((data & 127).astype(np.int64) << 7 * place, first), last + 1
+    found = np.empty(len(last), np.uint32)
+    for i in range(0, len(last), 1 << 18):
+        ends = last[i : i + (1 << 18)]
+        begin = int(last[i - 1]) + 1 if i else 0
+        part = data[begin : int(ends[-1]) + 1]
+        first = np.append(0, ends[:-1] + 1 - begin)
+        place = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+        found[i : i + len(ends)] = np.add.reduceat((part & 127).astype(np.int64) << 7 * place, first)
+    return found
+
+
+def _squeezed(values) -> bytes:
+    """Compressed bytes, with their size before."""
+    raw = values if isinstance(values, bytes) else values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _released(data: bytes, kind=np.uint8) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), kind)
 
 
 class _Block:
     """Word numbers of the documents read since the last flush."""
 
-    def __init__(self):
+    def __init__(self, kinds: np.ndarray):
+        self.kinds = kinds
         self.number: dict[int, int] = {}
         self.words: list[bytes] = []
         self.ids: list = []
@@ -132,19 +152,18 @@ class _Block:
     def add(self, data: np.ndarray, offsets: np.ndarray, ids: pa.Array) -> None:
         """Take some whole documents."""
         first_byte = np.flatnonzero((data & 0xC0) != 0x80)
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        raw = data.tobytes()
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
         begin = np.searchsorted(first_byte, offsets[:-1])
         fresh = np.zeros(len(points), bool)
         fresh[begin[offsets[:-1] < offsets[1:]]] = True
-        starts = token_starts(points, fresh) if len(points) else np.zeros(0, np.int64)
-        hashes = run_hashes(points, starts)
-        codes, different = pd.factorize(hashes)
+        starts = token_starts(points, fresh, self.kinds) if len(points) else np.zeros(0, np.int64)
+        codes, different = pd.factorize(run_hashes(points, starts))
         sample = np.empty(len(different), np.int64)
         sample[codes[::-1]] = np.arange(len(codes))[::-1]
         byte_at = np.append(first_byte, len(data))
         stops = np.append(starts, len(points))[sample + 1]
-        raw = data.tobytes()
-        numbers = np.empty(len(different), np.int64)
+        numbers = np.empty(len(different), np.uint32)
         heads, tails = byte_at[starts[sample]].tolist(), byte_at[stops].tolist()
         for i, key in enumerate(different.tolist()):
             known = self.number.get(key)
@@ -152,143 +171,218 @@ class _Block:
                 known = self.number[key] = len(self.words)
                 self.words.append(raw[heads[i] : tails[i]])
             numbers[i] = known
-        self.parts.append(numbers[codes].astype(np.uint32))
-        row = np.searchsorted(begin, starts, "right") - 1
+        self.parts.append(numbers[codes])
         # Empty documents share their place with the next one and come before it.
+        row = np.searchsorted(begin, starts, "right") - 1
         self.lengths.append(np.bincount(row, minlength=len(begin)))
         self.ids.append(ids)
         self.size += len(codes)
 
-    def rows(self, name: str) -> pa.RecordBatch:
-        """Documents with their packed sequences, then the words; frequent ones have small numbers."""
+    def rows(self, name: str, n_buckets: int) -> pa.RecordBatch:
+        """One row with the documents and their sequence, and one row of words per bucket.
+
+        Words are listed by bucket and bytes. Their numbers go by kind first (the
+        128 most frequent, the next 16,256, the rest), then by place in that list,
+        so frequent words are short in a sequence and the list needs no numbers.
+        """
         numbers = np.concatenate(self.parts)
         counts = np.bincount(numbers, minlength=len(self.words))
         order = np.argsort(-counts, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        packed, ends = pack(place[numbers])
-        upto = np.cumsum(np.concatenate(self.lengths))
-        marks = np.append(0, np.append(0, ends)[upto])
-        n, m = len(upto), len(order)
-        raw = packed.tobytes()
-        sequences = [raw[a:b] for a, b in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True)]
+        kind = np.empty(len(order), np.uint8)
+        kind[order] = (np.arange(len(order)) >= _ONE) + (np.arange(len(order)) >= _TWO).astype(int)
+        # The hash of a word is its key, in the order in which words were met.
+        bucket = (np.fromiter(self.number, np.uint64, len(order)) % np.uint64(n_buckets)).astype(int)
+        listed = sorted(zip(bucket.tolist(), self.words, range(len(order)), strict=True))
+        where = np.fromiter((i for _, _, i in listed), np.int64, len(listed))
+        place = np.empty(len(order), np.uint32)
+        place[where[np.argsort(kind[where], kind="stable")]] = np.arange(len(order))
+        packed = [pack(place[numbers[i : i + (1 << 18)]]) for i in range(0, len(numbers), 1 << 18)]
+        head = np.concatenate(self.lengths).astype("<u4")
         ids = pa.concat_arrays(self.ids)
+        first = np.flatnonzero(np.diff(np.append(-1, bucket[where])))
+        words, kinds = [], []
+        for a, b in zip(first, np.append(first[1:], len(where))[: len(first)], strict=True):
+            some = [w for _, w, _ in listed[a:b]]
+            sizes = pack(np.fromiter(map(len, some), np.int64, len(some)))
+            words.append(_squeezed(len(some).to_bytes(8, "little") + sizes.tobytes() + b"".join(some)))
+            kinds.append(_squeezed(kind[where[a:b]]))
+        n = len(first)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([name] * (n + m)),
-                pa.concat_arrays([ids, pa.nulls(m, ids.type)]),
-                pa.array(sequences + [None] * m, pa.binary()),
-                pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.arange(m, dtype=np.int32))]),
-                pa.array([None] * n + [self.words[i] for i in order.tolist()], pa.binary()),
+                pa.array([name] * (n + 1)),
+                pa.array([-1, *bucket[where[first]].tolist()], pa.int32()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)] + [len(ids)] * n, pa.int32()), ids),
+                pa.array([_squeezed(head)] + kinds, pa.binary()),
+                pa.array([_squeezed(b"".join(p.tobytes() for p in packed))] + words, pa.binary()),
             ],
-            names=["block", "doc_id", "sequence", "number", "word"],
+            names=["block", "bucket", "doc_ids", "head", "data"],
         )
 
 
-def blocks(docs: DataFrame, block_size: int = BLOCK) -> DataFrame:
-    """Rows of documents (sequence) and of words (number, word) of every block."""
+def blocks(docs: DataFrame, n_buckets: int, block_size: int = BLOCK) -> DataFrame:
+    """block, bucket, doc_ids, head, data: documents (bucket -1) and words of every block."""
     schema = T.StructType(
         [
             T.StructField("block", T.StringType()),
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("sequence", T.BinaryType()),
-            T.StructField("number", T.IntegerType()),
-            T.StructField("word", T.BinaryType()),
+            T.StructField("bucket", T.IntegerType()),
+            T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)),
+            T.StructField("head", T.BinaryType()),
+            T.StructField("data", T.BinaryType()),
         ]
     )
+    kinds = docs.sparkSession.sparkContext.broadcast(character_kinds())
 
     def read(batches):
         task = TaskContext.get().partitionId()
-        done, block = 0, _Block()
+        done, block = 0, _Block(kinds.value)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for first, last in spans(offsets):
-                part = data[offsets[first] : offsets[last]]
                 block.add(
-                    part,
+                    data[offsets[first] : offsets[last]],
                     offsets[first : last + 1] - offsets[first],
                     batch.column("doc_id").slice(first, last - first),
                 )
                 if block.size >= block_size:
-                    yield block.rows(f"{task}-{done}")
-                    done, block = done + 1, _Block()
+                    yield block.rows(f"{task}-{done}", n_buckets)
+                    done, block = done + 1, _Block(kinds.value)
         if block.ids:
-            yield block.rows(f"{task}-{done}")
+            yield block.rows(f"{task}-{done}", n_buckets)
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(read, schema)
 
 
-def encoded_words(words: DataFrame, ranks_path: str) -> DataFrame:
-    """word, ids: the ids of every word, four bytes each."""
-    spark = words.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+def encoded_words(lists: DataFrame, ranks_path: str) -> DataFrame:
+    """The word lists of blocks with ids in place of words: each distinct word is encoded once."""
+    ranks = lists.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    pattern = public_tokenizers.PATTERN
 
-    def encode(batches):
+    def encode(group: pa.Table) -> pa.Table:
         tool = tiktoken.Encoding(
-            "ranks",
-            pat_str=public_tokenizers.PATTERN,
-            mergeable_ranks=ranks.value,
-            special_tokens={},
+            "ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={}
+        )
+        known: dict[bytes, bytes] = {}
+        found = []
+        for data in group.column("data").to_pylist():
+            raw = _released(data).tobytes()
+            n = int.from_bytes(raw[:8], "little")
+            # Sizes come before the words; each ends with a byte below 128.
+            small = np.flatnonzero(np.frombuffer(raw, np.uint8, offset=8) < 128)
+            end = int(small[n - 1]) + 1
+            sizes = unpack(np.frombuffer(raw, np.uint8, end, 8)).astype(np.int64)
+            stops = (8 + end + np.cumsum(sizes)).tolist()
+            ids, at = [], 8 + end
+            for stop in stops:
+                word = raw[at:stop]
+                at = stop
+                if word not in known:
+                    known[word] = np.array(tool.encode_ordinary(word.decode()), "<u4").tobytes()
+                ids.append(known[word])
+            counts = pack(np.fromiter(map(len, ids), np.int64, n) // 4).tobytes()
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            # Low and high halves apart: most ids are below 2^16, so one half is nearly all zero.
+            halves = (flat & 0xFFFF).astype("<u2").tobytes() + (flat >> 16).astype("<u2").tobytes()
+            found.append(_squeezed(len(counts).to_bytes(8, "little") + counts + halves))
+        return pa.table(
+            [group.column("block"), group.column("bucket"), group.column("head"), pa.array(found, pa.binary())],
+            names=["block", "bucket", "head", "data"],
         )
-        for batch in batches:
-            ids = [
-                np.array(tool.encode_ordinary(word.decode()), "<i4").tobytes()
-                for word in batch.column(0).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"]
-            )
 
-    return words.mapInArrow(encode, "word binary, ids binary")
+    return lists.groupBy("bucket").applyInArrow(
+        encode, "block string, bucket int, head binary, data binary"
+    )
 
 
-def encode(docs: DataFrame, ranks_path: str, block_size: int = BLOCK) -> DataFrame:
-    """doc_id, ids: the token ids of every whole text, one row per document."""
-    parts = staged(blocks(docs, block_size), "bpe-blocks")
-    listed = parts.where("word IS NOT NULL").select("block", "number", "word")
-    words = encoded_words(listed.select("word").distinct(), ranks_path)
-    named = listed.join(words, "word").select("block", "number", "ids")
-    id_type = docs.schema["doc_id"].dataType
-    rows = parts.where("sequence IS NOT NULL").select(
-        "block", "doc_id", "sequence", F.lit(None).cast("int").alias("number"), F.lit(None).cast("binary").alias("ids")
-    )
-    rows = rows.unionByName(
-        named.select(
-            "block", F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("binary").alias("sequence"), "number", "ids"
-        )
-    )
-    schema = T.StructType(
-        [T.StructField("doc_id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+def _ids_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ids per word and all ids of one packed list."""
+    raw = _released(data).tobytes()
+    size = int.from_bytes(raw[:8], "little")
+    counts = unpack(np.frombuffer(raw, np.uint8, size, 8)).astype(np.int64)
+    total = int(counts.sum())
+    low, high = np.frombuffer(raw, "<u2", 2 * total, 8 + size).astype(np.int32).reshape(2, total)
+    return counts, low | high << 16
+
+
+def _assembled(
+    docs: DataFrame, ranks_path: str, block_size: int, finish, schema: T.StructType
+) -> DataFrame:
+    """What ``finish(doc_ids, ids, ends)`` makes of every block: its ids, cut at ``ends`` into documents."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = min(MOST_BUCKETS, max(tasks, -(-size // PER_BUCKET)))
+    parts = staged(blocks(docs, n_buckets, block_size), "bpe-blocks")
+    words = encoded_words(parts.where("bucket >= 0").select("block", "bucket", "head", "data"), ranks_path)
+    rows = parts.where("bucket < 0").unionByName(
+        words.withColumn("doc_ids", F.lit(None).cast(parts.schema["doc_ids"].dataType))
     )
 
     def assemble(group: pa.Table) -> pa.Table:
-        is_doc = group.column("sequence").is_valid()
-        words = group.filter(group.column("number").is_valid()).sort_by("number")
-        flat, marks = text_bytes(words.column("ids"))
-        flat, marks = flat.view("<i4"), marks // 4
-        some = group.filter(is_doc)
-        data, offsets = text_bytes(some.column("sequence"))
-        numbers, ends = unpack(data)
-        sizes = (marks[1:] - marks[:-1])[numbers]
-        upto = np.append(0, np.cumsum(sizes))
-        take = np.arange(upto[-1]) + np.repeat(marks[numbers] - upto[:-1], sizes)
-        row_ends = upto[np.searchsorted(ends, offsets, "right")]
-        ids = pa.ListArray.from_arrays(pa.array(row_ends.astype(np.int32)), pa.array(flat[take]))
-        return pa.table([some.column("doc_id").combine_chunks(), ids], names=["doc_id", "ids"])
+        group = group.sort_by("bucket")  # the documents first, then the lists in order
+        heads, lists = group.column("head").to_pylist(), group.column("data").to_pylist()
+        lengths = _released(heads[0], "<u4").astype(np.int64)
+        numbers = unpack(_released(lists[0])).astype(np.int64)
+        doc_ids = group.column("doc_ids")[0].values
+        if len(lists) == 1:  # all documents are empty
+            flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        else:
+            kind = np.concatenate([_released(h) for h in heads[1:]])
+            found = [_ids_of(x) for x in lists[1:]]
+            sizes = np.concatenate([c for c, _ in found])
+            flat = np.concatenate([f for _, f in found])
+            starts = np.cumsum(sizes) - sizes
+            by_number = np.argsort(kind, kind="stable")
+            sizes, starts = sizes[by_number], starts[by_number]
+        token_ends = np.append(0, np.cumsum(sizes[numbers]))
+        pieces = []
+        for i in range(0, len(numbers), 1 << 18):
+            some = numbers[i : i + (1 << 18)]
+            many = sizes[some]
+            before = np.cumsum(many) - many
+            pieces.append(flat[np.arange(many.sum()) + np.repeat(starts[some] - before, many)])
+        ids = np.concatenate(pieces) if pieces else flat
+        ends = token_ends[np.append(0, np.cumsum(lengths))]
+        return finish(doc_ids, ids.astype(np.int32), ends)
 
     return rows.groupBy("block").applyInArrow(assemble, schema)
 
 
+def _with_ids(docs: DataFrame, *more: T.StructField) -> list[T.StructField]:
+    return [
+        T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        *more,
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+    ]
+
+
+def encode(docs: DataFrame, ranks_path: str, block_size: int = BLOCK) -> DataFrame:
+    """doc_id, ids: the token ids of every whole text, one row per document."""
+
+    def finish(doc_ids, ids, ends):
+        values = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        return pa.table([doc_ids, values], names=["doc_id", "ids"])
+
+    return _assembled(docs, ranks_path, block_size, finish, T.StructType(_with_ids(docs)))
+
+
+def token_bytes(ranks_path: str) -> dict[int, bytes]:
+    """The token-byte table."""
+    return {i: word for word, i in read_ranks(ranks_path).items()}
+
+
 def decoded(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids, data: the bytes that the ids stand for, from the token-byte table."""
-    table_of = {i: word for word, i in read_ranks(ranks_path).items()}
-    tokens = encoded.sparkSession.sparkContext.broadcast(table_of)
+    tokens = encoded.sparkSession.sparkContext.broadcast(token_bytes(ranks_path))
     schema = T.StructType([*encoded.select("doc_id", "ids").schema, T.StructField("data", T.BinaryType())])
 
     def decode(batches):
         token = tokens.value
         for batch in batches:
-            data = [b"".join([token[i] for i in ids]) for ids in batch.column(1).to_pylist()]
+            # One document at a time: as Python numbers, ids take ten times their room.
+            data = [
+                None if ids.values is None else b"".join([token[i] for i in ids.values.to_numpy().tolist()])
+                for ids in batch.column(1)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=schema.names
             )
@@ -296,43 +390,41 @@ def decoded(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, schema)
 
 
-def _decimal_digests(rows: DataFrame, with_ids: bool) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 over decimal ids joined by a space, decoded_sha256, and ids if asked for."""
-    schema = T.StructType(
-        [
-            rows.schema["doc_id"],
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-            *([rows.schema["ids"]] if with_ids else []),
-        ]
-    )
-
-    def digest(batches):
-        for batch in batches:
-            counts, of_ids = [], []
-            for ids in batch.column(1):
-                some = ids.as_py()
-                counts.append(len(some))
-                of_ids.append(hashlib.sha256(" ".join(map(str, some)).encode()).hexdigest())
-            of_data = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
-                    pa.array(of_ids, pa.string()),
-                    pa.array(of_data, pa.string()),
-                    *([batch.column(1)] if with_ids else []),
-                ],
-                names=schema.names,
-            )
+def round_trip(
+    docs: DataFrame, ranks_path: str, with_ids: bool = False, block_size: int = BLOCK
+) -> DataFrame:
+    """Every text encoded, and its ids decoded again, with digests of both.
 
-    return rows.mapInArrow(digest, schema)
+    doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256
+    and, if asked for, ids. Ids are decoded where they are put together.
+    """
+    tokens = docs.sparkSession.sparkContext.broadcast(token_bytes(ranks_path))
+    fields = _with_ids(
+        docs,
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    )
+    schema = T.StructType(fields if with_ids else fields[:-1])
 
+    def finish(doc_ids, ids, ends):
+        token = tokens.value
+        of_ids, of_data = [], []
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            some = ids[a:b].tolist()
+            of_ids.append(hashlib.sha256(" ".join(map(str, some)).encode()).hexdigest())
+            of_data.append(hashlib.sha256(b"".join([token[i] for i in some])).hexdigest())
+        columns = [
+            doc_ids,
+            pa.array(np.diff(ends), pa.int64()),
+            pa.array(of_ids, pa.string()),
+            pa.array(of_data, pa.string()),
+        ]
+        if with_ids:
+            columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
+        return pa.table(columns, names=schema.names)
 
-def round_trip(docs: DataFrame, ranks_path: str, with_ids: bool = False) -> DataFrame:
-    """Digests of the ids of every text and of the bytes they decode to."""
-    return _decimal_digests(decoded(encode(docs, ranks_path), ranks_path), with_ids)
+    return _assembled(docs, ranks_path, block_size, finish, schema)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
