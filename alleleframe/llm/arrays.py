@@ -38,6 +38,13 @@ def spans(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def small_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with a few MB of ``text`` each, or of one row that has more."""
+    _, offsets = text_bytes(batch.column("text"))
+    for first, last in spans(offsets, 4 * CHUNK):
+        yield batch.slice(first, last - first)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits; equal in, equal out, and nothing else."""
     values = (values ^ (values >> np.uint64(30))) * _MIX_1
@@ -125,3 +132,27 @@ def whole_groups(batches, columns):
             yield rows.slice(0, first[-1]), first
     if rest is not None and rest.num_rows:
         yield rest, np.array([0, rest.num_rows])
+
+
+def spanning(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link to the smallest place of its component for each place that has one.
+
+    ``linked`` says which of the places ``rows`` are linked with which of
+    ``columns``; a place may be in both.
+    """
+    if not linked.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = int(min(rows.min(), columns.min()))
+    rows, columns = rows - first, columns - first
+    n = int(max(rows.max(), columns.max())) + 1
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        new[rows] = np.minimum(new[rows], np.where(linked, new[columns][None, :], n).min(axis=1))
+        new[columns] = np.minimum(new[columns], np.where(linked, new[rows][:, None], n).min(axis=0))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    apart = np.flatnonzero(label != np.arange(n))
+    return apart + first, label[apart] + first

@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alleleframe.llm.arrays import whole_groups
+from alleleframe.llm.arrays import spanning, whole_groups
 from alleleframe.llm.common import staged, table
 from alleleframe.llm.components import components
 
@@ -174,21 +174,9 @@ def window_links(placed: DataFrame, classes: DataFrame, threshold: float) -> Dat
                 continue
             unit = _unit([vectors[i] for i in rows.tolist()])
             linked = _linked(unit[:n], unit, threshold)
-            label = np.arange(len(rows))
-            while True:
-                # The smallest label among a row's links, handed on both ways.
-                least = np.where(linked, label[None, :], len(rows)).min(axis=1)
-                new = label.copy()
-                new[:n] = np.minimum(label[:n], least)
-                back = np.where(linked, new[:n, None], len(rows)).min(axis=0)
-                new = np.minimum(new, back)
-                new = new[new]
-                if (new == label).all():
-                    break
-                label = new
-            apart = np.flatnonzero(label != np.arange(len(rows)))
+            apart, to = spanning(linked, np.arange(n), np.arange(len(rows)))
             one += rows[apart].tolist()
-            other += rows[label[apart]].tolist()
+            other += rows[to].tolist()
         return pa.table(
             [nodes.take(pa.array(one, pa.int64())), nodes.take(pa.array(other, pa.int64()))],
             names=["node", "other"],

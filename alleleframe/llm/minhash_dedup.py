@@ -7,14 +7,15 @@ universal hash functions over its set; 28 bands of 5 minima name its buckets.
 Two sets with a Jaccard similarity of 0.8 share no bucket with a probability of
 1.5e-5, of 0.85 with one of 7e-8.
 
-Pairs come from buckets in two steps, neither of which writes out all pairs of a
-bucket. First every class is paired with the smallest one of each of its
-buckets. Pairs whose signatures agree five standard deviations below the threshold
-are left, the others are confirmed on whole sets. Links give components by large-star and small-star. Then only buckets that
-still hold several components are open: in these, all classes of different
-components are compared by signature, in blocks of bounded size that spread over
-tasks, and what agrees is confirmed too. Pairs inside one component need no
-look, because a further link there changes nothing.
+Pairs of a bucket are never written out. Loose groups come first: every class is
+paired with the smallest one of each of its buckets, pairs whose signatures agree
+five standard deviations below the threshold or better are joined, and buckets
+that still hold several groups are compared in full by signature, in blocks of
+bounded size that spread over tasks and hand out one link per class at most. By
+then all classes that share a bucket and may be linked are in one loose group.
+Inside each loose group, all whole sets are compared, again in blocks, by exact
+intersection sizes; each block hands out links that span what it confirmed. The
+components of these links are the result (large-star and small-star both times).
 
 Nulls: a null text is empty, has no shingle and is linked with nothing. A null
 ``doc_id`` takes part; it is never the smallest of a component that has an id.
@@ -31,15 +32,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alleleframe.llm.arrays import shingle_set, text_bytes, whole_groups, word_hashes
+from alleleframe.llm.arrays import (
+    shingle_set,
+    small_parts,
+    spanning,
+    text_bytes,
+    whole_groups,
+    word_hashes,
+)
 from alleleframe.llm.common import staged, table, whole_text
 from alleleframe.llm.components import components
 
 BANDS = 28
 ROWS = 5
 SEED = 20240117
-#: Classes of an open bucket that one task compares with as many others.
+#: Signatures of an open bucket that one task compares with as many others.
 BLOCK = 1024
+#: Whole sets of a loose group that one task compares with as many others.
+SET_BLOCK = 256
+#: Shingles per step of an exact comparison.
+COLUMNS = 4096
 #: Shingles whose hashes are computed at a time.
 HELD = 4096
 
@@ -56,7 +68,7 @@ def signature(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) ->
     for start in range(0, len(shingles), HELD):
         part = shingles[start : start + HELD]
         np.minimum(least, (part[None, :] * factors[:, None] + offsets[:, None]).min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return (least >> np.uint64(48)).astype("<u2")
 
 
 def set_key(shingles: np.ndarray) -> bytes:
@@ -65,12 +77,14 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def _sets(batches, width):
-    """Every row's batch, row number and shingle set."""
+    """Parts of every batch with the shingle sets of their rows."""
     for batch in batches:
-        data, offsets = text_bytes(batch.column("text"))
-        words, marks = word_hashes(data, offsets)
-        marks = marks.tolist()
-        yield batch, [shingle_set(words[a:b], width) for a, b in zip(marks[:-1], marks[1:], strict=True)]
+        for part in small_parts(batch):
+            data, offsets = text_bytes(part.column("text"))
+            words, marks = word_hashes(data, offsets)
+            marks = marks.tolist()
+            sets = [shingle_set(words[a:b], width) for a, b in zip(marks[:-1], marks[1:], strict=True)]
+            yield part, sets
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -111,80 +125,34 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def whole_sets(texts: DataFrame, width: int) -> DataFrame:
-    """set_key, shingles (eight bytes each, in order) of every text."""
+    """``texts`` with shingles (eight bytes each, in order) in place of text."""
+    rest = [f for f in texts.schema if f.name != "text"]
+    schema = T.StructType([*rest, T.StructField("shingles", T.BinaryType())])
 
     def read(batches):
-        for _, sets in _sets(batches, width):
+        for batch, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_key(s) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                names=["set_key", "shingles"],
+                [*(batch.column(f.name) for f in rest), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=schema.names,
             )
 
-    return texts.select("text").mapInArrow(read, "set_key binary, shingles binary")
+    return texts.mapInArrow(read, schema)
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """band, bucket, set_key: the buckets of every class."""
-    width = 4 * ROWS
-    bands = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(b).alias("band"),
-                    F.xxhash64(F.substring("signature", 1 + width * b, width)).alias("bucket"),
-                )
-                for b in range(BANDS)
-            ]
-        )
-    )
-    return classes.select(bands.alias("at"), "set_key").select("at.band", "at.bucket", "set_key")
-
-
-def _checked(rows: DataFrame, passes) -> DataFrame:
-    """node and other of the rows for which ``passes`` of a batch is true."""
-
-    def check(batches):
-        for batch in batches:
-            keep = pa.array(passes(batch), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").filter(keep), batch.column("other").filter(keep)],
-                names=["node", "other"],
-            )
-
-    return rows.mapInArrow(check, "node binary, other binary")
-
-
-def _with_both(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
-    one = classes.select(F.col("set_key").alias("node"), F.col(column).alias("one"))
-    two = classes.select(F.col("set_key").alias("other"), F.col(column).alias("two"))
-    return pairs.join(one, "node").join(two, "other").select("node", "other", "one", "two")
-
-
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (node, other) of classes whose whole sets have ``percent`` of their union in common."""
-    needed = pairs.select(F.col("node").alias("set_key")).union(pairs.select("other")).distinct()
-    wanted = classes.join(needed, "set_key", "left_semi").select(
-        F.col("sample.doc_id").alias("wanted_id"), F.col("sample.text_hash").alias("wanted_hash")
-    )
-    texts = _hashed(docs).join(
-        wanted,
-        F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")),
-        "left_semi",
+    """bucket, set_key: the buckets of every class, over all bands."""
+    width = 2 * ROWS
+    bands = F.array(
+        *[F.xxhash64(F.lit(b), F.substring("signature", 1 + width * b, width)) for b in range(BANDS)]
     )
-    sets = staged(whole_sets(texts, width), "minhash-sets")
+    return classes.select(F.explode(bands).alias("bucket"), "set_key")
 
-    def passes(batch):
-        keep = []
-        for a, b in zip(batch.column("one"), batch.column("two"), strict=True):
-            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= percent * (len(a) + len(b) - common))
-        return keep
 
-    return _checked(_with_both(pairs, sets, "shingles"), passes)
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """bucket, set_key, centre (smallest class of the bucket) of buckets with more than one class."""
+    every = buckets(classes)
+    several = every.groupBy("bucket").agg(F.min("set_key").alias("centre"), F.count("*").alias("n"))
+    return every.join(several.where("n > 1").drop("n"), "bucket").select("bucket", "set_key", "centre")
 
 
 def least_agreement(percent: int) -> float:
@@ -194,81 +162,162 @@ def least_agreement(percent: int) -> float:
 
 
 def _signs(column) -> np.ndarray:
-    return np.frombuffer(text_bytes(column)[0].tobytes(), "<u4").reshape(-1, BANDS * ROWS)
+    return np.frombuffer(text_bytes(column)[0].tobytes(), "<u2").reshape(-1, BANDS * ROWS)
 
 
-def star_pairs(in_buckets: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+def star_pairs(shared: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Each class with the smallest class of each of its buckets, if signatures agree."""
-    centre = in_buckets.groupBy("band", "bucket").agg(
-        F.min("set_key").alias("other"), F.max("set_key").alias("largest")
-    )
     pairs = (
-        in_buckets.join(centre.where("other != largest").drop("largest"), ["band", "bucket"])
-        .where("set_key != other")
-        .select(F.col("set_key").alias("node"), "other")
+        shared.where("set_key != centre")
+        .select(F.col("set_key").alias("node"), F.col("centre").alias("other"))
         .distinct()
     )
-    return _checked(
-        _with_both(pairs, classes, "signature"),
-        lambda batch: (_signs(batch.column("one")) == _signs(batch.column("two"))).mean(axis=1) >= least,
-    )
+    one = classes.select(F.col("set_key").alias("node"), F.col("signature").alias("one"))
+    two = classes.select(F.col("set_key").alias("other"), F.col("signature").alias("two"))
+    signed = pairs.join(one, "node").join(two, "other").select("node", "other", "one", "two")
+
+    def check(batches):
+        for batch in batches:
+            agree = (_signs(batch.column("one")) == _signs(batch.column("two"))).mean(axis=1)
+            keep = pa.array(agree >= least)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").filter(keep), batch.column("other").filter(keep)],
+                names=["node", "other"],
+            )
 
+    return signed.mapInArrow(check, "node binary, other binary")
 
-def open_pairs(in_buckets: DataFrame, classes: DataFrame, found: DataFrame, least: float) -> DataFrame:
-    """Pairs of classes in one bucket but in different components, if signatures agree.
 
-    Buckets are cut into blocks of about ``BLOCK`` classes. Each block meets
-    itself and each other block of its bucket once, as a group of its own.
+def _in_blocks(members: DataFrame, size: int) -> DataFrame:
+    """``members`` with part (8 bytes for ``of``), low, high, block: who meets whom.
+
+    A group named by ``of`` is cut into blocks of about ``size`` rows. Each block
+    meets itself and each other block of its group once, as (low, high).
     """
-    labelled = in_buckets.join(
-        found.select(F.col("node").alias("set_key"), "component"), "set_key", "left"
-    ).withColumn("component", F.coalesce("component", "set_key"))
-    still = (
-        labelled.groupBy("band", "bucket")
-        .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"))
-        .where("a != b")
-        .select("band", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    members = labelled.join(still, ["band", "bucket"]).withColumn(
-        "block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    )
-    at = ["band", "bucket", "low", "high"]
-    # A block goes to the groups (smaller block, larger block) that it is part of.
-    placed = (
-        members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
-        .join(classes.select("set_key", "signature"), "set_key")
-        .select(*at, "block", "set_key", F.xxhash64("component").alias("part"), "signature")
+    counts = members.groupBy("of").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    return (
+        members.join(counts, "of")
+        .withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns(
+            {
+                "part": F.xxhash64("of"),
+                "low": F.least("block", "with"),
+                "high": F.greatest("block", "with"),
+            }
+        )
+        .drop("of", "blocks", "with")
     )
 
+
+_MEETING = ["part", "low", "high"]
+
+
+def _spanned(placed: DataFrame, linked) -> DataFrame:
+    """node, other: links that span what ``linked(rows, one, other)`` finds in each meeting of blocks."""
+
     def compare(batches):
-        for rows, first in whole_groups(batches, at):
-            low, high, block, part = (
-                rows.column(c).to_numpy() for c in ("low", "high", "block", "part")
-            )
+        for rows, first in whole_groups(batches, _MEETING):
+            low, high, block = (rows.column(c).to_numpy() for c in ("low", "high", "block"))
             keys = rows.column("set_key").combine_chunks()
-            signs = _signs(rows.column("signature"))
-            one, other = [], []
+            found = []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                columns = a + np.flatnonzero(block[a:b] == high[a])
-                for i in (a + np.flatnonzero(block[a:b] == low[a])).tolist():
-                    against = columns if low[a] != high[a] else columns[columns > i]
-                    against = against[part[against] != part[i]]
-                    if len(against):
-                        hit = against[(signs[i] == signs[against]).mean(axis=1) >= least]
-                        one += [i] * len(hit)
-                        other += hit.tolist()
+                if b - a > 1:
+                    one = a + np.flatnonzero(block[a:b] == low[a])
+                    other = one if low[a] == high[a] else a + np.flatnonzero(block[a:b] == high[a])
+                    if len(one) and len(other):
+                        found.append(spanning(linked(rows, one, other), one, other))
+            node = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
+            to = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(one, pa.int64())), keys.take(pa.array(other, pa.int64()))],
-                names=["node", "other"],
+                [keys.take(pa.array(node)), keys.take(pa.array(to))], names=["node", "other"]
             )
 
-    pairs = placed.repartition(*at).sortWithinPartitions(*at).mapInArrow(
-        compare, "node binary, other binary"
+    return (
+        placed.repartition(*_MEETING)
+        .sortWithinPartitions(*_MEETING)
+        .mapInArrow(compare, "node binary, other binary")
+    )
+
+
+def open_links(shared: DataFrame, classes: DataFrame, loose: DataFrame, least: float) -> DataFrame:
+    """Links that span the agreeing pairs of different loose groups in one bucket."""
+    labelled = shared.select("bucket", "set_key").join(
+        loose.select(F.col("node").alias("set_key"), "component"), "set_key", "left"
+    )
+    labelled = labelled.withColumn("component", F.coalesce("component", "set_key"))
+    still = labelled.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    members = (
+        labelled.join(still.where("a != b").select("bucket"), "bucket")
+        .join(classes.select("set_key", "signature"), "set_key")
+        .select(F.col("bucket").alias("of"), "set_key", F.xxhash64("component").alias("group"), "signature")
+    )
+
+    def linked(rows, one, other):
+        first = min(one[0], other[0])
+        some = rows.slice(first, max(one[-1], other[-1]) + 1 - first)
+        signs, group = _signs(some.column("signature")), some.column("group").to_numpy()
+        found = np.zeros((len(one), len(other)), bool)
+        for x, i in enumerate((one - first).tolist()):
+            apart = np.flatnonzero(group[other - first] != group[i])
+            if len(apart):
+                agree = (signs[i] == signs[other[apart] - first]).mean(axis=1)
+                found[x, apart] = agree >= least
+        return found
+
+    return _spanned(_in_blocks(members, BLOCK), linked).distinct()
+
+
+def common_sizes(sets: list[np.ndarray], n: int) -> np.ndarray:
+    """How many members the first ``n`` sets and each of the sets have in common."""
+    sizes = [len(s) for s in sets]
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = counts[column] > 1
+    owner = np.repeat(np.arange(len(sets)), sizes)[several]
+    column = (np.cumsum(counts > 1) - 1)[column[several]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((n, len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        present = np.zeros((len(sets), COLUMNS), np.float32)
+        present[owner[a:b], column[a:b] - start] = 1
+        total += present[:n] @ present.T  # whole numbers far below 2^24: exact
+    return total
+
+
+def confirmed_links(
+    docs: DataFrame, classes: DataFrame, loose: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links that span the pairs whose whole sets have ``percent`` of their union in common."""
+    members = classes.select("set_key", "sample").join(
+        loose.withColumnRenamed("node", "set_key"), "set_key"
+    )
+    placed = _in_blocks(members.withColumnRenamed("component", "of"), SET_BLOCK).select(
+        *_MEETING,
+        "block",
+        "set_key",
+        F.col("sample.doc_id").alias("wanted_id"),
+        F.col("sample.text_hash").alias("wanted_hash"),
     )
-    return pairs.select(
-        F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")
-    ).distinct()
+    texts = _hashed(docs).join(
+        placed,
+        F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash")),
+    )
+    sets = whole_sets(texts.select(*_MEETING, "block", "set_key", "text"), width)
+
+    def linked(rows, one, other):
+        same = one is other
+        places = one if same else np.concatenate([one, other])
+        column = rows.column("shingles")
+        some = [np.frombuffer(column[i].as_buffer(), np.uint64) for i in places.tolist()]
+        sizes = np.array([len(s) for s in some])
+        common = common_sizes(some, len(one))
+        common, right = (common, sizes) if same else (common[:, len(one) :], sizes[len(one) :])
+        union = sizes[: len(one), None] + right[None, :] - common
+        return 100 * common.astype(np.float64) >= percent * union
+
+    return _spanned(sets, linked)
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -284,16 +333,12 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         )
     )
     classes = staged(classes, "minhash-classes")
-    in_buckets = staged(buckets(classes), "minhash-buckets")
+    shared = staged(shared_buckets(classes), "minhash-buckets")
     least = least_agreement(percent)
-    stars = staged(star_pairs(in_buckets, classes, least), "minhash-stars")
-    links = staged(confirmed(docs, classes, stars, width, percent), "minhash-links")
-    found = components(links)
-    rest = open_pairs(in_buckets, classes, found, least).join(stars, ["node", "other"], "left_anti")
-    rest = staged(rest, "minhash-open")
-    if not rest.isEmpty():
-        more = confirmed(docs, classes, rest, width, percent)
-        found = components(found.withColumnRenamed("component", "other").unionByName(more))
+    loose = components(star_pairs(shared, classes, least))
+    more = open_links(shared, classes, loose, least)
+    loose = components(loose.withColumnRenamed("component", "other").unionByName(more))
+    found = components(confirmed_links(docs, classes, loose, width, percent))
     of = classes.select("set_key", "least_id").join(
         found.withColumnRenamed("node", "set_key"), "set_key", "left"
     )

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alleleframe.llm.arrays import GAP, CHUNK, mixed, spans, text_bytes, word_hashes
+from alleleframe.llm.arrays import CHUNK, GAP, mixed, small_parts, spans, text_bytes, word_hashes
 from alleleframe.llm.common import table, whole_text
 
 #: Labelled documents used for learning, at most.
@@ -96,11 +96,12 @@ def learn(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     for text in texts:
         found = [b for _, b in features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))]
         buckets, counts = np.unique(np.concatenate(found), return_counts=True)
-        docs.append((buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)))
+        docs.append((buckets.astype(np.int32), np.minimum(counts, 65535).astype(np.uint16)))
     step, steps = 0, EPOCHS * len(docs)
     for _ in range(EPOCHS):
         for i in random.permutation(len(docs)).tolist():
-            buckets, share = docs[i]
+            buckets, counts = docs[i]
+            share = counts / np.float32(max(1, counts.sum(dtype=np.int64)))
             rate = RATE * (1 - step / steps)
             step += 1
             some = vectors[buckets]
@@ -157,7 +158,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 
     def score(batches):
         weights, bias = sent.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_parts(whole)):
             data, offsets = text_bytes(batch.column("text"))
             total = np.zeros(batch.num_rows)
             count = np.zeros(batch.num_rows)
