@@ -35,7 +35,7 @@ from alleleframe.llm.arrays import run_hashes, spans, text_bytes
 from alleleframe.llm.common import staged, table, whole_text
 
 #: Pre-tokens of a block, at most, but for what one megabyte of text or one document has more.
-BLOCK = 1 << 21
+BLOCK = 3 << 20
 #: Bytes of text per bucket of words.
 PER_BUCKET = 1 << 24
 MOST_BUCKETS = 1 << 18
@@ -129,7 +129,8 @@ def unpack(data: np.ndarray) -> np.ndarray:
 def _squeezed(values) -> bytes:
     """Compressed bytes, with their size before."""
     raw = values if isinstance(values, bytes) else values.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    squeeze = pa.Codec("zstd", compression_level=9)
+    return len(raw).to_bytes(8, "little") + squeeze.compress(raw, asbytes=True)
 
 
 def _released(data: bytes, kind=np.uint8) -> np.ndarray:
