@@ -15,8 +15,9 @@ there whole normalised texts are grouped, so equality is that of all bytes, with
 partial groups before the shuffle.
 
 Nulls: a null text counts as empty; a null ``doc_id`` never stays if a copy has
-one. Rows that repeat both id and text count each, and stay or go together. An
-empty table gives an empty result.
+one. Rows that repeat both id and text count each and have one verdict, as have
+copies that all lack an id; ``without_copies`` keeps exactly one row of these,
+too. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alleleframe.llm.arrays import text_bytes
-from alleleframe.llm.common import ascii_lower, shuffle_width, staged, table, whole_text
+from alleleframe.llm.common import ascii_lower, one_per_class, shuffle_width, staged, table, whole_text
 
 #: Fingerprints of all documents per block, on average.
 PER_BLOCK = 1 << 20
@@ -225,16 +226,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    gone = staged(exact_groups(docs).where(~F.col("kept")).select("doc_id", "text_hash"), "exact-gone")
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    row = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"))
-    rest = row.join(
-        gone,
-        F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")),
-        "left_anti",
-    )
-    return rest.select("row.*")
+    """The rows of ``docs`` that stay, one of each text, with their columns."""
+    found = exact_groups(docs).where("group_size > 1").withColumnRenamed("text_sha256", "class")
+    return one_per_class(docs, found, "exact")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,9 @@ components of these links are the result (large-star and small-star both times).
 
 Nulls: a null text is empty, has no shingle and is linked with nothing. A null
 ``doc_id`` takes part; it is never the smallest of a component that has an id.
-An empty table gives an empty result.
+Rows of a component that repeat its smallest id, or that all lack one, have one
+verdict; ``without_near_copies`` keeps exactly one of them. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from alleleframe.llm.arrays import (
     whole_groups,
     word_hashes,
 )
-from alleleframe.llm.common import staged, table, whole_text
+from alleleframe.llm.common import one_per_class, staged, table, whole_text
 from alleleframe.llm.components import components
 
 BANDS = 28
@@ -320,8 +322,8 @@ def confirmed_links(
     return _spanned(sets, linked)
 
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept: one row per document."""
+def _near_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``near_groups`` with class, which names the component; null if the set is empty."""
     signed = staged(signatures(docs, width), "minhash-signatures")
     classes = (
         signed.where("set_key IS NOT NULL")
@@ -344,7 +346,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     )
     of = of.withColumn("component", F.coalesce("component", "set_key"))
     named = of.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of = of.join(named, "component").select("set_key", "component_id")
+    of = of.join(named, "component").select("set_key", "component_id", F.col("component").alias("class"))
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return signed.join(of, "set_key", "left").select(
         "doc_id",
@@ -352,20 +354,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "class",
     )
 
 
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept: one row per document."""
+    return _near_rows(docs, width, percent).drop("class")
+
+
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component, with their columns."""
-    gone = near_groups(docs, width, percent).where(~F.col("kept"))
-    gone = staged(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "near-gone")
-    row = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"))
-    rest = row.join(
-        gone,
-        F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")),
-        "left_anti",
-    )
-    return rest.select("row.*")
+    """The rows of ``docs`` that stay, one of each component, with their columns."""
+    return one_per_class(docs, _near_rows(docs, width, percent).where("class IS NOT NULL"), "near")
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,3 +76,14 @@ def test_hot_text_and_extra_columns(make_docs):
 def test_rows_with_one_id_and_different_texts(make_docs):
     rest = E.without_copies(make_docs([(1, "a", "s"), (1, "b", "s"), (2, "a", "s")]))
     assert sorted((r.doc_id, r.text) for r in rest.collect()) == [(1, "b"), (2, "a")]
+
+
+def test_one_row_of_each_text_stays_whatever_the_ids(make_docs):
+    rows = [(7, "a", "s"), (7, "a", "t"), (7, "A", "s"), (7, "b", "s"), (3, "a", "s"), (1, "c", "s"), (1, "c", "s")]
+    rows += [(None, t, s) for t in ("D", "d", "d", "b", "e") for s in ("s", None)] + [(None, None, None), (None, "", "s")]
+    rest = sorted(E.without_copies(make_docs(rows)).collect(), key=repr)
+    assert sorted((r.text or "").lower() for r in rest) == ["", "a", "b", "c", "d", "e"]
+    assert {(r.doc_id, r.text.lower()) for r in rest if r.doc_id} == {(7, "a"), (7, "b"), (1, "c")}
+    assert rest == sorted(E.without_copies(make_docs(rows[::-1]).repartition(5)).collect(), key=repr)
+    twice = make_docs([(i, f"own {i}", "s") for i in range(50)] * 2)
+    assert E.without_copies(twice).count() == 50

@@ -127,3 +127,16 @@ def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
     assert whole[0].tolist() == parts[0].tolist()
     assert whole[1].tolist() == parts[1].tolist() == np.cumsum([0] + [len(t.split()) for t in texts]).tolist()
     assert len(shingle_set(whole[0][:2], 3)) == 1
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(make_docs):
+    def text(n, end=""):
+        return " ".join(f"w{n}x{i}" for i in range(60)) + end
+
+    rows = [(1, text(1), "s")] * 2 + [(1, text(1, " end"), "s"), (2, text(1, " fin"), "s")]
+    rows += [(None, text(2), "s"), (None, text(2, " end"), "s"), (None, text(2), "t"), (None, text(3), "s")]
+    rows += [(1, text(4), "s"), (None, None, "s"), (5, "", "s")]
+    rest = M.without_near_copies(make_docs(rows)).collect()
+    assert sorted((r.text or "")[:4] for r in rest) == ["", "", "w1x0", "w2x0", "w3x0", "w4x0"]
+    again = M.without_near_copies(make_docs(rows[::-1]).repartition(5)).collect()
+    assert sorted(rest, key=repr) == sorted(again, key=repr)
