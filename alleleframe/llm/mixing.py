@@ -16,8 +16,11 @@ source and bin, and only the bin that holds the cut is ordered. The result of
 all this is one row per source; each document then decides for itself.
 
 Nulls: a null text has no words; a null source is a source of its own, last in
-order; rows without ``doc_id`` share one random number. Rows that repeat a
-``doc_id`` are taken or left together. An empty table gives an empty result.
+order. In ``op8_pareto_mixing`` the id alone names a document, as in its SQL: rows
+without ``doc_id`` share one random number, and rows that repeat a ``doc_id`` are
+taken or left together. In ``mix`` an id that several texts share, or none, is
+drawn with the hash of the text, so only rows equal in both are taken or left
+together. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -132,21 +135,21 @@ def _scaled(sized: DataFrame, targets: DataFrame, weighted: bool) -> DataFrame:
         limited = now
 
 
-def _rank(wanted: Column, key: Column) -> Column:
+def _rank(wanted: Column) -> Column:
     """Pareto rank value; null if the fraction of ``wanted`` is zero, so that no sample is drawn."""
     part = wanted - F.floor(wanted)
-    u = uniform(key)
+    u = uniform(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("mix_hash").cast("string")))
     return F.when(part > 0, (u / (1.0 - u)) / (part / (1.0 - part)))
 
 
 def cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets`` with ``cut``: (rank value, doc_id) of the last sampled document, null if none."""
+    """``targets`` with ``cut``: (rank value, doc_id, mix_hash) of the last sampled document, null if none."""
     per_source = targets.withColumnsRenamed({"mix_source": "of"})
     ranked = (
         sized.join(per_source, sized["mix_source"].eqNullSafe(per_source["of"]))
         .withColumn("wanted", F.col("scale") * F.col("mix_weight"))
         .withColumn("wanted", F.least("wanted", F.lit(float(MAX_COPIES))))
-        .withColumn("rank", _rank(F.col("wanted"), F.col("doc_id")))
+        .withColumn("rank", _rank(F.col("wanted")))
         .withColumn(
             "bin",
             F.when(
@@ -176,12 +179,14 @@ def cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     inside = (
         ranked.drop("of")
         .join(last, F.col("mix_source").eqNullSafe(F.col("of")) & (F.col("bin") == F.col("cut_bin")))
-        .groupBy("mix_source", "rank", "doc_id", "before", "open")
+        .groupBy("mix_source", "rank", "doc_id", "mix_hash", "before", "open")
         .agg(F.sum("size").alias("size"))
-        .withColumn("upto", F.sum("size").over(W.partitionBy("mix_source").orderBy("rank", "doc_id")))
+        .withColumn(
+            "upto", F.sum("size").over(W.partitionBy("mix_source").orderBy("rank", "doc_id", "mix_hash"))
+        )
         .where(F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("open"))
         .groupBy("mix_source")
-        .agg(F.max(F.struct("rank", "doc_id")).alias("inner"))
+        .agg(F.max(F.struct("rank", "doc_id", "mix_hash")).alias("inner"))
     )
     # If the first document of the cut bin is already too much, the cut lies before that bin.
     edge = last.select(
@@ -200,29 +205,51 @@ def _size_columns(docs: DataFrame, weight: str | None) -> DataFrame:
     return docs.select(
         "doc_id",
         F.col("source").cast("string").alias("mix_source"),
+        F.xxhash64(whole_text()).alias("text_hash"),
         word_count(whole_text()).alias("size"),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("mix_weight"),
     )
 
 
+def shared_ids(docs: DataFrame) -> DataFrame:
+    """shared_id: the ids, null among them, of rows with different texts."""
+    hashes = docs.select(F.col("doc_id").alias("shared_id"), F.xxhash64(whole_text()).alias("text_hash"))
+    ends = hashes.groupBy("shared_id").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
+    return ends.where("low != high").select("shared_id")
+
+
+def with_hashes(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """``rows`` with mix_hash in place of text_hash: null unless ``doc_id`` is one of the shared ids."""
+    shared = shared.withColumn("shared", F.lit(True))
+    hashed = rows.join(shared, F.col("doc_id").eqNullSafe(F.col("shared_id")), "left")
+    hashed = hashed.withColumn("mix_hash", F.when(F.col("shared"), F.col("text_hash")))
+    return hashed.drop("shared", "shared_id", "text_hash")
+
+
 def plan_mix(
-    docs: DataFrame, weights=WEIGHTS, weight: str | None = None
+    docs: DataFrame, weights=WEIGHTS, weight: str | None = None, shared: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Staged word counts of all documents, and one row per source with its cut."""
-    sized = staged(_size_columns(docs, weight), "mix-sizes")
+    """Staged word counts of all documents, and one row per source with its cut.
+
+    Ids in ``shared`` (see ``shared_ids``) are drawn with the hash of their texts.
+    """
+    sized = _size_columns(docs, weight)
+    if shared is None:
+        sized = sized.drop("text_hash").withColumn("mix_hash", F.lit(None).cast("long"))
+    else:
+        sized = with_hashes(sized, shared)
+    sized = staged(sized, "mix-sizes")
     targets = staged(source_targets(sized, weights), "mix-targets")
     targets = _scaled(sized, targets, weight is not None)
     return sized, staged(cuts(sized, targets), "mix-cuts")
 
 
 def with_copies(rows: DataFrame, plan: DataFrame, source: Column, weight: Column) -> DataFrame:
-    """``rows`` with mix_copies and the columns of ``plan``; ``rows`` has doc_id."""
+    """``rows`` with mix_copies and the columns of ``plan``; ``rows`` has doc_id and mix_hash."""
     plan = plan.withColumnsRenamed({"mix_source": "plan_source", "scale": "plan_scale"})
     wanted = F.least(F.col("plan_scale") * weight, F.lit(float(MAX_COPIES)))
-    rank = _rank(wanted, F.col("doc_id"))
-    inner = F.col("inner").isNotNull() & (
-        F.struct(rank.alias("rank"), F.col("doc_id").alias("doc_id")) <= F.col("inner")
-    )
+    rank = _rank(wanted)
+    inner = F.col("inner").isNotNull() & (F.struct(rank.alias("rank"), "doc_id", "mix_hash") <= F.col("inner"))
     # Bins before the cut bin are taken whole even if nothing of the cut bin is.
     drawn = rank.isNotNull() & (inner | (rank < F.col("edge_rank")))
     copies = F.floor(wanted) + F.coalesce(drawn, F.lit(False)).cast("long")
@@ -233,15 +260,17 @@ def with_copies(rows: DataFrame, plan: DataFrame, source: Column, weight: Column
 
 def mix(docs: DataFrame, weights=WEIGHTS, weight: str | None = None) -> DataFrame:
     """The mixed documents: every row as often as the mix takes it."""
-    _, plan = plan_mix(docs, weights, weight)
+    shared = staged(shared_ids(docs), "mix-shared-ids")
+    _, plan = plan_mix(docs, weights, weight, shared)
     share = F.col(weight).cast("double") if weight else F.lit(1.0)
     plain = docs.select(
         F.struct("*").alias("row"),
         "doc_id",
         F.col("source").cast("string").alias("of_source"),
         share.alias("of_weight"),
+        F.xxhash64(whole_text()).alias("text_hash"),
     )
-    counted = with_copies(plain, plan, F.col("of_source"), F.col("of_weight"))
+    counted = with_copies(with_hashes(plain, shared), plan, F.col("of_source"), F.col("of_weight"))
     copies = F.explode(F.array_repeat(F.lit(True), F.col("mix_copies").cast("int")))
     return counted.select("row", copies.alias("copy")).select("row.*")
 

@@ -91,3 +91,17 @@ def test_a_source_of_equal_ids_is_taken_together(make_docs):
     rows = [(7, "a b", "s")] * 10 + [(i, "a b", "t") for i in range(10, 20)]
     kept = [r.doc_id for r in M.mix(make_docs(rows)).collect() if r.doc_id == 7]
     assert len(kept) % 10 == 0
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_are_drawn_one_by_one(make_docs, shared):
+    rows = [(shared, f"w{i} b c d", "a") for i in range(300)] + [(i, f"w{i} b c d", "a") for i in range(1000, 1600)]
+    rows += [(i, "w b c d", "b") for i in range(2000, 2900)]
+    docs = M.mix(make_docs(rows), weights=(1, 2))
+    counts = {}
+    for r in docs.where("source = 'a'").collect():
+        counts[r.doc_id, r.text] = counts.get((r.doc_id, r.text), 0) + 1
+    # 7,200 words, 1 to 2: two thirds of the rows of a are taken, also of those that share the id.
+    assert sum(counts.values()) == 600
+    assert set(counts.values()) == {1}
+    assert 160 <= sum(i == shared for i, _ in counts) <= 240
