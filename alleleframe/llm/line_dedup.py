@@ -1,7 +1,9 @@
 """Substring dedup by line hashing: repeated lines go, but for their first occurrence.
 
-A unit is a line of at least ``LEAST_WORDS`` words; shorter ones repeat by
-chance and stay. Units are normalised (A-Z in lower case, white space as one
+A unit is a line. ``without_repeats`` takes every line with a word, also short ones
+and those of scripts without spaces; ``op3_line_dedup`` lists those of at least
+``LEAST_WORDS`` words, as its SQL does. A passage inside longer lines that differ
+is not seen. Units are normalised (A-Z in lower case, white space as one
 space, none at the ends) and named by a 128-bit digest. Digests are grouped over
 all documents; the occurrence with the smallest (doc_id, line) stays and every
 other one is removed, with its code point offsets in the original text kept. A
@@ -98,7 +100,7 @@ def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     )
 
 
-def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, least_words: int = 1) -> DataFrame:
     """doc_id, text without the removed lines, removed: their (start, end) in the original text."""
     gone = repeated_units(docs, least_words).groupBy(F.col("doc_id").alias("of")).agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "unit"))).alias("removed")

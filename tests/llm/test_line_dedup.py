@@ -57,3 +57,10 @@ def test_texts_lose_the_repeats_and_keep_offsets(make_docs):
     assert rows[0].text == f"{shared}\nown line 0"
     assert rows[7].text == "own line 7"
     assert [(s.start, s.end) for s in rows[7].removed] == [(0, 33), (45, 78)]
+
+
+def test_short_lines_and_lines_without_spaces_go_too(make_docs):
+    docs = make_docs([f"all rights reserved.\n\n著作権はすべて保有されています。\nown {i}" for i in range(4)])
+    texts = {r.doc_id: r.text for r in L.without_repeats(docs).collect()}
+    assert texts[0].startswith("all rights reserved.\n\n著作権")
+    assert [texts[i] for i in (1, 2, 3)] == [f"\nown {i}" for i in (1, 2, 3)]
