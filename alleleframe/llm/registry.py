@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from alleleframe.llm import bpe, embedding_dedup, exact_dedup, license_scan, line_dedup, minhash_dedup, mixing, quality, secrets, warc_audit
+from alleleframe.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    lexical_search,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    quality,
+    secrets,
+    warc_audit,
+)
 
 
 def all_queries():
@@ -17,8 +29,9 @@ def all_queries():
         "op8_pareto_mixing": mixing.op8_pareto_mixing,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_secret_scan": secrets.op10_secret_scan,
+        "op11_lexical_search": lexical_search.op11_lexical_search,
     }
 
 
 def all_sql():
-    return {**exact_dedup.SQL, **line_dedup.SQL, **license_scan.SQL, **warc_audit.SQL, **mixing.SQL}
+    return {**exact_dedup.SQL, **line_dedup.SQL, **license_scan.SQL, **warc_audit.SQL, **mixing.SQL, **lexical_search.SQL}
