@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from alleleframe.llm import (
     bpe,
+    conversation_repair,
     embedding_dedup,
     exact_dedup,
+    language_id,
     lexical_search,
     license_scan,
     line_dedup,
@@ -30,6 +32,8 @@ def all_queries():
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_secret_scan": secrets.op10_secret_scan,
         "op11_lexical_search": lexical_search.op11_lexical_search,
+        "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+        "op13_language_id": language_id.op13_language_id,
     }
 
 

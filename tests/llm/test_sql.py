@@ -16,4 +16,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
