@@ -57,7 +57,8 @@ def convert_variants(spark: SparkSession, args: argparse.Namespace) -> None:
         header=args.header,
         fields=args.fields,
         one_based=not args.zero_based,
-        align=args.align,
+        align="declared" if args.align == ["declared"] else args.align,
+        block_gzip_files=args.block_gzip or None,
     )
     ingest.publish_variants(flat, args.output, args.table, **layout(args))
 
@@ -134,8 +135,11 @@ def parser() -> argparse.ArgumentParser:
     variants.add_argument("--fields", nargs="+", help="INFO fields to keep; default: all")
     variants.add_argument("--zero-based", action="store_true")
     variants.add_argument(
-        "--align", nargs="*", help="arrays with a value per allele, such as INFO_AF; default: all"
+        "--align",
+        nargs="*",
+        help="arrays with a value per allele, such as INFO_AF; 'declared': by the header; default: all",
     )
+    variants.add_argument("--block-gzip", action="store_true", help=".gz inputs are block-gzip: split them")
     annotations = converter("annotations", convert_annotations)
     annotations.add_argument("--null-value", help="text that means missing, such as .")
     genes = converter("genes", convert_genes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,51 @@ def explode_alternates(
     )
 
 
+def _of_allele(values: Column, index: Column, number: str) -> Column:
+    """What an array holds for one alternate; ``index`` counts alternates from 0.
+
+    Genotypes of alleles j <= k are stored at k(k+1)/2 + j.
+    """
+    if number == "A":
+        return F.get(values, index)
+    alternate = index + 1
+    if number == "R":
+        places = [F.lit(0), alternate]
+    else:
+        mixed = (alternate * (alternate + 1) / 2).cast("int")
+        places = [F.lit(0), mixed, mixed + alternate]
+    parts = F.array(*[F.get(values, place) for place in places])
+    return F.when(values.isNotNull(), parts)
+
+
+def explode_by_number(
+    df: DataFrame,
+    numbers: Mapping[str, str],
+    alternates: str = "alternateAlleles",
+    name: str = "alternateAllele",
+) -> DataFrame:
+    """One row per alternate allele, arrays reduced as their declared number says.
+
+    ``numbers`` gives the Number of VCF for array columns. ``A`` (one value per
+    alternate) becomes that alternate's value; ``R`` (one per allele) the values
+    of the reference and the alternate; ``G`` (one per genotype of two alleles)
+    those of the genotypes without, with one and with two copies of the
+    alternate. Any other number, and any array that is not named, stays whole. An
+    array shorter than declared gives NULL in the places it lacks.
+    """
+    arrays = {f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)} - {alternates}
+    kinds = {c: n for c, n in numbers.items() if c in arrays and n in ("A", "R", "G")}
+    kept = [c for c in df.columns if c != alternates]
+    exploded = df.select(
+        *[quoted(c) for c in kept], F.posexplode(quoted(alternates)).alias("_index", name)
+    )
+    index = F.col("_index")
+    return exploded.select(
+        *[_of_allele(quoted(c), index, kinds[c]).alias(c) if c in kinds else quoted(c) for c in kept],
+        quoted(name),
+    )
+
+
 def rename_columns(df: DataFrame, names: Mapping[str, str] = ANNOTATION_KEY_NAMES) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from alleleframe.operators.reshape import (
     VARIANT_KEYS,
     clean_names,
     explode_alternates,
+    explode_by_number,
     flatten_structs,
     numeric_position,
     prefix_values,
@@ -26,7 +27,7 @@ from alleleframe.operators.reshape import (
 from alleleframe.sinks.statistics import collect_statistics
 from alleleframe.sinks.storage import write_clustered
 from alleleframe.sources.tables import read_tsv
-from alleleframe.sources.vcf import read_vcf
+from alleleframe.sources.vcf import declared_fields, read_vcf
 
 GENE_KEYS = ["Gene_name"]
 
@@ -34,16 +35,25 @@ GENE_KEYS = ["Gene_name"]
 def variants_from_vcf(
     spark: SparkSession,
     paths: str | Sequence[str],
-    align: Sequence[str] | None = None,
+    align: Sequence[str] | str | None = None,
+    header: str | Iterable[str] | None = None,
     **options,
 ) -> DataFrame:
     """Flat variants, one row per alternate allele; ``options`` go to ``read_vcf``.
 
     ``align`` names the arrays with a value per allele; other arrays stay whole.
+    ``align="declared"`` takes it from the header instead: arrays declared per
+    alternate, per allele or per genotype are cut to the alternate of the row.
     ``filters`` that stay whole become text, joined by ``;``, so that a record's
     filter holds for all its alternates.
     """
-    flat = explode_alternates(flatten_structs(read_vcf(spark, paths, **options)), align=align)
+    if align != "declared":
+        flat = explode_alternates(flatten_structs(read_vcf(spark, paths, header, **options)), align=align)
+    else:
+        declared = declared_fields(spark, paths, header)
+        numbers = {f"INFO_{f.name}": f.number for f in declared}
+        lines = [f.line for f in declared]
+        flat = explode_by_number(flatten_structs(read_vcf(spark, paths, ["##", *lines], **options)), numbers)
     if align is not None and "filters" not in align:
         flat = flat.withColumn("filters", F.array_join("filters", ";"))
     return flat

@@ -1,6 +1,6 @@
 """VCF text files as one Spark job.
 
-The driver reads the header only. Records stay a single declarative plan:
+The driver keeps the different headers only. Records stay a single declarative plan:
 text scan, split on tabs, one ``from_json`` over the INFO text, typed columns.
 """
 
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alleleframe.sources import block_gzip
+
 # VCF header types and the Spark types they are read as.
 SPARK_TYPES = {
     "Integer": "bigint",
@@ -37,6 +39,10 @@ class InfoField:
     def is_flag(self) -> bool:
         return self.type == "Flag"
 
+    @property
+    def line(self) -> str:
+        return f"##INFO=<ID={self.name},Number={self.number},Type={self.type}>"
+
     @property
     def is_array(self) -> bool:
         return self.number not in ("0", "1")
@@ -53,6 +59,21 @@ def header_lines(spark: SparkSession, path: str) -> list[str]:
         size *= 4
 
 
+def all_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """The different headers of many files, each under the first file that has it.
+
+    One job reads the leading lines of all files. Files of a chromosome set mostly
+    share one header, and only different ones come to the driver.
+    """
+    found = (
+        block_gzip.headers_of(spark, files)
+        .groupBy("digest")
+        .agg(F.min(F.struct("path", "lines")).alias("first"))
+        .select("first.*")
+    )
+    return {row.path: list(row.lines) for row in found.orderBy("path").collect()}
+
+
 def info_fields(header: Iterable[str]) -> list[InfoField]:
     fields = []
     for line in header:
@@ -74,17 +95,6 @@ def common_fields(headers: dict[str, list[str]]) -> list[InfoField]:
     return list(fields.values())
 
 
-def _require_readable(spark: SparkSession, files: Sequence[str]) -> None:
-    """Plain ``.bgz`` needs a codec; without one Spark would read raw bytes."""
-    if any(p.endswith(".bgz") for p in files):
-        codecs = spark.conf.get("spark.hadoop.io.compression.codecs", "") or ""
-        if "bgz" not in codecs.lower():
-            raise ValueError(
-                ".bgz files need a block-gzip codec in spark.hadoop.io.compression.codecs; "
-                "without one, name the files .gz"
-            )
-
-
 def _info_as_json(info: Column) -> Column:
     """``A=1;B`` to ``{"A":"1","B":""}``, in one linear pass.
 
@@ -150,35 +160,56 @@ def parse_vcf_lines(
     return with_info.select(*with_info.columns[:-1], info.alias("INFO"))
 
 
+def _read_lines(
+    spark: SparkSession, paths: Sequence[str], files: list[tuple[str, int]], block_gzip_files: bool | None
+) -> DataFrame:
+    """``value``: the lines of all files; block-gzip ones are split over tasks."""
+    split = [f for f in files if f[0].endswith(".bgz") or (block_gzip_files and f[0].endswith(".gz"))]
+    if not split:
+        return spark.read.text(list(paths))
+    lines = block_gzip.read_lines(spark, split)
+    rest = [path for path, _ in files if (path, _) not in set(split)]
+    return lines.unionByName(spark.read.text(rest)) if rest else lines
+
+
+def declared_fields(
+    spark: SparkSession, paths: str | Sequence[str], header: str | Iterable[str] | None = None
+) -> list[InfoField]:
+    """INFO fields of all files, or of ``header``: a path or the lines themselves."""
+    if header is None:
+        paths = [paths] if isinstance(paths, str) else list(paths)
+        return common_fields(all_headers(spark, [path for path, _ in block_gzip.listed(spark, paths)]))
+    if isinstance(header, str):
+        return common_fields({header: header_lines(spark, header)})
+    return common_fields({"header": list(header)})
+
+
 def read_vcf(
     spark: SparkSession,
     paths: str | Sequence[str],
     header: str | Iterable[str] | None = None,
     fields: Sequence[str] | None = None,
     one_based: bool = True,
+    block_gzip_files: bool | None = None,
 ) -> DataFrame:
     """Scan VCF files with one schema, such as one file per chromosome.
 
     By default the header of every file is read: fields of all files are kept,
     and a field that two files declare in different ways raises. ``header``, a
     path or the lines themselves, stands for all files; what it does not declare
-    is not read. ``fields`` keeps only some INFO fields. A gzip file is one task,
-    so ship many files, or plain text, which splits.
+    is not read. ``fields`` keeps only some INFO fields. Plain text and block-gzip
+    files (``.bgz``, and ``.gz`` if ``block_gzip_files`` is set) are split over
+    tasks; any other gzip file is one task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = spark.read.text(paths)
-    files = sorted(lines.inputFiles())
-    _require_readable(spark, [*paths, *files])
+    files = block_gzip.listed(spark, paths)
     if header is None:
-        headers = {file: header_lines(spark, file) for file in files}
-    elif isinstance(header, str):
-        headers = {header: header_lines(spark, header)}
+        declared = common_fields(all_headers(spark, [path for path, _ in files]))
     else:
-        headers = {"header": list(header)}
-    declared = common_fields(headers)
+        declared = declared_fields(spark, paths, header)
     if fields is not None:
         unknown = set(fields) - {f.name for f in declared}
         if unknown:
             raise ValueError(f"INFO fields not declared in the header: {sorted(unknown)}")
         declared = [f for f in declared if f.name in set(fields)]
-    return parse_vcf_lines(lines, declared, one_based)
+    return parse_vcf_lines(_read_lines(spark, paths, files, block_gzip_files), declared, one_based)

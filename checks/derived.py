@@ -5,6 +5,11 @@
 
 from __future__ import annotations
 
+import os
+import zlib
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,6 +180,79 @@ def vcf_lines(nested: DataFrame) -> DataFrame:
     )
 
 
+# The extra field of a block-gzip member and the empty member a file ends with.
+_MEMBER = bytes.fromhex("1f8b08040000000000ff060042430200")
+_END = _MEMBER + bytes.fromhex("1b0003000000000000000000")
+
+
+def block_gzip_bytes(data: bytes, size: int = 0xFF00) -> bytes:
+    """``data`` as a block-gzip file with members of ``size`` bytes of text."""
+    found = []
+    for i in range(0, len(data), size):
+        part = data[i : i + size]
+        tool = zlib.compressobj(6, zlib.DEFLATED, -15)
+        packed = tool.compress(part) + tool.flush()
+        length = len(_MEMBER) + 2 + len(packed) + 8
+        found += [_MEMBER, (length - 1).to_bytes(2, "little"), packed]
+        found.append(zlib.crc32(part).to_bytes(4, "little") + len(part).to_bytes(4, "little"))
+    return b"".join(found) + _END
+
+
+def write_block_gzip(lines: DataFrame, folder: str, header: list[str], size: int = 0xFF00) -> DataFrame:
+    """One block-gzip file per task with the header and its ``value`` lines; returns ``path``."""
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches):
+        texts = [v for batch in batches for v in batch.column("value").to_pylist()]
+        path = f"{folder}/part-{TaskContext.get().partitionId():05d}.vcf.bgz"
+        with open(path, "wb") as file:
+            file.write(block_gzip_bytes("".join(f"{line}\n" for line in [*header, *texts]).encode(), size))
+        yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    return lines.select("value").mapInArrow(write, "path string")
+
+
+VCF_NUMBER_HEADER = [
+    "##fileformat=VCFv4.2",
+    '##INFO=<ID=AC,Number=A,Type=Integer,Description="Count per alternate">',
+    '##INFO=<ID=AD,Number=R,Type=Integer,Description="Depth per allele">',
+    '##INFO=<ID=GC,Number=G,Type=Integer,Description="Count per genotype">',
+    '##INFO=<ID=HIST,Number=2,Type=Integer,Description="Histogram">',
+    "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
+]
+
+
+def vcf_number_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VCF text with one or two alternates and a field per alternate, per allele and per genotype.
+
+    Genotype values of a record are its line number times 10 plus their place.
+    """
+    n, base = F.col("l_linenumber"), F.col("l_linenumber") * 10
+    two = n % 2 == 0
+    listed = lambda count, start: F.array_join(
+        F.transform(F.sequence(F.lit(0), count), lambda i: (start + i).cast("string")), ","
+    )
+    info = F.concat(
+        F.lit("AC="), listed(F.when(two, 1).otherwise(0), F.col("l_suppkey")),
+        F.lit(";AD="), listed(F.when(two, 2).otherwise(1), F.col("l_partkey")),
+        F.lit(";GC="), listed(F.when(two, 5).otherwise(2), base),
+        F.lit(";HIST="), listed(F.lit(1), n),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(
+            "\t",
+            F.lit("chr1"),
+            F.col("l_orderkey").cast("string"),
+            F.lit("."),
+            "l_returnflag",
+            F.when(two, F.lit("T,G")).otherwise("T"),
+            F.lit("."),
+            F.lit("PASS"),
+            info,
+        ).alias("value")
+    )
+
+
 def annotation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotations under the column names of the source files, all strings.
 

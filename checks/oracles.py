@@ -324,6 +324,12 @@ SELECT contigName, start, start + LENGTH(referenceAllele) - 1 AS "end", referenc
     "vcf_zero_based": f"""SELECT 'chr' || {_CHROMOSOME.format(key="l_partkey")} AS "contigName",
  l_orderkey - 1 AS start, l_orderkey AS "end", l_returnflag AS "referenceAllele",
  l_suppkey AS "INFO_AN", l_quantity > 25 AS "INFO_lcr" FROM lineitem""",
+    "vcf_by_number": """SELECT l_orderkey AS start, CASE k WHEN 1 THEN 'T' ELSE 'G' END AS "alternateAllele",
+ l_suppkey + k - 1 AS "INFO_AC", concat(l_partkey, ',', l_partkey + k) AS "INFO_AD",
+ concat(l_linenumber * 10, ',', l_linenumber * 10 + CASE k WHEN 1 THEN 1 ELSE 3 END, ',',
+  l_linenumber * 10 + CASE k WHEN 1 THEN 2 ELSE 5 END) AS "INFO_GC",
+ concat(l_linenumber, ',', l_linenumber + 1) AS "INFO_HIST"
+FROM lineitem, (VALUES (1), (2)) AS alternates(k) WHERE k = 1 OR l_linenumber % 2 = 0""",
     "gene_ingest": """SELECT CAST(doc_id AS VARCHAR) AS "Gene_name", source AS "Gene_source",
  lang AS "Pathway_KEGG__full", translate(text, chr(9) || chr(10) || chr(13), '   ')
   AS function_description
@@ -391,5 +397,8 @@ OPERATORS["storage_cost"] = f"""SELECT total_bytes, total_bytes / CAST(107374182
  total_bytes / CAST(1073741824 AS DOUBLE) * CAST(0.024 AS DOUBLE) AS monthly_cost FROM ({_STORED})"""
 
 
+OPERATORS["vcf_block_gzip"] = OPERATORS["vcf_ingest"]
+
+
 def all_sql() -> dict[str, str]:
     return {**SUITE, **OPERATORS}

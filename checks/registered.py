@@ -305,6 +305,32 @@ def vcf_zero_based(spark, sf_dir):
     return flatten_structs(nested.drop("names", "qual", "filters", "alternateAlleles"))
 
 
+def vcf_block_gzip(spark, sf_dir):
+    """Block-gzip files with their own headers, each read by several tasks."""
+    folder = scratch_path(spark, "bgz").removeprefix("file:")
+    lines = derived.vcf_lines(derived.nested_variants(spark, sf_dir)).coalesce(2)
+    derived.write_block_gzip(lines, folder, derived.VCF_HEADER, size=5000).collect()
+    return ingest.variants_from_vcf(spark, f"{folder}/*.bgz").drop("names", "qual")
+
+
+def vcf_by_number(spark, sf_dir):
+    """Arrays cut by what the header declares: per alternate, per allele, per genotype."""
+    folder = scratch_path(spark, "numbers")
+    lines = derived.vcf_number_lines(spark, sf_dir)
+    header = spark.createDataFrame([(line,) for line in derived.VCF_NUMBER_HEADER], "value string")
+    header.coalesce(1).write.text(f"{folder}/header")
+    lines.write.text(f"{folder}/records", compression="gzip")
+    flat = ingest.variants_from_vcf(
+        spark, f"{folder}/records", align="declared", header=f"{folder}/header"
+    )
+    return flat.select(
+        "start",
+        "alternateAllele",
+        "INFO_AC",
+        *[F.array_join(c, ",").alias(c) for c in ("INFO_AD", "INFO_GC", "INFO_HIST")],
+    )
+
+
 def tsv_ingest(spark, sf_dir):
     folder = scratch_path(spark, "tsv")
     text = derived.annotation_text(spark, sf_dir)
@@ -481,6 +507,8 @@ OPERATORS: dict[str, Query] = {
     "sql_view": sql_view,
     "vcf_ingest": vcf_ingest,
     "vcf_zero_based": vcf_zero_based,
+    "vcf_block_gzip": vcf_block_gzip,
+    "vcf_by_number": vcf_by_number,
     "tsv_ingest": tsv_ingest,
     "gene_ingest": gene_ingest,
     "shard_scan": shard_scan,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gzip
+import os
+import random
 
 import pytest
 from conftest import rows
@@ -10,7 +12,7 @@ from pyspark.errors import PySparkException
 
 from alleleframe.operators.reshape import explode_alternates, flatten_structs
 from alleleframe.plans.ingest import annotations_from_tsv, genes_from_tsv, variants_from_vcf
-from alleleframe.sources import tables, vcf
+from alleleframe.sources import block_gzip, tables, vcf
 from checks import derived
 
 HEADER = [
@@ -104,6 +106,98 @@ def test_fields_of_all_headers_are_read(spark, tmp_path):
     assert vcf.read_vcf(spark, [first, third], header=HEADER).count() == 6
 
 
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    """Plain, gzip and block-gzip files; only different headers come to the driver."""
+    for i in range(300):
+        path = tmp_path / f"{i:04d}.vcf{['', '.gz', '.bgz'][i % 3]}"
+        text = "\n".join([*HEADER, *RECORDS]).encode() + b"\n"
+        path.write_bytes([bytes, gzip.compress, derived.block_gzip_bytes][i % 3](text))
+    files = [str(p) for p in tmp_path.iterdir()]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = vcf.all_headers(spark, files)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(found.values()) == [HEADER]
+    # The last stage of a sorted result may be a job of its own.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 4
+    assert vcf.read_vcf(spark, str(tmp_path)).count() == 900
+
+
+def block_gzip_file(path, lines, size):
+    path.write_bytes(derived.block_gzip_bytes("".join(f"{x}\n" for x in lines).encode(), size))
+    return str(path)
+
+
+@pytest.mark.parametrize("size", [7, 100, 0xFF00])
+@pytest.mark.parametrize("split", [60, 1000, 1 << 20])
+def test_ranges_of_a_block_gzip_file_give_every_line_once(tmp_path, size, split):
+    """Lines shorter and longer than members and ranges, empty ones, and line ends at member ends."""
+    draw = random.Random(size)
+    lines = ["", "x" * 3000, "abcdef", "1234567" * 2, *["y" * draw.randint(0, 90) for _ in range(150)], "", "end"]
+    path = block_gzip_file(tmp_path / "a.bgz", lines, size)
+    total = os.path.getsize(path)
+    found = []
+    with open(path, "rb") as file:
+        for start in range(0, total, split):
+            for some in block_gzip.lines_of_range(file, start, min(start + split, total), total):
+                found += [x.decode() for x in some]
+    assert found == lines
+
+
+def test_a_last_line_without_its_end(tmp_path):
+    (tmp_path / "a.bgz").write_bytes(derived.block_gzip_bytes(b"one\ntwo", 3))
+    with open(tmp_path / "a.bgz", "rb") as file:
+        size = os.path.getsize(tmp_path / "a.bgz")
+        found = [x for s in range(0, size, 20) for some in block_gzip.lines_of_range(file, s, s + 20, size) for x in some]
+    assert found == [b"one", b"two"]
+
+
+def test_block_gzip_gives_many_tasks_and_equals_plain_text(spark, tmp_path):
+    records = [f"chr1\t{i}\trs{i}\tA\tT,G\t.\tPASS\tAF={i / 9000},0.2;AN={i};note={'n' * (i % 400)}" for i in range(9000)]
+    plain = write_vcf(tmp_path / "a.vcf", records)
+    (tmp_path / "b.vcf.bgz").write_bytes(derived.block_gzip_bytes((tmp_path / "a.vcf").read_bytes(), 4000))
+    size = os.path.getsize(tmp_path / "b.vcf.bgz")
+    lines = block_gzip.read_lines(spark, [(str(tmp_path / "b.vcf.bgz"), size)], split_bytes=size // 40)
+    assert lines.rdd.getNumPartitions() >= 40
+    assert lines.count() == len(records) + len(HEADER)
+    fields = vcf.info_fields(HEADER)
+    ours = vcf.parse_vcf_lines(lines, fields)
+    assert ours.exceptAll(vcf.read_vcf(spark, plain)).isEmpty()
+    assert vcf.read_vcf(spark, str(tmp_path / "b.vcf.bgz")).exceptAll(ours).isEmpty()
+
+
+def test_a_cut_off_block_gzip_file_fails(spark, tmp_path):
+    whole = derived.block_gzip_bytes(("\n".join([*HEADER, *RECORDS * 200]) + "\n").encode(), 900)
+    (tmp_path / "a.bgz").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(PySparkException, match="member"):
+        vcf.read_vcf(spark, str(tmp_path / "a.bgz"), header=HEADER).count()
+
+
+def test_plain_gzip_named_bgz_fails_with_a_reason(spark, tmp_path):
+    write_vcf(tmp_path / "a.vcf.bgz", RECORDS, compress=True)
+    with pytest.raises(PySparkException, match="block-gzip"):
+        vcf.read_vcf(spark, str(tmp_path), header=HEADER).count()
+
+
+def test_arrays_are_cut_by_their_declared_number(spark, tmp_path):
+    header = [
+        "##fileformat=VCFv4.2",
+        "##INFO=<ID=AF,Number=A,Type=Float>",
+        "##INFO=<ID=AD,Number=R,Type=Integer>",
+        "##INFO=<ID=GC,Number=G,Type=Integer>",
+        "##INFO=<ID=H,Number=.,Type=Integer>",
+    ]
+    records = [
+        "chr1\t1\t.\tA\tT,G\t.\tAC0;X\tAF=0.1,0.2;AD=5,6,7;GC=0,1,2,3,4,5;H=8,9",
+        "chr1\t2\t.\tA\tC\t.\tPASS\tAF=0.5;AD=5;GC=1,2,3",
+    ]
+    flat = variants_from_vcf(spark, write_vcf(tmp_path / "a.vcf", records, header), align="declared")
+    assert rows(flat, "alternateAllele", "filters", "INFO_AF", "INFO_AD", "INFO_GC", "INFO_H") == [
+        ("C", "PASS", 0.5, [5, None], [1, 2, 3], None),
+        ("G", "AC0;X", 0.2, [5, 7], [0, 3, 5], [8, 9]),
+        ("T", "AC0;X", 0.1, [5, 6], [0, 1, 2], [8, 9]),
+    ]
+
+
 def test_nameless_info_entries_are_skipped(spark, tmp_path):
     records = [f"chr1\t{i}\t.\tA\tT\t.\tPASS\t{info}" for i, info in enumerate(["AF=0.1;=x", "=x;AF=0.1", "=", "=;=;AF=0.1;"])]
     nested = vcf.read_vcf(spark, write_vcf(tmp_path / "a.vcf", records))
@@ -119,12 +213,6 @@ def test_aligned_arrays_leave_filters_whole(spark, tmp_path):
     ]
 
 
-def test_bgz_in_a_folder_needs_a_codec(spark, tmp_path):
-    write_vcf(tmp_path / "a.vcf.bgz", RECORDS, compress=True)
-    with pytest.raises(ValueError, match="codec"):
-        vcf.read_vcf(spark, str(tmp_path), header=HEADER)
-
-
 def test_shard_folders_must_have_the_same_columns(spark, tmp_path):
     one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
     spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(one)
@@ -135,11 +223,6 @@ def test_shard_folders_must_have_the_same_columns(spark, tmp_path):
         tables.read_parquet(spark, [one, two, three])
 
 
-def test_bgz_needs_a_codec(spark, tmp_path):
-    with pytest.raises(ValueError, match="codec"):
-        vcf.read_vcf(spark, write_vcf(tmp_path / "a.vcf.bgz", RECORDS, compress=True))
-
-
 def test_long_header_is_read_completely(spark, tmp_path):
     many = [f'##INFO=<ID=F{i},Number=A,Type=Float,Description="x">' for i in range(3000)]
     path = write_vcf(tmp_path / "a.vcf", ["chr1\t1\t.\tA\tT\t.\tPASS\tF2999=0.5"], header=many)
