@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import time
 from pathlib import Path
 
 if __package__ in (None, ""):
@@ -31,12 +30,17 @@ from alleleframe.sinks import warehouse  # noqa: E402
 from alleleframe.sinks.storage import (  # noqa: E402
     CODEC,
     TARGET_FILE_MB,
-    input_bytes,
+    replace_shards,
+    source_bytes,
     stored_size,
 )
 from alleleframe.sources import tables  # noqa: E402
 
 
+def source_names(name: str) -> list[str]:
+    return tables.shard_names(name) if "{}" in name else [name]
+
+
 def open_source(spark: SparkSession, name: str) -> DataFrame:
     if "{}" in name:
         names = tables.shard_names(name)
@@ -77,28 +81,47 @@ def convert_genes(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
     variants, annotations = open_source(spark, args.variants), open_source(spark, args.annotations)
-    size_shuffles(spark, input_bytes(variants) + input_bytes(annotations))
+    names = [*source_names(args.variants), *source_names(args.annotations)]
+    size_shuffles(spark, source_bytes(spark, names))
     merged = ingest.merged_variants(variants, annotations)
     ingest.publish_annotations(merged, args.output, args.table, **layout(args))
 
 
+def replace_chromosomes(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Replace the named chromosomes of a table that is stored by chromosome."""
+    df = open_source(spark, args.source)
+    column = args.partition_by[0]
+    kept = [c for c in args.keys if c != column]
+    replace_shards(
+        df, args.output, kept, [column], [(c,) for c in args.shards], args.target_mb, args.codec
+    )
+
+
 def run_reports(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Print every report, then the total runtime; a full run scans once per difference family."""
+    """Print every report, then what the runs read and took; a full run scans once per difference family.
+
+    ``--run-log`` keeps the runs as a table.
+    """
     merged, genes = open_source(spark, args.merged), open_source(spark, args.genes)
     runs = []
-    started = time.time()
-    shared = {} if args.only else reports.difference_suite(merged)
-    runs.append(("difference overviews", "query", time.time() - started, 0.0))
+
+    def collect(df: DataFrame, name: str) -> list:
+        rows, run = metering.run_measured(df, name)
+        runs.append(run)
+        return rows
+
+    shared = {} if args.only else reports.difference_suite(merged, collect)
     for name in args.only or reports.REPORTS:
-        started = time.time()
         print(name)
         report = shared[name] if name in shared else reports.REPORTS[name](merged, genes)
-        report.show(100, truncate=False)
-        runs.append((name, "query", time.time() - started, 0.0))
-    log = spark.createDataFrame(runs, "run_id string, kind string, seconds double, cost double")
-    metering.runtime_totals(log).select("total_query_seconds", "total_query_runtime").show(
-        truncate=False
-    )
+        rows = collect(report, name)
+        spark.createDataFrame(rows, report.schema).show(100, truncate=False)
+    log = metering.runs_table(spark, runs)
+    if args.run_log:
+        metering.append_runs(spark, runs, args.run_log)
+    costs = metering.scan_cost_report(log, args.rate_per_tb)
+    costs.select("name", "rows_read", "rows_out", "gb_processed", "cost", "runtime").show(100, truncate=False)
+    metering.runtime_totals(costs).show(truncate=False)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -150,9 +173,17 @@ def parser() -> argparse.ArgumentParser:
     merger.add_argument("--variants", required=True)
     merger.add_argument("--annotations", required=True)
 
+    replacer = writer("replace", replace_chromosomes)
+    replacer.add_argument("--source", required=True, help="new rows, only of the named shards")
+    replacer.add_argument("--shards", nargs="+", required=True, help="values such as chr21")
+    replacer.add_argument("--keys", nargs="+", default=["start_position"], help="columns to cluster by")
+    replacer.set_defaults(partition_by=["chromosome"])
+
     reporter = commands.add_parser("reports")
     reporter.add_argument("--merged", required=True)
     reporter.add_argument("--genes", required=True)
+    reporter.add_argument("--run-log", help="folder of a run log to add to")
+    reporter.add_argument("--rate-per-tb", type=float, default=metering.ATHENA_PER_TB)
     reporter.add_argument("--only", nargs="+", choices=list(reports.REPORTS))
     reporter.set_defaults(run=run_reports)
 

@@ -99,7 +99,8 @@ def difference_reports(
     (dimension, value) that is in any report: rows meeting ``where``, how many of
     them differ upward and downward by ``threshold``, and the place in each
     report, NULL where the value is not in it. The single reports would scan the
-    table once each.
+    table once each; here one scan makes the counts, and three short lists per
+    dimension are drawn from them, cut in every task before they meet.
     """
     dimension, value, limit = F.lit(None), F.lit(None), F.lit(None).cast("int")
     for key, k in keys.items():
@@ -121,14 +122,24 @@ def difference_reports(
         .select("dimension", "value", "limit", "count", "count_up", "count_down")
     )
     places = {"count": "place", "count_up": "place_up", "count_down": "place_down"}
-    for count, place in places.items():
-        order = Window.partitionBy("dimension").orderBy(
-            F.desc(count), F.col("value").asc_nulls_last()
-        )
-        rank = F.row_number().over(order)
-        listed = (F.col(count) > 0) & F.coalesce(rank <= F.col("limit"), F.lit(True))
-        counts = counts.withColumn(place, F.when(listed, rank))
-    return counts.filter(F.coalesce(*places.values()).isNotNull()).drop("limit")
+    lists = F.array(*[F.struct(F.lit(p).alias("list"), F.col(c).alias("n")) for c, p in places.items()])
+    order = Window.partitionBy("dimension", "list").orderBy(
+        F.desc("n"), F.col("value").asc_nulls_last()
+    )
+    ranked = (
+        counts.select("*", F.inline(lists))
+        .where("n > 0")
+        .withColumn("rank", F.row_number().over(order))
+    )
+    if None not in keys.values():
+        # With a plain bound each task keeps its own first rows before they meet in one per list.
+        ranked = ranked.where(F.col("rank") <= max(keys.values()))
+    listed = ranked.where(F.coalesce(F.col("rank") <= F.col("limit"), F.lit(True)))
+    # A value is in at most three lists.
+    return listed.groupBy("dimension", "value").agg(
+        *[F.max(c).alias(c) for c in places],
+        *[F.max(F.when(F.col("list") == p, F.col("rank"))).alias(p) for p in places.values()],
+    )
 
 
 def report_of(overview: DataFrame, dimension: str, direction: str | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def derive_frequency_columns(variants: DataFrame) -> DataFrame:
     )
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
+def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[quoted(k) for k in keys])
 
 
@@ -63,7 +63,7 @@ def hot_keys(
     (
         df.select(*map(quoted, keys))
         .dropna()
-        .groupBy(_key_hash(keys).alias("_hash"))
+        .groupBy(key_hash(keys).alias("_hash"))
         .count()
         .filter(F.col("count") > rows_per_task)
         .select("_hash")
@@ -95,7 +95,7 @@ def left_join_on_keys(
     listed = F.broadcast(hot) if hot.count() <= _BROADCAST_KEYS else hot
 
     def routed(df: DataFrame, kind: str) -> DataFrame:
-        return df.withColumn("_hash", _key_hash(keys)).join(listed, "_hash", kind).drop("_hash")
+        return df.withColumn("_hash", key_hash(keys)).join(listed, "_hash", kind).drop("_hash")
 
     left_hot, right_hot = routed(left, "left_semi"), routed(right, "left_semi")
     cold = routed(left, "left_anti").join(routed(right, "left_anti"), keys, "left")

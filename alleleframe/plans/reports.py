@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import quoted
@@ -132,18 +132,21 @@ _IN_OVERVIEW = {
 }
 
 
-def difference_suite(variants: DataFrame) -> dict[str, DataFrame]:
+def difference_suite(
+    variants: DataFrame, collect: Callable[[DataFrame, str], list[Row]] = lambda df, name: df.collect()
+) -> dict[str, DataFrame]:
     """The ten difference reports of the suite from two scans.
 
     An overview has at most three reports' rows per dimension, so it goes through
-    the driver once and the reports are cut out of it.
+    the driver once and the reports are cut out of it. ``collect`` brings an
+    overview, given with its name, to the driver.
     """
     found = {}
     for family, overview in (
         ("sex_diff", sex_difference_overview(variants)),
         ("eas_only", east_asian_difference_overview(variants)),
     ):
-        few = overview.sparkSession.createDataFrame(overview.collect(), overview.schema)
+        few = overview.sparkSession.createDataFrame(collect(overview, family), overview.schema)
         for name in REPORTS:
             for ending, (dimension, direction) in _IN_OVERVIEW.items():
                 if name[4:] == f"{family}_{ending}":

@@ -47,12 +47,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/alleleframe-{app}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is; PySpark has no call of its own for this."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete one folder made by ``scratch_path`` of this application."""
     if f"/alleleframe-{spark.sparkContext.applicationId}/" not in path:
         raise ValueError(f"not a scratch folder of this application: {path}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    delete_folder(spark, path)
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int, mb_per_partition: int = 1280) -> int:

@@ -23,9 +23,14 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     codec: str = CODEC,
     rows_per_file: int = 0,
+    only_own_shards: bool = False,
 ) -> None:
-    """Overwrite ``path`` with Parquet files; a task starts a new file after ``rows_per_file`` rows."""
+    """Overwrite ``path`` with Parquet files; a task starts a new file after ``rows_per_file`` rows.
+
+    ``only_own_shards`` replaces only the ``partition_by`` folders that ``df`` has rows for.
+    """
     writer = df.write.mode("overwrite").option("compression", codec)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if only_own_shards else "static")
     writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -62,10 +67,29 @@ def stored_size(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the folders that the files of ``df`` lie in."""
-    folders = sorted({file.rsplit("/", 1)[0] for file in df.inputFiles()})
-    return stored_size(df.sparkSession, folders).first().total_bytes if folders else 0
+def scan_size(df: DataFrame) -> tuple[int, int]:
+    """Bytes of the files of a Parquet scan, and its rows.
+
+    Only footers are read, file names stay on the executors, and one row comes back.
+    """
+    files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("rows")
+    )
+    found = files.agg(F.sum("bytes"), F.sum("rows")).first()
+    return found[0] or 0, found[1] or 0
+
+
+def table_detail(spark: SparkSession, table: str, name: str) -> str | None:
+    """One line of a table's description, such as ``Location`` or ``Statistics``."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name)
+    row = described.first()
+    return row.data_type if row else None
+
+
+def source_bytes(spark: SparkSession, names: Sequence[str]) -> int:
+    """Bytes of Parquet paths (names with a ``/``) and catalog tables, from file listings."""
+    paths = [n if "/" in n else table_detail(spark, n, "Location") for n in names]
+    return stored_size(spark, paths).first().total_bytes
 
 
 def target_file_count(total_bytes: int, target_mb: int = TARGET_FILE_MB) -> int:
@@ -103,6 +127,41 @@ def cluster_files(df: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
     )
 
 
+def replace_shards(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    shards: Sequence[Sequence] | None = None,
+    target_mb: int = TARGET_FILE_MB,
+    codec: str = CODEC,
+) -> DataFrame:
+    """Replace the folders of a partitioned table that ``df`` has rows for; others keep their files.
+
+    Such as one chromosome of a release. ``shards`` lists the values of
+    ``partition_by`` that may be replaced; rows of any other raise before a file
+    is touched. The new files are clustered by ``keys`` like those of
+    ``write_clustered``, and the old ones go only after all new ones are written.
+    """
+    spark = df.sparkSession
+    staged = scratch_path(spark, "stage")
+    try:
+        write_parquet(df, staged, codec=codec)
+        copy = spark.read.parquet(staged)
+        if shards is not None:
+            # One row per folder.
+            found = {tuple(r) for r in copy.select(*map(quoted, partition_by)).distinct().collect()}
+            others = found - {tuple(s) for s in shards}
+            if others:
+                raise ValueError(f"rows of shards that are not to be replaced: {sorted(others, key=repr)}")
+        count, rows_per_file = range_layout(*scan_size(copy), target_mb)
+        clustered = cluster_files(copy, [*partition_by, *keys], count)
+        write_parquet(clustered, path, partition_by, codec, rows_per_file, only_own_shards=True)
+        return spark.read.parquet(path)
+    finally:
+        drop_scratch(spark, staged)
+
+
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -125,8 +184,7 @@ def write_clustered(
     try:
         write_parquet(df, staged, codec=codec)
         copy = spark.read.parquet(staged)
-        size = stored_size(spark, staged).first().total_bytes
-        count, rows_per_file = range_layout(size, copy.count(), target_mb)
+        count, rows_per_file = range_layout(*scan_size(copy), target_mb)
         clustered = cluster_files(copy, keys, count)
         if table:
             return save_external_table(clustered, table, path, partition_by, codec, rows_per_file)

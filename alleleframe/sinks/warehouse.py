@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,15 @@ from pyspark.sql import types as T
 
 from alleleframe.functions.columns import quoted
 from alleleframe.operators.filters import MAX_TEXT_LENGTH
+from alleleframe.session import delete_folder
 from alleleframe.sinks.statistics import collect_statistics, column_statistics
-from alleleframe.sinks.storage import TARGET_FILE_MB, cluster_files, range_layout, stored_size
+from alleleframe.sinks.storage import (
+    TARGET_FILE_MB,
+    cluster_files,
+    range_layout,
+    scan_size,
+    table_detail,
+)
 
 _SPARE_CHARACTERS = 5
 
@@ -29,8 +37,14 @@ def text_width_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def stored_widths(spark: SparkSession, table: str) -> dict[str, int]:
-    """Widths of text columns from the statistics of a catalog table, where it has them."""
+def stored_widths(spark: SparkSession, table: str, rows: int | None = None) -> dict[str, int]:
+    """Widths of text columns from the statistics of a catalog table, where it has them.
+
+    With ``rows``, statistics of another number of rows are stale and not used.
+    """
+    counted = (table_detail(spark, table, "Statistics") or "").split(", ")[-1]
+    if rows is not None and counted != f"{rows} rows":
+        return {}
     names = [f.name for f in spark.table(table).schema if isinstance(f.dataType, T.StringType)]
     stored = column_statistics(spark, table, names).collect()
     return {
@@ -63,6 +77,25 @@ def warehouse_types(df: DataFrame, widths: dict[str, int] | None = None) -> dict
     return types
 
 
+def swap_table(spark: SparkSession, fresh: str, table: str) -> str | None:
+    """Give ``table`` the files and columns of ``fresh``; returns where the old files are.
+
+    Both steps only change the catalog. If the second one fails, the first is undone.
+    """
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        return None
+    location, old = table_detail(spark, table, "Location"), f"{fresh}_old"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+    return location
+
+
 def create_typed_table(
     df: DataFrame,
     table: str,
@@ -70,26 +103,46 @@ def create_typed_table(
     keys: Sequence[str] = (),
     widths: dict[str, int] | None = None,
     target_mb: int = TARGET_FILE_MB,
+    accept: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Replace ``table`` by one of bounded text columns and fill it from ``df``.
 
-    Spark checks each value against its width on write and raises if it is too
-    long. With ``keys``, ``df`` must be a Parquet scan; files are then clustered
-    by them.
+    Each load has a folder of its own below ``path``. The new table is written
+    and, with ``accept``, checked beside the old one, which stays readable; only
+    then the names are switched and the old load's files deleted. Spark checks
+    each value against its width on write and raises if it is too long; a load
+    that fails leaves the old table as it was. With ``keys``, ``df`` must be a
+    Parquet scan; files are then clustered by them, with about ``target_mb`` each.
     """
     spark = df.sparkSession
     columns = ", ".join(
         f"`{name}` {'DOUBLE' if kind == 'FLOAT8' else kind}"
         for name, kind in warehouse_types(df, widths).items()
     )
-    rows = df
+    rows, rows_per_file = df, 0
     if keys:
-        folders = sorted({file.rsplit("/", 1)[0] for file in df.inputFiles()})
-        size = stored_size(spark, folders).first().total_bytes
-        rows = cluster_files(df, keys, range_layout(size, 0, target_mb)[0])
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
-    rows.write.insertInto(table, overwrite=True)
+        count, rows_per_file = range_layout(*scan_size(df), target_mb)
+        rows = cluster_files(df, keys, count)
+    load = uuid.uuid4().hex[:12]
+    fresh, folder = f"{table}_load_{load}", f"{path.rstrip('/')}/load-{load}"
+    spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet LOCATION '{folder}'")
+    try:
+        # insertInto takes no such option for the files of a catalog table, but the setting holds.
+        before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", str(rows_per_file))
+        try:
+            rows.write.insertInto(fresh, overwrite=True)
+        finally:
+            spark.conf.set("spark.sql.files.maxRecordsPerFile", before)
+        if accept:
+            accept(fresh)
+        old = swap_table(spark, fresh, table)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        delete_folder(spark, folder)
+        raise
+    if old and f"{path.rstrip('/')}/load-" in old:
+        delete_folder(spark, old)
     return spark.read.table(table)
 
 
@@ -98,17 +151,21 @@ def load_checked(
 ) -> DataFrame:
     """Load Parquet files or a table into a typed, clustered and analysed table.
 
-    The source is tested first, so an empty one leaves an old table as it is.
-    Widths come from the source's statistics if it is a table that has them. A
-    table with another number of rows than its source raises.
+    The source is tested first. Widths come from the source's statistics if it is
+    a table that has them for as many rows as it holds. The new rows are counted
+    and analysed before they take the old table's place: an empty source, a value
+    that is too long and a missing row all raise and leave the old table as it is.
     """
     stored = "/" not in source
     df = spark.read.table(source) if stored else spark.read.parquet(source)
-    if df.isEmpty():
+    rows = df.count()
+    if not rows:
         raise RuntimeError(f"data load failed for {table}: {source} is empty")
-    widths = stored_widths(spark, source) if stored else None
-    loaded = create_typed_table(df, table, path, keys, widths)
-    collect_statistics(spark, table)
-    if loaded.count() != df.count():
-        raise RuntimeError(f"data load failed for {table}: rows are missing")
-    return loaded
+    widths = stored_widths(spark, source, rows) if stored else None
+
+    def accept(fresh: str) -> None:
+        if spark.read.table(fresh).count() != rows:
+            raise RuntimeError(f"data load failed for {table}: rows are missing")
+        collect_statistics(spark, fresh)
+
+    return create_typed_table(df, table, path, keys, widths, accept=accept)

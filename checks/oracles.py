@@ -397,6 +397,35 @@ OPERATORS["storage_cost"] = f"""SELECT total_bytes, total_bytes / CAST(107374182
  total_bytes / CAST(1073741824 AS DOUBLE) * CAST(0.024 AS DOUBLE) AS monthly_cost FROM ({_STORED})"""
 
 
+OPERATORS["bucketed_merge"] = OPERATORS["annotate_left_join"]
+OPERATORS["replace_shard"] = f"""WITH {VARIANTS}
+SELECT chromosome, start_position, refallele, altallele,
+ CASE WHEN chromosome = 'chr5' THEN -info_af ELSE info_af END AS info_af FROM variants"""
+OPERATORS["shard_statistics"] = "WITH o AS (SELECT *, NULLIF(o_orderpriority, '5-LOW') AS o_comment FROM orders)" + (
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls,
+ {f'CAST(MAX(LENGTH({c})) AS BIGINT)' if text else 'CAST(NULL AS BIGINT)'} AS max_length,
+ CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max FROM o"""
+        for c, text in (
+            ("o_orderkey", False),
+            ("o_custkey", False),
+            ("o_orderstatus", True),
+            ("o_totalprice", False),
+            ("o_orderdate", False),
+            ("o_orderpriority", True),
+            ("o_comment", True),
+        )
+    )
+)
+OPERATORS["codec_rows"] = """SELECT c_custkey, c_name, c_acctbal, codec FROM customer,
+ (VALUES ('none'), ('snappy'), ('gzip'), ('zstd'), ('lz4')) AS codecs(codec)"""
+OPERATORS["sql_text_share"] = SUITE["q01_af_range_share"]
+OPERATORS["sql_text_divergence"] = SUITE["q17_divergent_variants"]
+OPERATORS["run_log_rows"] = f"""WITH {VARIANTS}
+SELECT name, 'query' AS kind, (SELECT COUNT(*) FROM variants) AS rows_read, rows_out FROM (
+ SELECT 'q01_af_range_share' AS name, COUNT(*) AS rows_out FROM ({SUITE["q01_af_range_share"]})
+ UNION ALL SELECT 'q02_rare_rate_by_chromosome', COUNT(*) FROM ({SUITE["q02_rare_rate_by_chromosome"]})
+ UNION ALL SELECT 'q18_clnsig_values', COUNT(*) FROM ({SUITE["q18_clnsig_values"]}))"""
 OPERATORS["vcf_block_gzip"] = OPERATORS["vcf_ingest"]
 
 

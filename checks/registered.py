@@ -35,10 +35,16 @@ from alleleframe.operators.reshape import (
     prefix_values,
     rename_columns,
 )
-from alleleframe.plans import ingest, reports
+from alleleframe.plans import ingest, reports, sql_reports
 from alleleframe.session import scratch_path
-from alleleframe.sinks import storage, warehouse
-from alleleframe.sinks.statistics import collect_statistics, column_statistics
+from alleleframe.sinks import bucketed, storage, warehouse
+from alleleframe.sinks.statistics import (
+    collect_statistics,
+    column_statistics,
+    merged_statistics,
+    with_new_shards,
+)
+from alleleframe.sinks.statistics import shard_statistics as shard_figures
 from alleleframe.sources import tables
 from alleleframe.sources.vcf import read_vcf
 from checks import derived
@@ -345,14 +351,14 @@ def gene_ingest(spark, sf_dir):
 
 
 def shard_scan(spark, sf_dir):
-    """Chromosome folders written once, then read as one scan of many paths."""
+    """One folder per chromosome, each with the whole schema, read as one strict scan of many paths."""
     folder = scratch_path(spark, "shards")
     variants = derived.merged_variants(spark, sf_dir).select(
-        "chromosome", "start_position", "refallele", "altallele", "info_af"
+        F.col("chromosome").alias("shard"), "chromosome", "start_position", "refallele", "altallele", "info_af"
     )
-    storage.write_parquet(variants, folder, partition_by=["chromosome"])
-    names = [f"{folder}/{n}" for n in tables.shard_names("chromosome=chr{}")]
-    return spark.read.option("basePath", folder).parquet(*names)
+    storage.write_parquet(variants, folder, partition_by=["shard"])
+    names = [f"{folder}/{n}" for n in tables.shard_names("shard=chr{}")]
+    return tables.read_parquet(spark, names)
 
 
 # Sinks
@@ -391,6 +397,79 @@ def merged_build(spark, sf_dir):
     return analytics.conditional_rate(merged, "chromosome", F.col("info_af") <= 0.3, names)
 
 
+def bucketed_merge(spark, sf_dir):
+    """The annotation join on tables bucketed by key, hot keys kept apart."""
+    variants = explode_alternates(flatten_structs(derived.nested_variants(spark, sf_dir)))
+    names = (_table_name("variants"), _table_name("annotations"))
+    bucketed.bucket_variants(
+        derive_frequency_columns(variants), key_rename_prefix(spark, sf_dir), names, 8, rows_per_task=2
+    )
+    return bucketed.merge_bucketed(spark, *names).select(
+        *MERGE_KEYS,
+        *["INFO_AF", "INFO_AF_XX", "info_af_range", "AF_XX_MINUS_AF_XY_ABS"],
+        *["genename", "clinvar_clnsig"],
+    )
+
+
+def replace_shard(spark, sf_dir):
+    """A table by chromosome; chr5 is loaded again with other values, the rest keeps its files."""
+    folder = scratch_path(spark, "release")
+    variants = derived.merged_variants(spark, sf_dir).select(*MERGE_KEYS, "info_af")
+    storage.write_clustered(variants, folder, MERGE_KEYS, partition_by=["chromosome"], target_mb=1)
+    again = variants.where("chromosome = 'chr5'").withColumn("info_af", -F.col("info_af"))
+    return storage.replace_shards(again, folder, MERGE_KEYS[1:], ["chromosome"], [("chr5",)])
+
+
+def shard_statistics(spark, sf_dir):
+    """Statistics of two shards merged, one of them after it was replaced."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_comment", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    orders = orders.withColumn("part", F.col("o_orderkey") % 3)
+    stored = shard_figures(orders.where("part < 2 OR o_orderkey > 50"), "part")
+    fresh = shard_figures(orders.where("part = 2"), "part")
+    path = scratch_path(spark, "statistics")
+    with_new_shards(stored, fresh).write.parquet(path)
+    return merged_statistics(spark.read.parquet(path)).drop("distinct_estimate")
+
+
+def codec_rows(spark, sf_dir):
+    """The same rows through each Parquet codec, read back."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    found = []
+    for codec in ("none", "snappy", "gzip", "zstd", "lz4"):
+        path = scratch_path(spark, f"codec-{codec}")
+        storage.write_parquet(customers, path, codec=codec)
+        found.append(tables.read_parquet(spark, path).withColumn("codec", F.lit(codec)))
+    return tables.union_shards(found)
+
+
+def _sql_tables(spark, sf_dir):
+    variants, genes = _table_name("variants"), _table_name("genes")
+    tables.register_view(derived.merged_variants(spark, sf_dir), variants)
+    tables.register_view(clean_names(derived.genes(spark, sf_dir), strict=True), genes)
+    return {"variants": variants, "genes": genes}
+
+
+def sql_text_share(spark, sf_dir):
+    names = _sql_tables(spark, sf_dir)
+    return sql_reports.run_text(spark, "q01_af_range_share", {"variants": names["variants"]})
+
+
+def sql_text_divergence(spark, sf_dir):
+    return sql_reports.run_text(spark, "q17_divergent_variants", _sql_tables(spark, sf_dir), {"k": 25})
+
+
+def run_log_rows(spark, sf_dir):
+    """Runs of this session: rows that their scans read and rows they gave."""
+    path = scratch_path(spark, "merged")
+    storage.write_parquet(derived.merged_variants(spark, sf_dir), path)
+    variants = tables.read_parquet(spark, path)
+    log = scratch_path(spark, "run-log")
+    for name in ("q01_af_range_share", "q02_rare_rate_by_chromosome", "q18_clnsig_values"):
+        _, run = metering.run_measured(reports.REPORTS[name](variants, None), name)
+        runs = metering.append_runs(spark, [run], log)
+    return runs.select("name", "kind", "rows_read", "rows_out")
+
+
 def load_checked(spark, sf_dir):
     return warehouse.load_checked(
         spark,
@@ -515,6 +594,13 @@ OPERATORS: dict[str, Query] = {
     "external_table": external_table,
     "clustered_write": clustered_write,
     "merged_build": merged_build,
+    "bucketed_merge": bucketed_merge,
+    "replace_shard": replace_shard,
+    "shard_statistics": shard_statistics,
+    "codec_rows": codec_rows,
+    "sql_text_share": sql_text_share,
+    "sql_text_divergence": sql_text_divergence,
+    "run_log_rows": run_log_rows,
     "load_checked": load_checked,
     "string_width_profile": string_width_profile,
     "typed_table": typed_table,

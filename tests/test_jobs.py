@@ -69,7 +69,12 @@ def test_from_text_to_reports(spark, folder, capsys):
     )
     assert found == [("chr1", 100, 0.2, "BRCA2"), ("chr2", 300, 0.01, "USH2A")]
     capsys.readouterr()
-    jobs.main(["reports", "--merged", "job_merged", "--genes", at("genes.parquet")])
+    jobs.main(
+        ["reports", "--merged", "job_merged", "--genes", at("genes.parquet"), "--run-log", at("runs")]
+    )
+    log = {r.name: r for r in spark.read.parquet(at("runs")).collect()}
+    assert log["q01_af_range_share"].rows_read == 2 and log["q01_af_range_share"].bytes_processed > 0
+    assert log["sex_diff"].files > 0 and log["q04_sex_diff_by_chromosome"].files == 0
     printed = capsys.readouterr().out
     assert printed.count("q1") >= 10 and "total_query_runtime" in printed
     assert "|chr1      |100           |A        |T        |" in printed
@@ -87,3 +92,15 @@ def test_one_table_per_chromosome(spark, tmp_path):
     both = [jobs.open_source(spark, "shard_chr{}"), jobs.open_source(spark, f"{tmp_path}/chr{{}}")]
     for df in both:
         assert sorted(r.c for r in df.collect()) == sorted(CHROMOSOMES)
+
+
+def test_replacing_one_chromosome(spark, tmp_path):
+    base = str(tmp_path / "by_chromosome")
+    df = spark.range(30).selectExpr("concat('chr', id % 3) AS chromosome", "id AS start_position", "'a' AS v")
+    df.write.partitionBy("chromosome").parquet(base)
+    fresh = str(tmp_path / "fresh")
+    spark.sql("SELECT 'chr1' AS chromosome, 7L AS start_position, 'b' AS v").write.parquet(fresh)
+    jobs.main(["replace", "--source", fresh, "--output", base, "--shards", "chr1"])
+    found = spark.read.parquet(base)
+    assert found.count() == 21
+    assert [r.v for r in found.where("chromosome = 'chr1'").collect()] == ["b"]

@@ -4,6 +4,8 @@ import datetime as dt
 
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from alleleframe.operators import metering
 
 
@@ -66,3 +68,34 @@ def test_storage_cost(spark):
     sizes = spark.createDataFrame([(2 * 1024**3,)], "total_bytes bigint")
     cost = metering.storage_cost(sizes, metering.BIGQUERY_STORAGE_PER_GB_MONTH)
     assert rows(cost) == [(2 * 1024**3, 2.0, 0.04)]
+
+
+def test_runs_are_measured_and_kept(spark, tmp_path):
+    """What the scans read, the rows that came out, and both reports on the log."""
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id", "id % 10 AS k", "repeat('x', 50) AS pad").coalesce(2).write.parquet(path)
+    df = spark.read.parquet(path)
+    rows_, run = metering.run_measured(df.groupBy("k").count(), "by_k")
+    assert len(rows_) == 10
+    assert (run["files"], run["rows_read"], run["rows_out"]) == (2, 5000, 10)
+    assert run["bytes_processed"] > 0
+    twice = df.select("id").join(df.select(F.col("id").alias("other")), F.col("id") == F.col("other"))
+    _, both = metering.run_measured(twice, "join")
+    assert both["rows_read"] in (5000, 10_000)
+    _, none = metering.run_measured(spark.range(3), "range")
+    assert (none["files"], none["rows_read"], none["rows_out"]) == (0, 0, 3)
+    log = str(tmp_path / "log")
+    assert metering.append_runs(spark, [run, both], log).count() == 2
+    kept = metering.append_runs(spark, [none], log)
+    assert kept.count() == 3
+    totals = metering.scan_cost_totals(kept, metering.ATHENA_PER_TB).first()
+    assert totals.total_gb == (run["bytes_processed"] + both["bytes_processed"]) / 1e9
+    report = metering.scan_cost_report(kept, metering.ATHENA_PER_TB)
+    assert metering.runtime_totals(report).first().total_query_seconds > 0
+
+
+def test_a_measured_run_keeps_its_pushed_filters(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "id AS other").write.parquet(path)
+    _, run = metering.run_measured(spark.read.parquet(path).where("id > 10").select("id"), "filtered")
+    assert run["rows_out"] == 89

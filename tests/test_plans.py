@@ -9,7 +9,8 @@ from conftest import final_plan
 from pyspark.sql import functions as F
 
 from alleleframe.operators.annotate import hot_keys, left_join_on_keys
-from alleleframe.plans import reports
+from alleleframe.operators import analytics
+from alleleframe.plans import reports, sql_reports
 from alleleframe.sinks.storage import write_clustered, write_parquet
 from checks import derived
 
@@ -135,3 +136,31 @@ def test_adaptive_execution_splits_hot_keys_on_either_side(spark, conf):
         assert name == "many keys" or "skew=true" in plan, name
         plain = few.join(right, ["k"], "left")
         assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty(), name
+
+
+def test_lists_of_an_overview_are_cut_before_they_meet(published):
+    """Each task keeps its first rows of every dimension; the counts are made once."""
+    overview = reports.sex_difference_overview(published[0])
+    plan = final(final_plan(overview))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert scanned_rows(overview) <= published[0].count()
+
+
+def test_an_overview_without_sizes_lists_every_value(spark):
+    df = spark.range(300).selectExpr("CAST(id % 60 AS string) AS a", "CAST(id % 7 AS string) AS b", "1.0D AS gap")
+    found = analytics.difference_reports(df, {"a": None, "b": 2}, F.col("gap"), 0.5, F.lit(True))
+    assert found.where("dimension = 'a'").count() == 60
+    assert sorted(r.place for r in found.where("dimension = 'b'").collect()) == [1, 2]
+    assert found.where("place_down IS NOT NULL").count() == 0
+
+
+def test_sql_texts_take_tables_and_values_by_name(spark, published, tmp_path):
+    published[0].createOrReplaceTempView("text_variants")
+    names = {"variants": "text_variants"}
+    share = sql_reports.run_text(spark, "q01_af_range_share", names)
+    assert share.collect() == reports.REPORTS["q01_af_range_share"](published[0], None).limit(1000).collect()
+    rare = sql_reports.run_text(spark, "q02_rare_rate_by_chromosome", names, {"rare": 0.01, "k": 24})
+    assert rare.collect() == reports.REPORTS["q02_rare_rate_by_chromosome"](published[0], None).collect()
+    own = "SELECT COUNT(*) AS n FROM IDENTIFIER(:variants) WHERE chromosome = :chromosome"
+    odd = sql_reports.run_text(spark, own, names, {"chromosome": "x' OR '1' = '1"})
+    assert odd.first().n == 0

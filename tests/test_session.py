@@ -7,7 +7,14 @@ import os
 import pytest
 
 from alleleframe.session import drop_scratch, scratch_path, size_shuffles
-from alleleframe.sinks.storage import input_bytes, range_layout, write_clustered, write_parquet
+from alleleframe.sinks.storage import (
+    range_layout,
+    save_external_table,
+    scan_size,
+    source_bytes,
+    write_clustered,
+    write_parquet,
+)
 
 
 def test_scratch_folders_are_fresh_and_below_the_configured_one(spark):
@@ -64,5 +71,6 @@ def test_shuffles_grow_with_input_and_never_shrink(spark, conf, tmp_path):
     sizes = [
         os.path.getsize(tmp_path / "a" / f) for f in os.listdir(tmp_path / "a") if f.startswith("part-")
     ]
-    assert input_bytes(spark.read.parquet(str(tmp_path / "a"))) == sum(sizes)
-    assert input_bytes(spark.range(3)) == 0
+    assert scan_size(spark.read.parquet(str(tmp_path / "a"))) == (sum(sizes), 1000)
+    save_external_table(spark.read.parquet(str(tmp_path / "a")), "sized", str(tmp_path / "b"))
+    assert source_bytes(spark, [str(tmp_path / "a"), "sized"]) > sum(sizes)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import rows
+from conftest import final_plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from alleleframe.sinks import storage, warehouse
+from alleleframe.operators.annotate import merge_annotations
+from alleleframe.sinks import bucketed, statistics, storage, warehouse
 from alleleframe.sinks.statistics import collect_statistics, column_statistics
 
 KEYS = ["chromosome", "position"]
@@ -95,10 +96,12 @@ def test_load_is_typed_clustered_and_analysed(spark, tmp_path):
     assert rows(loaded) == rows(df)
     types = {r.col_name: r.data_type for r in spark.sql("DESCRIBE t_load").collect()}
     assert types["v"] == "varchar(9)"
-    for name in os.listdir(tmp_path / "t"):
-        if name.endswith(".parquet"):
-            keys = [r.k for r in spark.read.parquet(str(tmp_path / "t" / name)).collect()]
-            assert keys == sorted(keys)
+    (load,) = os.listdir(tmp_path / "t")
+    files = [f for f in os.listdir(tmp_path / "t" / load) if f.endswith(".parquet")]
+    assert files
+    for name in files:
+        keys = [r.k for r in spark.read.parquet(str(tmp_path / "t" / load / name)).collect()]
+        assert keys == sorted(keys)
     assert column_statistics(spark, "t_load", ["k"]).first()["max"] == "999"
     # Widths of a further load come from these statistics.
     assert warehouse.stored_widths(spark, "t_load") == {"v": 9}
@@ -106,6 +109,153 @@ def test_load_is_typed_clustered_and_analysed(spark, tmp_path):
     assert rows(again) == rows(df)
 
 
+def test_a_load_that_fails_half_way_leaves_the_old_table(spark, tmp_path):
+    source, wide = str(tmp_path / "source"), str(tmp_path / "wide")
+    storage.write_parquet(spark.range(50).selectExpr("id AS k", "concat('v', id) AS v"), source)
+    warehouse.load_checked(spark, source, "t_swap", str(tmp_path / "t"), keys=["k"])
+    before = sorted(os.listdir(tmp_path / "t"))
+    storage.write_parquet(spark.range(90).selectExpr("id AS k", "repeat('w', int(id)) AS v"), wide)
+    with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH"):
+        warehouse.create_typed_table(
+            spark.read.parquet(wide), "t_swap", str(tmp_path / "t"), ["k"], widths={"v": 40}
+        )
+    assert spark.table("t_swap").count() == 50
+    assert sorted(os.listdir(tmp_path / "t")) == before
+    with pytest.raises(RuntimeError, match="missing"):
+        def refuse(fresh):
+            raise RuntimeError("rows are missing")
+        warehouse.create_typed_table(spark.read.parquet(wide), "t_swap", str(tmp_path / "t"), accept=refuse)
+    assert spark.table("t_swap").count() == 50
+    assert [t.name for t in spark.catalog.listTables() if "t_swap_load" in t.name] == []
+
+
+def test_a_load_takes_the_place_of_the_old_one(spark, tmp_path):
+    for n in (50, 90):
+        source = str(tmp_path / f"source{n}")
+        storage.write_parquet(spark.range(n).selectExpr("id AS k", f"repeat('w', {n}) AS v"), source)
+        loaded = warehouse.load_checked(spark, source, "t_place", str(tmp_path / "t"), keys=["k"])
+        assert loaded.count() == n
+        assert len(os.listdir(tmp_path / "t")) == 1
+    types = {r.col_name: r.data_type for r in spark.sql("DESCRIBE t_place").collect()}
+    assert types["v"] == "varchar(95)"
+    assert column_statistics(spark, "t_place", ["k"]).first()["max"] == "89"
+
+
+def test_loads_are_cut_into_files_and_stale_widths_are_measured(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "MOST_RANGES", 2)
+    monkeypatch.setattr(storage, "target_file_count", lambda *a: 8)
+    path = str(tmp_path / "s")
+    storage.save_external_table(spark.range(4000).selectExpr("id AS k", "concat('v', id % 10) AS v"), "t_stale", path)
+    collect_statistics(spark, "t_stale")
+    more = spark.range(4000, 4400).selectExpr("id AS k", "repeat('long', 9) AS v")
+    more.write.mode("append").parquet(path)  # the catalog does not notice
+    spark.catalog.refreshTable("t_stale")
+    assert warehouse.stored_widths(spark, "t_stale", 4000) == {"v": 7}
+    assert warehouse.stored_widths(spark, "t_stale", 4400) == {}
+    loaded = warehouse.load_checked(spark, "t_stale", "t_cut", str(tmp_path / "t"), keys=["k"])
+    assert loaded.count() == 4400
+    (load,) = os.listdir(tmp_path / "t")
+    assert len([f for f in os.listdir(tmp_path / "t" / load) if f.endswith(".parquet")]) >= 8
+    assert spark.conf.get("spark.sql.files.maxRecordsPerFile") == "0"
+
+
+def test_a_replaced_shard_leaves_the_files_of_others(spark, tmp_path):
+    path = str(tmp_path / "release")
+    df = variants(spark, 3000)
+    storage.write_clustered(df, path, KEYS, partition_by=["chromosome"])
+    names = lambda: {
+        d: sorted(f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet"))
+        for d in os.listdir(path)
+        if "=" in d
+    }
+    before = names()
+    fresh = spark.range(40).selectExpr("'chr2' AS chromosome", "id AS position", "'new' AS text")
+    with pytest.raises(ValueError, match="chr2"):
+        storage.replace_shards(fresh, path, ["position"], ["chromosome"], [("chr3",)])
+    assert names() == before
+    result = storage.replace_shards(fresh, path, ["position"], ["chromosome"], [("chr2",)])
+    after = names()
+    assert {d: f for d, f in after.items() if d != "chromosome=chr2"} == {
+        d: f for d, f in before.items() if d != "chromosome=chr2"
+    }
+    assert after["chromosome=chr2"] != before["chromosome=chr2"]
+    kept = df.where("chromosome != 'chr2'")
+    assert rows(result, *df.columns) == sorted(rows(kept) + rows(fresh), key=repr)
+
+
+def plain_and_bucketed(spark, rows_per_task=None):
+    """A third of the annotations share one key."""
+    n = spark.range(3000)
+    left = n.selectExpr(
+        "concat('chr', id % 5) AS contigName", "id AS start", "'A' AS referenceAllele",
+        "'T' AS alternateAllele", "'PASS' AS filters", "id / 3000 AS INFO_AF",
+    )
+    hot = F.col("id") % 3 == 0
+    right = n.select(
+        F.when(hot, "chr1").otherwise(F.concat(F.lit("chr"), F.col("id") % 5)).alias("chromosome"),
+        F.when(hot, 1).otherwise(F.col("id")).alias("start_position"),
+        F.lit("A").alias("refallele"),
+        F.lit("T").alias("altallele"),
+        F.sha1(F.col("id").cast("string")).alias("genename"),
+    )
+    names = (f"bv_{rows_per_task}", f"ba_{rows_per_task}")
+    bucketed.bucket_variants(left, right, names, 4, rows_per_task)
+    return merge_annotations(left, right), bucketed.merge_bucketed(spark, *names), names
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plain, joined, _ = plain_and_bucketed(spark)
+    assert "Exchange" not in final_plan(joined)
+    assert "Exchange" in final_plan(plain)
+    assert rows(joined) == rows(plain)
+
+
+def test_hot_keys_are_kept_out_of_buckets(spark):
+    plain, joined, names = plain_and_bucketed(spark, rows_per_task=100)
+    assert spark.table(names[1] + "_hot").count() == 1001
+    assert rows(joined) == rows(plain)
+
+
+def test_buckets_are_a_power_of_two():
+    assert [bucketed.bucket_count(mb * 2**20) for mb in (1, 256, 600, 1025, 10**8)] == [1, 1, 2, 4, 524288]
+
+
+def test_statistics_of_shards_merge_to_those_of_the_table(spark):
+    df = spark.range(20_000).selectExpr(
+        "id % 7 AS shard", "id * 450000000000001 AS big", "IF(id % 3 = 0, NULL, concat('t', id % 5000)) AS text",
+        "CAST(id AS double) - 10000.5 AS number", "id % 2 = 0 AS flag", "array(id) AS list",
+    )
+    stored = statistics.shard_statistics(df, "shard")
+    assert stored.count() == 7 * 4
+    merged = {r.column_name: r for r in statistics.merged_statistics(stored).collect()}
+    exact = {
+        "big": (20000, 0, None, "0", str(19999 * 450000000000001)),
+        "text": (20000, 6667, 5, "t0", "t999"),
+        "number": (20000, 0, None, "-10000.5", "9998.5"),
+        "flag": (20000, 0, None, "false", "true"),
+    }
+    for name, values in exact.items():
+        r = merged[name]
+        assert (r.rows, r.nulls, r.max_length, r["min"], r["max"]) == values, name
+    assert abs(merged["big"].distinct_estimate - 20000) < 0.03 * 20000
+    assert abs(merged["text"].distinct_estimate - 5000) < 0.03 * 5000
+    # The sketches of the shards together are the sketch of the whole.
+    whole = statistics.merged_statistics(statistics.shard_statistics(df.withColumn("shard", F.lit(1)), "shard"))
+    assert {r.column_name: r.distinct_estimate for r in whole.collect()} == {n: r.distinct_estimate for n, r in merged.items()}
+
+
+def test_a_new_shard_replaces_its_own_figures_only(spark):
+    df = spark.range(90).selectExpr("CAST(id % 3 AS string) AS shard", "id AS v")
+    df = df.unionByName(spark.sql("SELECT CAST(NULL AS string) AS shard, CAST(1000 AS bigint) AS v"))
+    stored = statistics.shard_statistics(df, "shard")
+    fresh = statistics.shard_statistics(spark.sql("SELECT '2' AS shard, CAST(-5 AS bigint) AS v"), "shard")
+    merged = statistics.merged_statistics(statistics.with_new_shards(stored, fresh)).first()
+    assert (merged.rows, merged["min"], merged["max"]) == (62, "-5", "1000")
+    empty = statistics.shard_statistics(df.limit(0), "shard")
+    assert statistics.merged_statistics(empty).collect() == []
+
+
 def test_one_range_holds_several_sorted_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "MOST_RANGES", 2)
     monkeypatch.setattr(storage, "target_file_count", lambda *a: 8)
