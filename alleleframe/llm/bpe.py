@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alleleframe.llm.arrays import run_hashes, spans, text_bytes
+from alleleframe.llm.arrays import spans, text_bytes
 from alleleframe.llm.common import staged, table, whole_text
 
 #: Pre-tokens of a block, at most, but for what one megabyte of text or one document has more.
@@ -39,6 +40,8 @@ BLOCK = 3 << 20
 #: Bytes of text per bucket of words.
 PER_BUCKET = 1 << 24
 MOST_BUCKETS = 1 << 18
+#: Pre-tokens of a block whose ids are put together at a time, but for what one document has more.
+SLICE = 1 << 18
 #: Numbers up to here take one byte, two bytes, more.
 _ONE, _TWO = 1 << 7, 1 << 14
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -138,13 +141,20 @@ def _released(data: bytes, kind=np.uint8) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), kind)
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 class _Block:
     """Word numbers of the documents read since the last flush."""
 
     def __init__(self, kinds: np.ndarray):
         self.kinds = kinds
-        self.number: dict[int, int] = {}
-        self.words: list[bytes] = []
+        self.number = _Numbers()
         self.ids: list = []
         self.parts: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
@@ -159,25 +169,16 @@ class _Block:
         fresh = np.zeros(len(points), bool)
         fresh[begin[offsets[:-1] < offsets[1:]]] = True
         starts = token_starts(points, fresh, self.kinds) if len(points) else np.zeros(0, np.int64)
-        codes, different = pd.factorize(run_hashes(points, starts))
-        sample = np.empty(len(different), np.int64)
-        sample[codes[::-1]] = np.arange(len(codes))[::-1]
         byte_at = np.append(first_byte, len(data))
-        stops = np.append(starts, len(points))[sample + 1]
-        numbers = np.empty(len(different), np.uint32)
-        heads, tails = byte_at[starts[sample]].tolist(), byte_at[stops].tolist()
-        for i, key in enumerate(different.tolist()):
-            known = self.number.get(key)
-            if known is None:
-                known = self.number[key] = len(self.words)
-                self.words.append(raw[heads[i] : tails[i]])
-            numbers[i] = known
-        self.parts.append(numbers[codes])
+        cuts = byte_at[np.append(starts, len(points))].tolist() if len(starts) else [0]
+        words = [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        # Words are numbered by their bytes: equal numbers are equal words.
+        self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
         # Empty documents share their place with the next one and come before it.
         row = np.searchsorted(begin, starts, "right") - 1
         self.lengths.append(np.bincount(row, minlength=len(begin)))
         self.ids.append(ids)
-        self.size += len(codes)
+        self.size += len(words)
 
     def rows(self, name: str, n_buckets: int) -> pa.RecordBatch:
         """One row with the documents and their sequence, and one row of words per bucket.
@@ -187,13 +188,13 @@ class _Block:
         so frequent words are short in a sequence and the list needs no numbers.
         """
         numbers = np.concatenate(self.parts)
-        counts = np.bincount(numbers, minlength=len(self.words))
+        known = list(self.number)
+        counts = np.bincount(numbers, minlength=len(known))
         order = np.argsort(-counts, kind="stable")
         kind = np.empty(len(order), np.uint8)
         kind[order] = (np.arange(len(order)) >= _ONE) + (np.arange(len(order)) >= _TWO).astype(int)
-        # The hash of a word is its key, in the order in which words were met.
-        bucket = (np.fromiter(self.number, np.uint64, len(order)) % np.uint64(n_buckets)).astype(int)
-        listed = sorted(zip(bucket.tolist(), self.words, range(len(order)), strict=True))
+        bucket = np.fromiter(map(zlib.crc32, known), np.int64, len(order)) % n_buckets
+        listed = sorted(zip(bucket.tolist(), known, range(len(order)), strict=True))
         where = np.fromiter((i for _, _, i in listed), np.int64, len(listed))
         place = np.empty(len(order), np.uint32)
         place[where[np.argsort(kind[where], kind="stable")]] = np.arange(len(order))
@@ -253,41 +254,51 @@ def blocks(docs: DataFrame, n_buckets: int, block_size: int = BLOCK) -> DataFram
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(read, schema)
 
 
+def _encoded_list(data: bytes, known: dict[bytes, bytes], tool: tiktoken.Encoding) -> bytes:
+    """A packed word list with ids in place of words; ``known`` has the ids of words met before."""
+    raw = _released(data).tobytes()
+    n = int.from_bytes(raw[:8], "little")
+    # Sizes come before the words; each ends with a byte below 128.
+    small = np.flatnonzero(np.frombuffer(raw, np.uint8, offset=8) < 128)
+    end = int(small[n - 1]) + 1
+    sizes = unpack(np.frombuffer(raw, np.uint8, end, 8)).astype(np.int64)
+    ids, at = [], 8 + end
+    for stop in (at + np.cumsum(sizes)).tolist():
+        word = raw[at:stop]
+        at = stop
+        if word not in known:
+            known[word] = np.array(tool.encode_ordinary(word.decode()), "<u4").tobytes()
+        ids.append(known[word])
+    counts = pack(np.fromiter(map(len, ids), np.int64, n) // 4).tobytes()
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    # Low and high halves apart: most ids are below 2^16, so one half is nearly all zero.
+    halves = (flat & 0xFFFF).astype("<u2").tobytes() + (flat >> 16).astype("<u2").tobytes()
+    return _squeezed(len(counts).to_bytes(8, "little") + counts + halves)
+
+
 def encoded_words(lists: DataFrame, ranks_path: str) -> DataFrame:
     """The word lists of blocks with ids in place of words: each distinct word is encoded once."""
     ranks = lists.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     pattern = public_tokenizers.PATTERN
 
-    def encode(group: pa.Table) -> pa.Table:
-        tool = tiktoken.Encoding(
-            "ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={}
-        )
+    made: list[tiktoken.Encoding] = []
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not made:  # once per task, not per bucket
+            made.append(
+                tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+            )
         known: dict[bytes, bytes] = {}
-        found = []
-        for data in group.column("data").to_pylist():
-            raw = _released(data).tobytes()
-            n = int.from_bytes(raw[:8], "little")
-            # Sizes come before the words; each ends with a byte below 128.
-            small = np.flatnonzero(np.frombuffer(raw, np.uint8, offset=8) < 128)
-            end = int(small[n - 1]) + 1
-            sizes = unpack(np.frombuffer(raw, np.uint8, end, 8)).astype(np.int64)
-            stops = (8 + end + np.cumsum(sizes)).tolist()
-            ids, at = [], 8 + end
-            for stop in stops:
-                word = raw[at:stop]
-                at = stop
-                if word not in known:
-                    known[word] = np.array(tool.encode_ordinary(word.decode()), "<u4").tobytes()
-                ids.append(known[word])
-            counts = pack(np.fromiter(map(len, ids), np.int64, n) // 4).tobytes()
-            flat = np.frombuffer(b"".join(ids), "<u4")
-            # Low and high halves apart: most ids are below 2^16, so one half is nearly all zero.
-            halves = (flat & 0xFFFF).astype("<u2").tobytes() + (flat >> 16).astype("<u2").tobytes()
-            found.append(_squeezed(len(counts).to_bytes(8, "little") + counts + halves))
-        return pa.table(
-            [group.column("block"), group.column("bucket"), group.column("head"), pa.array(found, pa.binary())],
-            names=["block", "bucket", "head", "data"],
-        )
+        for batch in batches:
+            for i, data in enumerate(batch.column("data")):
+                packed = _encoded_list(data.as_py(), known, made[0])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(i, 1) for c in ("block", "bucket", "head")),
+                        pa.array([packed], pa.binary()),
+                    ],
+                    names=["block", "bucket", "head", "data"],
+                )
 
     return lists.groupBy("bucket").applyInArrow(
         encode, "block string, bucket int, head binary, data binary"
@@ -298,7 +309,7 @@ def _ids_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Ids per word and all ids of one packed list."""
     raw = _released(data).tobytes()
     size = int.from_bytes(raw[:8], "little")
-    counts = unpack(np.frombuffer(raw, np.uint8, size, 8)).astype(np.int64)
+    counts = unpack(np.frombuffer(raw, np.uint8, size, 8)).astype(np.int32)
     total = int(counts.sum())
     low, high = np.frombuffer(raw, "<u2", 2 * total, 8 + size).astype(np.int32).reshape(2, total)
     return counts, low | high << 16
@@ -318,32 +329,36 @@ def _assembled(
         words.withColumn("doc_ids", F.lit(None).cast(parts.schema["doc_ids"].dataType))
     )
 
-    def assemble(group: pa.Table) -> pa.Table:
-        group = group.sort_by("bucket")  # the documents first, then the lists in order
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The documents first, then the lists in order: packed, a few MB in all.
+        group = pa.Table.from_batches(list(batches)).sort_by("bucket")
         heads, lists = group.column("head").to_pylist(), group.column("data").to_pylist()
-        lengths = _released(heads[0], "<u4").astype(np.int64)
-        numbers = unpack(_released(lists[0])).astype(np.int64)
+        ends = np.append(0, np.cumsum(_released(heads[0], "<u4"), dtype=np.int64))
+        numbers = unpack(_released(lists[0]))
         doc_ids = group.column("doc_ids")[0].values
         if len(lists) == 1:  # all documents are empty
-            flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            flat, starts, sizes = (np.zeros(0, np.int32) for _ in range(3))
         else:
             kind = np.concatenate([_released(h) for h in heads[1:]])
             found = [_ids_of(x) for x in lists[1:]]
             sizes = np.concatenate([c for c, _ in found])
             flat = np.concatenate([f for _, f in found])
-            starts = np.cumsum(sizes) - sizes
+            starts = np.cumsum(sizes, dtype=np.int32) - sizes
             by_number = np.argsort(kind, kind="stable")
             sizes, starts = sizes[by_number], starts[by_number]
-        token_ends = np.append(0, np.cumsum(sizes[numbers]))
-        pieces = []
-        for i in range(0, len(numbers), 1 << 18):
-            some = numbers[i : i + (1 << 18)]
-            many = sizes[some]
-            before = np.cumsum(many) - many
-            pieces.append(flat[np.arange(many.sum()) + np.repeat(starts[some] - before, many)])
-        ids = np.concatenate(pieces) if pieces else flat
-        ends = token_ends[np.append(0, np.cumsum(lengths))]
-        return finish(doc_ids, ids.astype(np.int32), ends)
+        del group, lists
+        # Some documents at a time, so that the ids of a block are never all held.
+        for a, b in spans(ends, SLICE):
+            pieces, totals = [], [np.zeros(1, np.int64)]
+            for i in range(ends[a], ends[b], SLICE):
+                some = numbers[i : min(i + SLICE, ends[b])]
+                many = sizes[some]
+                before = np.cumsum(many, dtype=np.int64)
+                pieces.append(flat[np.arange(before[-1]) + np.repeat(starts[some] - (before - many), many)])
+                totals.append(before + totals[-1][-1])
+            ids = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+            token_ends = np.concatenate(totals)[ends[a : b + 1] - ends[a]]
+            yield from finish(doc_ids.slice(a, b - a), ids, token_ends).combine_chunks().to_batches()
 
     return rows.groupBy("block").applyInArrow(assemble, schema)
 
@@ -412,9 +427,13 @@ def round_trip(
         token = tokens.value
         of_ids, of_data = [], []
         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            some = ids[a:b].tolist()
-            of_ids.append(hashlib.sha256(" ".join(map(str, some)).encode()).hexdigest())
-            of_data.append(hashlib.sha256(b"".join([token[i] for i in some])).hexdigest())
+            digests = hashlib.sha256(), hashlib.sha256()
+            for i in range(a, b, SLICE):
+                some = ids[i : min(i + SLICE, b)].tolist()
+                digests[0].update(((" " if i > a else "") + " ".join(map(str, some))).encode())
+                digests[1].update(b"".join([token[t] for t in some]))
+            of_ids.append(digests[0].hexdigest())
+            of_data.append(digests[1].hexdigest())
         columns = [
             doc_ids,
             pa.array(np.diff(ends), pa.int64()),

@@ -49,6 +49,31 @@ def test_round_trip_equals_the_library(make_docs, tool):
         assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def twins(size):
+    """Two words of ``a`` and ``b`` whose polynomial hashes modulo 2^64 are equal for any base."""
+    first = "".join("ab"[bin(i).count("1") & 1] for i in range(size))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_words_are_told_apart_by_their_bytes(make_docs, tool, size):
+    texts = [*twins(size), " ".join(twins(size))]
+    found = {r.doc_id: r for r in bpe.round_trip(make_docs(texts), PATH, with_ids=True).collect()}
+    for i, text in enumerate(texts):
+        assert found[i].ids == tool.encode_ordinary(text)
+        assert found[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_slices_do_not_change_the_result(make_docs, tool, monkeypatch):
+    texts = ["", *(f"word {i % 7} and {i % 11}!" * (i % 9) for i in range(60)), ""]
+    monkeypatch.setattr(bpe, "SLICE", 10)
+    found = {r.doc_id: r for r in bpe.round_trip(make_docs(texts), PATH, with_ids=True).collect()}
+    for i, text in enumerate(texts):
+        ids = tool.encode_ordinary(text)
+        assert found[i].ids == ids
+        assert found[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
 def test_blocks_do_not_change_the_result(make_docs):
     docs = make_docs([f"word {i % 7} and {i % 11}!" * (1 + i % 5) for i in range(300)])
     many = bpe.encode(docs, PATH, block_size=50)
