@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +104,38 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return words, np.concatenate([[0], np.cumsum(counts)])
 
 
+class WordDigests(dict):
+    """64 bits of a digest of each word asked for; words are kept up to a bounded number."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 19:
+            self.clear()
+        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        self[word] = found
+        return found
+
+
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_digests(data: bytes, known: WordDigests) -> np.ndarray:
+    """Digests of the words of one text with A-Z in lower case, in order.
+
+    Unlike ``word_hashes`` these are from a cryptographic digest of the bytes, so
+    words that differ have different numbers also if someone looks for equal ones.
+    """
+    found, begin = [], 0
+    while begin < len(data):
+        end = len(data)
+        if end - begin > CHUNK:
+            gap = _WHITE.search(data, begin + CHUNK)
+            end = gap.start() if gap else end
+        words = data[begin:end].lower().split()  # of bytes: A-Z and ASCII white space only
+        found.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+        begin = end
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct hashes of ``width`` words in a row; of all words if there are fewer."""
     if len(words) == 0:

@@ -1,6 +1,7 @@
 """Near duplicates by MinHash with banding, verified, joined to components.
 
-A document's set holds the hashes of its distinct word shingles. Documents with
+A document's set holds the hashes of its distinct word shingles, each made of digests
+of its words' bytes. Documents with
 equal sets form a class at once; all further work is on classes, so exact copies
 cost one row each. The signature of a class is the minimum of each of 140
 universal hash functions over its set; 28 bands of 5 minima name its buckets.
@@ -35,12 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alleleframe.llm.arrays import (
+    WordDigests,
     shingle_set,
     small_parts,
     spanning,
     text_bytes,
     whole_groups,
-    word_hashes,
+    word_digests,
 )
 from alleleframe.llm.common import one_per_class, staged, table, whole_text
 from alleleframe.llm.components import components
@@ -80,13 +82,13 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 def _sets(batches, width):
     """Parts of every batch with the shingle sets of their rows."""
+    known = WordDigests()
     for batch in batches:
         for part in small_parts(batch):
-            data, offsets = text_bytes(part.column("text"))
-            words, marks = word_hashes(data, offsets)
-            marks = marks.tolist()
-            sets = [shingle_set(words[a:b], width) for a, b in zip(marks[:-1], marks[1:], strict=True)]
-            yield part, sets
+            data, marks = text_bytes(part.column("text"))
+            data, marks = data.tobytes(), marks.tolist()
+            texts = (data[a:b] for a, b in zip(marks[:-1], marks[1:], strict=True))
+            yield part, [shingle_set(word_digests(text, known), width) for text in texts]
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -127,12 +129,27 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def whole_sets(texts: DataFrame, width: int) -> DataFrame:
-    """``texts`` with shingles (eight bytes each, in order) in place of text."""
+    """``texts`` with shingles (eight bytes each, in order) in place of text.
+
+    Rows that differ in nothing but the text stand for one class: a task hands
+    out the first of them only.
+    """
     rest = [f for f in texts.schema if f.name != "text"]
     schema = T.StructType([*rest, T.StructField("shingles", T.BinaryType())])
 
+    def fresh(batches):
+        seen = set()
+        for batch in batches:
+            keep = []
+            for key in zip(*(batch.column(f.name).to_pylist() for f in rest), strict=True):
+                keep.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+            if len(seen) > 1 << 17:
+                seen.clear()
+
     def read(batches):
-        for batch, sets in _sets(batches, width):
+        for batch, sets in _sets(fresh(batches), width):
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in rest), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=schema.names,
@@ -215,11 +232,24 @@ def _in_blocks(members: DataFrame, size: int) -> DataFrame:
 _MEETING = ["part", "low", "high"]
 
 
+def unrepeated(batches):
+    """Batches without the rows that repeat the meeting, block and class of the row before."""
+    before = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        columns = [batch.column(c).to_pylist() for c in (*_MEETING, "block", "set_key")]
+        keys = list(zip(*columns, strict=True))
+        keep = [key != last for last, key in zip([before, *keys], keys, strict=False)]
+        before = keys[-1]
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def _spanned(placed: DataFrame, linked) -> DataFrame:
     """node, other: links that span what ``linked(rows, one, other)`` finds in each meeting of blocks."""
 
     def compare(batches):
-        for rows, first in whole_groups(batches, _MEETING):
+        for rows, first in whole_groups(unrepeated(batches), _MEETING):
             low, high, block = (rows.column(c).to_numpy() for c in ("low", "high", "block"))
             keys = rows.column("set_key").combine_chunks()
             found = []
@@ -237,7 +267,7 @@ def _spanned(placed: DataFrame, linked) -> DataFrame:
 
     return (
         placed.repartition(*_MEETING)
-        .sortWithinPartitions(*_MEETING)
+        .sortWithinPartitions(*_MEETING, "block", "set_key")
         .mapInArrow(compare, "node binary, other binary")
     )
 

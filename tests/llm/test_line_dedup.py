@@ -119,6 +119,6 @@ def test_short_common_lines_stay(make_docs):
 
 
 def test_scripts_without_spaces(make_docs):
-    passage = "著作権はすべて保有されています。この文章は多くの文書に現れる長い一節です。" * 8
+    passage = "".join(f"{i}番目の文は多くの文書に現れる長い一節です。" for i in range(20))
     texts = {r.doc_id: r for r in L.without_repeats(make_docs([f"固有{i}。{passage}" for i in range(3)])).collect()}
     assert len(texts[0].text) > 100 > len(texts[1].text)

@@ -140,3 +140,26 @@ def test_one_row_of_each_component_stays_whatever_the_ids(make_docs):
     assert sorted((r.text or "")[:4] for r in rest) == ["", "", "w1x0", "w2x0", "w3x0", "w4x0"]
     again = M.without_near_copies(make_docs(rows[::-1]).repartition(5)).collect()
     assert sorted(rest, key=repr) == sorted(again, key=repr)
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_with_equal_polynomial_hashes_are_not_linked(make_docs, size):
+    first = "".join("ab"[bin(i).count("1") & 1] for i in range(size))
+    check(make_docs, [(1, first), (2, first.translate(str.maketrans("ab", "ba"))), (3, first.upper())])
+
+
+def test_rows_that_repeat_id_and_text_meet_once(make_docs, monkeypatch):
+    """However often a row is repeated, one comparison holds one row per class."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(base))] * 3000 + [(5, " ".join([*base[:-1], "x"]))]
+    monkeypatch.setattr(M, "common_sizes", _bounded(M.common_sizes))
+    found = M.near_groups(make_docs([(i, t, "s") for i, t in rows]), 3, 85).collect()
+    assert len(found) == 3001 and {r.component_id for r in found} == {5}
+
+
+def _bounded(plain):
+    def sizes(sets, n):
+        assert len(sets) <= 2 * 256
+        return plain(sets, n)
+
+    return sizes
