@@ -7,8 +7,10 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alleleframe.functions.columns import quoted
 from alleleframe.session import scratch_path
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,7 +63,7 @@ def one_per_class(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
         found.where("kept").join(tied.select("class"), "class", "left_semi").select("doc_id", "text_hash")
     )
     apart = staged(apart, f"{name}-apart")
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [quoted(c) for c in docs.columns if c != "text"]
     row = docs.select(
         F.struct("*").alias("row"),
         F.to_json(F.struct(*rest)).alias("rest"),
