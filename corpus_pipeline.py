@@ -22,6 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from alleleframe.llm import bpe, exact_dedup, minhash_dedup, mixing, quality
 from alleleframe.llm.common import staged, table
 
+#: Pre-tokens of a block of the last stage. Smaller blocks than the operator's own need more disk and
+#: less memory, which workers that served the earlier stages have less of.
+TOKEN_BLOCK = 1 << 20
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.without_rejected(docs, table(spark, sf_dir, "labels"))
@@ -41,7 +45,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, ids: one row per row of the mix."""
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(docs, path, with_ids=True, block_size=TOKEN_BLOCK)
 
 
 STAGES = [
