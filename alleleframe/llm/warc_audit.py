@@ -9,8 +9,8 @@ children of nodes that differ are looked at; at the leaves that locates records
 that are altered, missing or extra. Record bytes are read once, where they are
 stored; everything that is moved has a fixed width.
 
-Nulls: a null url or html counts as empty, a null ``page_id`` is named 0 and put
-before all others of its archive. Rows that repeat a page are records of their
+Nulls: a null url or html counts as empty, a null ``page_id`` is named 0;
+such records are dealt out to archives of their own by a digest of url and html. Rows that repeat a page are records of their
 own, each with its offset. An empty table gives an empty result.
 """
 
@@ -113,31 +113,49 @@ def audit(one: DataFrame, other: DataFrame) -> DataFrame:
     )
 
 
+#: Archives that records without an id are dealt out to by a digest of their bytes.
+SPARE_ARCHIVES = 1 << 20
+
+
+def _number(text: Column, modulus: int) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % modulus
+
+
 def damaged_replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Leaves of the archives of ``pages``, and of a replica in which some records are damaged.
 
     By a digest of its id, a page in 97 has its first ``<`` changed in the
     replica, one ends early, one is missing and one has a copy behind the
-    archive's last record. Records are hashed in one pass over the pages.
+    archive's last record. Every record of both replicas is written out and
+    hashed, in one pass over the pages; where the damage is, only the bytes tell.
     """
     page_id = F.coalesce(F.col("page_id"), F.lit(0)).cast("long")
     url, html = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("url", "html"))
-    fate = F.conv(F.substring(F.md5(page_id.cast("string")), 1, 8), 16, 10).cast("long") % 97
-    body = F.octet_length("html")
+    spare = -1 - _number(F.concat(url, html), SPARE_ARCHIVES)
+    archive = F.when(F.col("page_id").isNull(), spare).otherwise(F.floor(page_id / PAGES)).cast("long")
     at = F.instr("html", "<")
     damaged = F.when((F.col("fate") == 3) & (at > 0), F.expr("overlay(html placing '(' from instr(html, '<'))"))
-    damaged = damaged.when(F.col("fate") == 5, F.expr("left(html, length(html) div 2)"))
-    head = record_head(F.col("page_id"), F.col("url"), body)
-    record = F.concat(head, "html", F.lit("\r\n\r\n"))
-    spoiled = F.concat(head, damaged.otherwise(F.col("html")))
-    hashed = pages.select(page_id.alias("page_id"), url.alias("url"), html.alias("html"), fate.alias("fate")).select(
-        F.floor(F.col("page_id") / PAGES).alias("archive"),
+    damaged = damaged.when(F.col("fate") == 5, F.expr("left(html, length(html) div 2)")).otherwise(F.col("html"))
+    head = record_head(F.col("page_id"), F.col("url"), F.octet_length("html"))
+    records = pages.select(
+        page_id.alias("page_id"),
+        url.alias("url"),
+        html.alias("html"),
+        archive.alias("archive"),
+        _number(page_id.cast("string"), 97).alias("fate"),
+    ).select(
+        "archive",
+        "page_id",
+        "fate",
+        F.concat(head, "html", F.lit("\r\n\r\n")).alias("record"),
+        F.concat(head, damaged, F.lit("\r\n\r\n")).alias("other"),
+    )
+    hashed = records.select(
+        "archive",
         "page_id",
         "fate",
-        F.octet_length(record).cast("long").alias("length"),
-        F.sha2(record, 256).alias("digest"),
-        F.when(F.col("fate").isin(3, 5), F.octet_length(spoiled).cast("long") + 4).alias("bad_length"),
-        F.when(F.col("fate").isin(3, 5), F.sha2(F.concat(spoiled, F.lit("\r\n\r\n")), 256)).alias("bad"),
+        *leaf("record", "length", "digest"),
+        *leaf("other", "other_length", "other_digest"),
     )
     order = W.partitionBy("archive").orderBy("page_id", "digest")
     placed = staged(
@@ -147,17 +165,19 @@ def damaged_replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     one = placed.select("archive", "offset", "length", "digest")
     kept = placed.where("fate != 7").select(
-        "archive",
-        "offset",
-        F.coalesce("bad_length", "length").alias("length"),
-        F.coalesce("bad", "digest").alias("digest"),
+        "archive", "offset", F.col("other_length").alias("length"), F.col("other_digest").alias("digest")
     )
     extra = placed.where("fate = 11").select(
-        "archive", (F.col("size") + F.col("offset")).alias("offset"), "length", "digest"
+        "archive", (F.col("size") + F.col("offset")).alias("offset"), "other_length", "other_digest"
     )
     return one, kept.union(extra)
 
 
+def leaf(record: str, length: str, digest: str) -> list[Column]:
+    """Length and digest of a record's bytes: a leaf of a tree."""
+    return [F.octet_length(record).cast("long").alias(length), F.sha2(F.col(record), 256).alias(digest)]
+
+
 def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(*damaged_replicas(table(spark, sf_dir, "pages")))
 
@@ -165,13 +185,15 @@ def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = {
     "op4_warc_audit": r"""
 WITH p AS (SELECT COALESCE(page_id, 0) AS page_id, COALESCE(url, '') AS url, COALESCE(html, '') AS html,
- CAST('0x' || substr(md5(CAST(COALESCE(page_id, 0) AS VARCHAR)), 1, 8) AS BIGINT) % 97 AS fate FROM pages),
+ CAST('0x' || substr(md5(CAST(COALESCE(page_id, 0) AS VARCHAR)), 1, 8) AS BIGINT) % 97 AS fate,
+ CASE WHEN page_id IS NULL THEN -1 - CAST('0x' || substr(md5(concat(url, html)), 1, 8) AS BIGINT) % 1048576
+  ELSE CAST(floor(page_id / 1000) AS BIGINT) END AS archive FROM pages),
 h AS (SELECT *, concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10),
  'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10),
  'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(html), chr(13), chr(10), chr(13), chr(10)) AS head,
  CASE WHEN fate = 3 AND instr(html, '<') > 0 THEN concat(substr(html, 1, instr(html, '<') - 1), '(',
    substr(html, instr(html, '<') + 1)) WHEN fate = 5 THEN substr(html, 1, length(html) // 2) ELSE html END AS bad FROM p),
-r AS (SELECT CAST(floor(page_id / 1000) AS BIGINT) AS archive, page_id, fate,
+r AS (SELECT archive, page_id, fate,
  concat(head, html, chr(13), chr(10), chr(13), chr(10)) AS record,
  concat(head, bad, chr(13), chr(10), chr(13), chr(10)) AS spoiled FROM h),
 l AS (SELECT *, strlen(record) AS length, sha256(record) AS digest, strlen(spoiled) AS found_length,

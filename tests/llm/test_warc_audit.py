@@ -67,7 +67,31 @@ def test_pages_with_nulls_and_repeats(spark, small_table):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS archive", "2 AS fate")
     one, other = A.damaged_replicas(pages)
     assert one.count() == len(rows)
-    spans = sorted((r.offset, r.length) for r in one.collect())
-    assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:], strict=False))
+    spans = sorted((r.archive, r.offset, r.length) for r in one.collect())
+    assert len({archive for archive, *_ in spans}) == 2  # the record without an id is apart
+    for archive in {archive for archive, *_ in spans}:
+        inside = [(a, n) for x, a, n in spans if x == archive]
+        assert inside[0][0] == 0
+        assert all(a + n == b for (a, n), (b, _) in zip(inside, inside[1:], strict=False))
     assert A.op4_warc_audit(spark, small_table(pages=pages)).count() == A.audit(one, other).count()
     assert A.audit(*A.damaged_replicas(pages.limit(0))).collect() == []
+
+
+def test_records_without_an_id_are_spread_over_archives(spark, small_table):
+    rows = [(None, f"u{i}", "<p>" + "x" * i) for i in range(300)] + [(1, "long", "<b>" + "y" * 3_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one, other = A.damaged_replicas(pages)
+    assert one.select("archive").distinct().count() > 290
+    assert one.count() == 301
+
+
+def test_damage_is_found_from_bytes_alone(spark, monkeypatch):
+    """Whatever the damage is, the second replica's leaves come from its own records."""
+    rows = [(i, "u", f"<p>{i}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one, other = A.damaged_replicas(pages)
+    joined = one.join(other.withColumnsRenamed({"digest": "d", "length": "n"}), ["archive", "offset"])
+    changed = joined.where("digest != d OR length != n").count()
+    missing = 400 - joined.count()
+    found = A.audit(one, other).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in found if r.status != "extra"} == {"altered": changed, "missing": missing}
