@@ -56,6 +56,8 @@ ENCODINGS = (
     ("base64", _UPPER + _LOWER + _DIGITS + "+/-_"),
 )
 FDR = 0.05
+#: Matches of a text whose offsets are summed one by one.
+TOGETHER = 128
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -68,6 +70,42 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         F.transform(whole, F.length).alias("size"),
         value.alias("value"),
     )
+    # A lambda's argument is evaluated once, unlike a repeated expression.
+    found = F.transform(F.array(parts), _placed)[0]
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+
+
+def _placed(parts: Column) -> Column:
+    """Spans of all matches; ``parts`` has the gap before each match, its size and its value.
+
+    Offsets are sums over all parts before. They are taken within blocks of
+    ``TOGETHER`` parts and over the blocks, so that a text with very many matches
+    costs little more for each of them than a text with few.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size(parts) - 1, F.lit(0)), F.lit(TOGETHER))
+    blocks = F.transform(starts, lambda i: _block(F.slice(parts, i + 1, TOGETHER)))
+
+    def joined(blocks):
+        def moved(block, i):
+            before = F.aggregate(F.slice(blocks, 1, i), F.lit(0), lambda total, b: total + b["at"])
+            return F.transform(F.array(before), lambda by: _shifted(block["found"], by))[0]
+
+        return F.flatten(F.transform(blocks, moved))
+
+    return F.transform(F.array(blocks), joined)[0]
+
+
+def _shifted(spans: Column, by: Column) -> Column:
+    return F.transform(
+        spans,
+        lambda s: F.struct(
+            (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["value"].alias("value")
+        ),
+    )
+
+
+def _block(parts: Column) -> Column:
+    """at (the length of all parts) and found (their spans, from the first part's start)."""
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
 
     def step(state, part):
@@ -79,8 +117,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         )
         return F.struct(end.alias("at"), more.alias("found"))
 
-    found = F.aggregate(parts, begin, step, lambda state: state["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+    return F.aggregate(parts, begin, step)
 
 
 def _tail(z: Column) -> Column:

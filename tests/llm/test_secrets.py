@@ -81,3 +81,10 @@ def test_special_tables(spark, make_docs, small_table, rows):
     docs = make_docs(rows).selectExpr("*", "1 AS base", "2 AS runs", "3 AS row")
     found = S.op10_secret_scan(spark, small_table(documents=docs)).collect()
     assert sorted((str(r.doc_id), r.spans) for r in found) == sorted((str(i), "assign:0:12") for i, _, _ in rows)
+
+
+def test_many_matches_in_one_text(spark, make_docs, small_table):
+    """Offsets stay right, and cheap, beyond the matches that are summed one by one."""
+    draw = random.Random(9)
+    texts = ["".join(f"é token = '{draw.randrange(10**9):09d}' " for _ in range(n)) for n in (127, 128, 129, 5000)]
+    check(rows_of(spark, make_docs(texts), small_table), texts)
