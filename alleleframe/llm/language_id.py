@@ -15,8 +15,8 @@ The probabilities are learned by expectation-maximisation: counted words of the
 learning documents are spread over tasks, each gives expected piece counts by
 forward and backward sums, and a round ends with the sums of these, one row per
 piece and language. Learning uses at most ``PER_LANGUAGE`` documents of each of
-the ``LANGUAGES`` most frequent languages: those whose ids have the smallest
-hashes. Held-out rows (crc32 of the id as text, modulo 4, is 2) are never
+the ``LANGUAGES`` most frequent languages: those that have the smallest
+hashes of id and text. Held-out rows (crc32 of the id as text, modulo 4, is 2) are never
 learned from; language, source and id are no inputs of a prediction.
 
 Scoring needs no shuffle: the table of probabilities is as large as vocabulary
@@ -49,6 +49,7 @@ VOCABULARY = "piece_bpe_32k.model"
 #: Learning documents of a language, and languages, at most.
 PER_LANGUAGE = 600
 LANGUAGES = 64
+OVERSHOT = 8
 ROUNDS = 4
 #: Characters of a word, and of a piece, at most. Sums of so many pieces at the floor stay above zero.
 LONGEST = 32
@@ -183,16 +184,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learning_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """lang, text of the learning documents; ids decide, so no text is sorted or moved."""
+    """lang, text of the learning documents; hashes decide, so no text is sorted or moved.
+
+    Only rows with hashes so small that a language is expected to have
+    ``OVERSHOT`` times as many as are taken are ranked: a bounded number, however
+    many there are. A row's copies share its hash and are all learned from.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    hashed = known.select("lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("hash"))
     names = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    order = Window.partitionBy("lang").orderBy("hash", F.col("doc_id").asc_nulls_last())
-    ids = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"))
-    ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    ids = ids.join(names, "lang", "left_semi").select(F.col("lang").alias("of"), F.col("doc_id").alias("id")).distinct()
-    # At most LANGUAGES * per_language ids, so every executor can hold them.
-    same = (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))
-    return known.join(F.broadcast(ids), same, "left_semi").select("lang", F.col("text").cast("string").alias("text"))
+    bound = F.lit(2.0**63) * OVERSHOT * per_language / F.col("n")
+    small = hashed.join(F.broadcast(names), "lang").where(F.col("hash") < bound).select("lang", "hash").distinct()
+    order = Window.partitionBy("lang").orderBy("hash")
+    taken = small.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    # At most LANGUAGES * per_language pairs, so every executor can hold them.
+    taken = F.broadcast(taken.select("lang", "hash"))
+    return hashed.join(taken, ["lang", "hash"], "left_semi").select("lang", F.col("text").cast("string").alias("text"))
 
 
 def counted_words(rows: DataFrame) -> DataFrame:
