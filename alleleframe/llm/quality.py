@@ -13,7 +13,7 @@ Labels, language, source and id are no inputs of a score. Rows held out (crc32
 of the id as text, modulo 4, is 2) give no labels.
 
 Nulls: a null or empty text has no features and gets the score of the bias; a
-null ``doc_id`` has no label; a null label is no label. Rows that repeat an id
+null ``doc_id`` has no label; a label other than 0 or 1, null too, is no label. Rows that repeat an id
 are all scored, and all used if labelled. Without any label every score is 0.5.
 """
 
@@ -124,7 +124,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
     """Bucket numbers and bias from at most ``max_train`` labelled rows that are not held out."""
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").alias("of"), F.col("quality").cast("int").alias("label"))
     # At most max_train ids and labels, so every executor can hold them.
     known = known.orderBy(F.xxhash64("of"), "of", "label").limit(max_train)

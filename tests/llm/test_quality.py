@@ -81,3 +81,13 @@ def test_features_do_not_depend_on_chunks(monkeypatch):
     monkeypatch.setattr(arrays, "CHUNK", 6)
     monkeypatch.setattr(quality, "CHUNK", 6)
     assert found() == whole
+
+
+def test_other_labels_are_no_labels(spark, make_docs):
+    docs = make_docs([f"text number {i} {'good' if i % 2 else 'bad'}" for i in range(40)])
+    rows = [(i, i % 2, 0) for i in range(40)]
+    odd = [(1, 7, 0), (2, None, 0), (3, -1, 0)]
+    schema = "doc_id long, quality int, toxic int"
+    plain = quality.train(docs, spark.createDataFrame(rows, schema))
+    more = quality.train(docs, spark.createDataFrame(rows + odd, schema))
+    assert (plain[0] == more[0]).all() and plain[1] == more[1]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -88,3 +89,75 @@ def test_many_matches_in_one_text(spark, make_docs, small_table):
     draw = random.Random(9)
     texts = ["".join(f"é token = '{draw.randrange(10**9):09d}' " for _ in range(n)) for n in (127, 128, 129, 5000)]
     check(rows_of(spark, make_docs(texts), small_table), texts)
+
+
+def tail(z):
+    t = 1 / (1 + 0.3275911 * z / 2**0.5)
+    series = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+    return sum(c * t ** (i + 1) for i, c in enumerate(series)) * math.exp(-z * z / 2) / 2
+
+
+def plain_test(run):
+    """Encoding, length class and grid point of a run, from the definitions."""
+    core = run.rstrip("=")
+    encoding = next((i for i, (_, a) in enumerate(S.ENCODINGS[:-1]) if set(core) <= set(a)), len(S.ENCODINGS) - 1)
+    alphabet = S.ENCODINGS[encoding][1]
+    n, k = len(core), len(alphabet)
+    codes = [float(alphabet.find(c)) for c in core]
+    chi = k / n * sum(core.count(c) ** 2 for c in set(core)) - n
+    z = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    p_chi = tail(z) if z >= 0 else 1 - tail(-z)
+    sides = [c >= k / 2 for c in codes]
+    middle = 2 * sum(sides) * (n - sum(sides)) / n
+    spread = middle * (middle - 1) / (n - 1)
+    changes = sum(a != b for a, b in zip(sides, sides[1:], strict=False))
+    p_runs = 2 * tail(abs(changes - middle) / math.sqrt(spread)) if spread > 0 else 2.0 ** (1 - n)
+    mean = sum(codes) / n
+    variance = sum((c - mean) ** 2 for c in codes)
+    together = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:], strict=False))
+    p_serial = 2 * tail(abs(together / variance + 1 / n) * math.sqrt(n)) if variance > 0 else 0.0
+    p = min(1.0, 3 * min(p_chi, p_runs, p_serial))
+    return encoding, math.floor(math.log2(n)), math.floor(-8 * math.log2(max(p, 1e-30)))
+
+
+def plain_spans(texts):
+    """Random spans of every text: the battery, then Benjamini-Hochberg over all runs of a class."""
+    runs = [
+        (i, m.start(), m.end(), plain_test(m[0]))
+        for i, text in enumerate(texts)
+        for m in re.finditer(S.CANDIDATE, text)
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+    ]
+    out = {i: [] for i in range(len(texts))}
+    classes = {t[:2] for *_, t in runs}
+    for one in classes:
+        some = sorted((r for r in runs if r[3][:2] == one), key=lambda r: -r[3][2])
+        level = None
+        for rank, r in enumerate(some, 1):
+            last = rank == len(some) or some[rank][3][2] != r[3][2]
+            if last and 2 ** (-r[3][2] / 8) <= S.FDR * rank / len(some):
+                level = r[3][2]
+        for i, a, b, t in some:
+            spans = [tuple(map(int, s.split(":")[1:])) for s in base(texts[i]).split(",") if s]
+            if (level is None or t[2] < level) and not any(x <= a and b <= y for x, y in spans):
+                out[i].append(f"random:{a}:{b}")
+    return out
+
+
+def test_added_spans_equal_brute_force(spark, make_docs, small_table):
+    draw = random.Random(10)
+    alphabets = [a for _, a in S.ENCODINGS]
+    texts = []
+    for _ in range(300):
+        parts = []
+        for _ in range(draw.randint(1, 4)):
+            letters = draw.choice(alphabets)
+            run = "".join(draw.choices(letters, k=draw.randint(10, 70)))
+            parts.append(draw.choice([run, run[:9] * 4, "".join(sorted(run)), f"name_of_a_thing_{draw.randrange(99)}", "token = " + run]))
+        texts.append(" é ".join(parts))
+    rows, want = rows_of(spark, make_docs(texts), small_table), plain_spans(texts)
+    assert sum(map(len, want.values())) > 100
+    for i in range(len(texts)):
+        assert [s for s in rows[i].spans.split(",") if s.startswith("random")] == sorted(
+            want[i], key=lambda s: int(s.split(":")[1])
+        ), texts[i]
