@@ -538,3 +538,59 @@ def with_all(conversations: DataFrame, found: DataFrame) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return with_all(conversations, repair(damaged(conversations)))
+
+
+SQL = {
+    # The checksum comes from its bitwise definition; costs and audits go forward, one turn a step,
+    # with the least (cost, audit) per state.
+    "op12_conversation_repair": r"""
+WITH RECURSIVE bits AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(
+  list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1
+  THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))),
+keyed AS (SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+  list_transform(string_split(concat(COALESCE(CAST(conv_id AS VARCHAR), ' '), ':',
+   COALESCE(CAST(turn AS VARCHAR), ' ')), ''), lambda c: ascii(c)::BIGINT) AS codes FROM conversations),
+fated AS (SELECT keyed.*, xor(list_reduce(list_concat([4294967295::BIGINT], codes),
+  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fate FROM keyed, bits),
+damaged AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM fated, range(2) AS times(k) WHERE fate <> 0 AND (k = 0 OR fate = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+seen AS (SELECT *, bare = '' AS is_blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  substr(role, 1, 1) AS head, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+turns AS (SELECT *, is_blank OR again AS must_go, NOT is_blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut
+  FROM seen),
+inserted(p, q, c, e, x) AS (VALUES ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+  ('', 'u', 3, 'I', 'user:'), ('s', 'u', 3, 'I', 'user:'), ('a', 'u', 3, 'I', 'user:'), ('u', 'a', 3, 'I', 'assistant:'),
+  ('', 'a', 6, 'II', 'user:' || chr(10) || 'assistant:'), ('s', 'a', 6, 'II', 'user:' || chr(10) || 'assistant:')),
+follows(p, q) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')),
+edits AS (SELECT conv_id, i, p, p AS q, 4 AS c, 'D' AS e, '' AS x FROM turns, (SELECT DISTINCT p FROM inserted)
+  UNION ALL SELECT conv_id, i, p, q, CASE WHEN cut THEN 3 ELSE 0 END, 'K', concat(role, ':', text)
+   FROM turns JOIN follows ON head = q WHERE NOT must_go
+  UNION ALL SELECT conv_id, i, p, q, CASE WHEN cut THEN 6 ELSE 3 END, 'R',
+   concat(CASE q WHEN 'u' THEN 'user:' ELSE 'assistant:' END, text) FROM turns, follows WHERE NOT must_go AND q <> 's'),
+moves AS (SELECT n.p AS p, e.q, e.conv_id, e.i, n.c + e.c AS c, n.e || e.e AS e,
+  n.x || CASE WHEN n.x <> '' AND e.x <> '' THEN chr(10) ELSE '' END || e.x AS x FROM inserted n JOIN edits e ON n.q = e.p),
+steps AS (SELECT conv_id, 0::BIGINT AS i, '' AS state, {'c': 0, 'e': '', 'x': ''} AS best FROM (SELECT DISTINCT conv_id FROM turns)
+  UNION ALL SELECT s.conv_id, m.i, m.q, min({'c': s.best.c + m.c, 'e': s.best.e || m.e,
+   'x': s.best.x || CASE WHEN s.best.x <> '' AND m.x <> '' THEN chr(10) ELSE '' END || m.x})
+  FROM steps s JOIN moves m ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.i = s.i + 1 AND m.p = s.state
+  GROUP BY s.conv_id, m.i, m.q),
+ended AS (SELECT s.conv_id, min({'c': s.best.c + n.c, 'e': s.best.e || n.e,
+   'x': s.best.x || CASE WHEN s.best.x <> '' AND n.x <> '' THEN chr(10) ELSE '' END || n.x}) AS best
+  FROM steps s JOIN (SELECT conv_id, MAX(i) AS n FROM turns GROUP BY conv_id) l
+   ON l.conv_id IS NOT DISTINCT FROM s.conv_id AND l.n = s.i
+  JOIN inserted n ON n.p = s.state AND n.q IN ('', 'a') GROUP BY s.conv_id),
+counts AS (SELECT conv_id, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps,
+  COUNT(*) FILTER (is_blank) AS blank, COUNT(*) FILTER (again AND NOT is_blank) AS duplicate,
+  COUNT(*) FILTER (cut) AS truncated, COUNT(*) FILTER (i > 1 AND before || head NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id)
+SELECT o.conv_id, COALESCE(gaps, 0)::BIGINT AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate,
+ COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal, COALESCE(best.c, 0)::BIGINT AS cost,
+ COALESCE(best.e, '') AS audit, sha256(COALESCE(best.x, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+""",
+}

@@ -38,4 +38,4 @@ def all_queries():
 
 
 def all_sql():
-    return {**exact_dedup.SQL, **line_dedup.SQL, **license_scan.SQL, **warc_audit.SQL, **mixing.SQL, **lexical_search.SQL}
+    return {**exact_dedup.SQL, **line_dedup.SQL, **license_scan.SQL, **warc_audit.SQL, **mixing.SQL, **lexical_search.SQL, **conversation_repair.SQL}
