@@ -87,3 +87,10 @@ def test_one_row_of_each_text_stays_whatever_the_ids(make_docs):
     assert rest == sorted(E.without_copies(make_docs(rows[::-1]).repartition(5)).collect(), key=repr)
     twice = make_docs([(i, f"own {i}", "s") for i in range(50)] * 2)
     assert E.without_copies(twice).count() == 50
+
+
+def test_odd_names_of_further_columns(make_docs):
+    docs = make_docs([(1, "a", "s"), (2, "A", "t"), (2, "A", "s")]).selectExpr("*", "1 AS `x.y`", "2 AS `z``q`")
+    kept = E.without_copies(docs)
+    assert kept.columns == docs.columns
+    assert [(r.doc_id, r["x.y"]) for r in kept.collect()] == [(2, 1)]
