@@ -129,19 +129,22 @@ def _in_runs(repeated: DataFrame, least: int) -> DataFrame:
 def repeated_units(docs: DataFrame, least: int = RUN) -> DataFrame:
     """The units to remove: their offsets, their run's size, and the occurrence that stays."""
     found = staged(units(docs), "line-units")
-    copies = found.groupBy("high", "low").agg(F.count("*").alias("copies")).where("copies > 1")
-    repeated = staged(found.join(copies, ["high", "low"]), "line-repeats")
+    # Written out, so that the joins are of two shuffles and a hot digest can be split among tasks.
+    several = found.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    several = staged(several, "line-digests")
+    repeated = staged(found.join(several, ["high", "low"], "left_semi"), "line-repeats")
     rank = F.struct(
         F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", F.shiftright("unit", 32).alias("unit")
     )
-    first = repeated.groupBy("high", "low").agg(F.min(rank).alias("first"), F.first("copies").alias("copies"))
+    first = repeated.groupBy("high", "low").agg(F.min(rank).alias("first"), F.count("*").alias("copies"))
+    first = staged(first, "line-first")
     stays = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("text_hash") == F.col("first.text_hash"))
         & (F.col("unit") == F.col("first.unit"))
     )
     return (
-        _in_runs(repeated.drop("copies"), least)
+        _in_runs(repeated, least)
         .join(first, ["high", "low"])
         .where(~stays)
         .select(
