@@ -9,9 +9,14 @@ Pairs are verified by cosine in double precision, and a block hands out, per
 vector, one link that spans what it found. Passes are united by connected
 components (large-star and small-star).
 
-The number of passes follows from the number of vectors: a pair at the threshold
-shares the leading bits that a window is narrow in with a known probability, and
-passes are repeated until a pair is missed by all with less than ``MISS``.
+The number of passes follows from the number of vectors: evenly spread, about
+``BLOCK`` of them share a prefix of ``prefix_bits`` bits, and a pair at the
+threshold shares it with a known probability, whatever the other vectors are.
+Passes are repeated until a pair shares it in none with less than ``MISS``.
+Where more vectors share a prefix than windows span, as in a dense group, all
+blocks of that prefix are compared with each other, spread over tasks. So each
+pair that shares a prefix in any pass is compared, and the bound on misses holds
+for every distribution; what a dense group costs is the square of its size.
 
 Windows are bounded, groups of close vectors are not. So links are counted
 afterwards, exactly, inside the components: all members are compared, in blocks
@@ -41,14 +46,19 @@ from alleleframe.llm.components import components
 
 THRESHOLD = 0.95
 BLOCK = 1024
+GROUP = 4  # blocks that travel together, so that vectors are sent fewer times
 MISS = 1e-4
 SEED = 11
 
 
+def prefix_bits(rows: int) -> int:
+    """Leading bits of the keys that about ``BLOCK`` evenly spread vectors share."""
+    return max(0, math.ceil(math.log2(max(1, rows) / BLOCK)))
+
+
 def passes_needed(rows: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
-    """Passes until a pair at ``threshold`` is missed with less than ``miss``."""
-    agree = 1 - math.acos(threshold) / math.pi
-    hit = agree ** max(0.0, math.log2(max(1, rows) / BLOCK))
+    """Passes until a pair at ``threshold`` shares no prefix with less than ``miss``."""
+    hit = (1 - math.acos(threshold) / math.pi) ** prefix_bits(rows)
     return 1 if hit >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - hit)))
 
 
@@ -126,8 +136,9 @@ def sort_keys(classes: DataFrame, passes: int) -> DataFrame:
     )
 
 
-def blocked(keys: DataFrame) -> DataFrame:
-    """turn, size, node, block: blocks of ``BLOCK`` rows in the order of the keys."""
+def blocked(keys: DataFrame, bits: int) -> DataFrame:
+    """turn, size, prefix, node, block: blocks of ``BLOCK`` rows in the order of the keys."""
+    prefix = F.shiftright("key", 64 - bits) if bits else F.lit(0).cast("bigint")
     order = ["turn", "size", "key", "node"]
     ordered = staged(
         keys.repartitionByRange(*order)
@@ -140,7 +151,7 @@ def blocked(keys: DataFrame) -> DataFrame:
     before = F.sum("rows").over(W.orderBy("part")) - F.col("rows")
     parts = parts.select("part", (before - F.col("first")).alias("shift"))
     return ordered.join(parts, "part").select(
-        "turn", "size", "node", F.floor((F.col("place") + F.col("shift")) / BLOCK).alias("block")
+        "turn", "size", prefix.alias("prefix"), "node", F.floor((F.col("place") + F.col("shift")) / BLOCK).alias("block")
     )
 
 
@@ -155,39 +166,77 @@ def _linked(one: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
     return found
 
 
+def _as_links(nodes: pa.Array, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    none = np.zeros(0, np.int64)
+    one, other = (np.concatenate([none, *[f[i] for f in found]]) for i in (0, 1))
+    return pa.table([nodes.take(pa.array(one)), nodes.take(pa.array(other))], names=["node", "other"])
+
+
 def window_links(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """node, other: links that span what the windows hold."""
-    rows = placed.join(classes.select("node", "vector"), "node")
-    rows = rows.withColumn("at", F.explode(F.array("block", F.col("block") - 1)))
+    # The first block of a group is also the one beside the last block of the group before.
+    group_of = F.floor(F.col("block") / GROUP)
+    groups = F.when(F.col("block") % GROUP == 0, F.array(group_of, group_of - 1)).otherwise(F.array(group_of))
+    rows = placed.join(classes.select("node", "vector"), "node").withColumn("at", F.explode(groups))
 
     def compare(group: pa.Table) -> pa.Table:
-        home = group.column("block").to_numpy() == group.column("at")[0].as_py()
-        turn, size = (group.column(c).to_numpy() for c in ("turn", "size"))
-        nodes = group.column("node").combine_chunks()
+        at = group.column("at")[0].as_py()
+        turn, size, block = (group.column(c).to_numpy() for c in ("turn", "size", "block"))
         vectors = group.column("vector").to_pylist()
-        one, other = [], []
+        found = []
         for t, s in sorted(set(zip(turn.tolist(), size.tolist(), strict=True))):
             rows = np.flatnonzero((turn == t) & (size == s))
-            rows = np.concatenate([rows[home[rows]], rows[~home[rows]]])
-            n = int(home[rows].sum())
-            if n == 0 or len(rows) < 2:
-                continue
+            rows = rows[np.argsort(block[rows], kind="stable")]
             unit = _unit([vectors[i] for i in rows.tolist()])
-            linked = _linked(unit[:n], unit, threshold)
-            apart, to = spanning(linked, np.arange(n), np.arange(len(rows)))
-            one += rows[apart].tolist()
-            other += rows[to].tolist()
-        return pa.table(
-            [nodes.take(pa.array(one, pa.int64())), nodes.take(pa.array(other, pa.int64()))],
-            names=["node", "other"],
-        )
+            for home in range(at * GROUP, (at + 1) * GROUP):
+                start, end, after = np.searchsorted(block[rows], [home, home + 1, home + 2])
+                if end == start or after - start < 2:
+                    continue
+                linked = _linked(unit[start:end], unit[start:after], threshold)
+                apart, to = spanning(linked, np.arange(start, end), np.arange(start, after))
+                found.append((rows[apart], rows[to]))
+        return _as_links(group.column("node").combine_chunks(), found)
 
     return rows.groupBy("at").applyInArrow(compare, "node binary, other binary").distinct()
 
 
+def prefix_links(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """node, other: links that span each prefix which reaches further than the windows."""
+    prefix = ["turn", "size", "prefix"]
+    long = (
+        placed.groupBy(*prefix)
+        .agg(F.min("block").alias("first"), F.max("block").alias("last"))
+        .where(F.col("last") - F.col("first") > 1)
+        .withColumn("tiles", F.floor((F.col("last") - F.col("first")) / GROUP) + 1)
+    )
+    rows = (
+        placed.join(long, prefix)
+        .withColumn("tile", F.floor((F.col("block") - F.col("first")) / GROUP))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+        .withColumns({"low": F.least("tile", "with"), "high": F.greatest("tile", "with")})
+        .select(*prefix, "low", "high", "tile", "node")
+        .join(classes.select("node", "vector"), "node")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        tile = group.column("tile").to_numpy()
+        low, high = (group.column(c)[0].as_py() for c in ("low", "high"))
+        unit = _unit(group.column("vector").to_pylist())
+        one, other = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
+        found = []
+        for a in range(0, len(one), BLOCK):
+            for b in range(a if low == high else 0, len(other), BLOCK):
+                some, rest = one[a : a + BLOCK], other[b : b + BLOCK]
+                found.append(spanning(_linked(unit[some], unit[rest], threshold), some, rest))
+        return _as_links(group.column("node").combine_chunks(), found)
+
+    found = rows.groupBy(*prefix, "low", "high").applyInArrow(compare, "node binary, other binary")
+    return found.distinct()
+
+
 def link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """node, links: rows linked with each class; ``members`` has component, node, size, copies, vector."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / (GROUP * BLOCK)).cast("int").alias("blocks"))
     at = ["part", "low", "high"]
     placed = (
         members.join(sizes, "component")
@@ -210,16 +259,16 @@ def link_counts(members: DataFrame, threshold: float) -> DataFrame:
                     one, other = some[block[some] == low[a]], some[block[some] == high[a]]
                     if len(one) == 0 or len(other) == 0:
                         continue
-                    linked = _linked(
-                        _unit([vectors[i] for i in one.tolist()]),
-                        _unit([vectors[i] for i in other.tolist()]),
-                        threshold,
-                    )
-                    if low[a] == high[a]:
-                        np.fill_diagonal(linked, False)
-                    else:
-                        found[other] += copies[one] @ linked
-                    found[one] += linked @ copies[other]
+                    first_unit = _unit([vectors[i] for i in one.tolist()])
+                    unit = _unit([vectors[i] for i in other.tolist()])
+                    for start in range(0, len(one), BLOCK):
+                        part = one[start : start + BLOCK]
+                        linked = _linked(first_unit[start : start + BLOCK], unit, threshold)
+                        if low[a] == high[a]:
+                            linked[np.arange(len(part)), np.arange(start, start + len(part))] = False
+                        else:
+                            found[other] += copies[part] @ linked
+                        found[part] += linked @ copies[other]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("node").combine_chunks(), pa.array(found)], names=["node", "links"]
             )
@@ -244,8 +293,9 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
         )
     )
     classes = staged(classes, "vector-classes")
-    passes = passes_needed(classes.count(), threshold)
-    links = window_links(blocked(sort_keys(classes, passes)), classes, threshold)
+    n = classes.count()
+    placed = staged(blocked(sort_keys(classes, passes_needed(n, threshold)), prefix_bits(n)), "vector-blocks")
+    links = window_links(placed, classes, threshold).unionByName(prefix_links(placed, classes, threshold))
     found = components(links)
     counts = link_counts(classes.join(found, "node"), threshold)
     of = (

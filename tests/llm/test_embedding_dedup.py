@@ -54,6 +54,38 @@ def test_equal_to_brute_force(spark, monkeypatch, block):
     check(spark, groups(3, 12, 18, 0.12))
 
 
+@pytest.mark.parametrize("mutual", [0.88, 0.93])
+def test_pairs_in_a_dense_group_are_found(spark, monkeypatch, mutual):
+    """A third of all vectors in one group, in it pairs at 0.955; most are no links but those pairs."""
+    monkeypatch.setattr(X, "BLOCK", 32)
+    draw = np.random.default_rng(8)
+    length, pairs = 256, 700
+
+    def units(n):
+        rows = draw.standard_normal((n, length))
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    centre = units(1)
+    one = mutual**0.5 * centre + (1 - mutual) ** 0.5 * units(pairs)
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    away = units(pairs)
+    away -= (away * one).sum(axis=1, keepdims=True) * one
+    # The step to the other vector of the pair stays in the group.
+    away -= ((away * centre).sum(axis=1) / (1 - (one * centre).sum(axis=1) ** 2))[:, None] * (
+        centre - (one * centre).sum(axis=1, keepdims=True) * one
+    )
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    other = 0.955 * one + (1 - 0.955**2) ** 0.5 * away
+    rows = np.concatenate([one, other, units(4 * pairs)])
+    data = [(i, v.tolist()) for i, v in enumerate(rows)]
+    found = {r.vec_id: r.component_id for r in X.near_vectors(spark.createDataFrame(data, FIELDS)).collect()}
+    assert sum(found[i] == found[i + pairs] for i in range(pairs)) >= 0.99 * pairs
+    linked = np.triu(rows @ rows.T >= 0.95, 1)
+    missed = [(x, y) for x, y in zip(*np.nonzero(linked), strict=True) if found[x] != found[y]]
+    assert len(missed) <= 0.01 * linked.sum()
+    assert linked.sum() < 3 * pairs
+
+
 def test_special_vectors(spark):
     check(
         spark,
