@@ -54,6 +54,42 @@ def test_every_known_text_finds_itself(make_docs):
     assert [(i, n) for i, s, _, n in got if s == "text"] == [(i, n) for i, (n, _) in enumerate(FULL_TEXTS)]
 
 
+def test_any_copyright_line_is_left_out(make_docs):
+    lines = [
+        "Copyright (c) Some Company.",
+        "Copyright (c) <year> <copyright holders>",
+        "Copyright (c) John Doe 2020",
+        "Copyright Jane Doe",
+        "Copyright: 2020 X",
+        "(c) Copyright 2020 X",
+        "(C) 2020 X",
+        "\u00a9 Jane Doe",
+        " * COPYRIGHT 1999-2020 The Authors. All rights reserved.",
+        "Copyright The Authors\nCopyright (c) 2021 Others",
+    ]
+    known = (FULL_TEXTS * 2)[: len(lines)]
+    got = found(make_docs([f"{line}\n\n{text}" for line, (_, text) in zip(lines, known, strict=True)]))
+    assert [(i, n) for i, s, _, n in got if s == "text"] == [(i, n) for i, (n, _) in enumerate(known)]
+
+
+def test_wrapped_licence_sentences_stay(make_docs):
+    words = [text.split() for _, text in FULL_TEXTS]
+    wrapped = [re.sub(r" (copyright\b)", r"\n\1", " ".join(w), flags=re.I) for w in words]
+    assert any(line.lower().startswith("copyright") for text in wrapped for line in text.split("\n"))
+    got = found(make_docs(wrapped))
+    assert [(i, n) for i, s, _, n in got if s == "text"] == [(i, n) for i, (n, _) in enumerate(FULL_TEXTS)]
+
+
+def test_further_texts_from_a_table(spark, make_docs):
+    own = "You may use this for any purpose.\n\n(c) You must retain this list.\n"
+    texts = spark.createDataFrame(
+        [("Own-1.0", own), ("None-1.0", None), ("Empty-1.0", " .\n")], "license string, text string"
+    )
+    docs = make_docs(["Copyright Someone\n" + own.upper(), "", None, own.replace("retain", "keep"), FULL_TEXTS[0][1]])
+    got = sorted((r.doc_id, r.scope, r.license) for r in L.license_matches(docs, texts).collect())
+    assert got == [(0, "text", "Own-1.0"), (4, "text", "MIT")]
+
+
 def test_plan_has_no_python_and_no_shuffle_of_texts(make_docs):
     plan = L.license_matches(make_docs(["a"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
