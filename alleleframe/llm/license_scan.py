@@ -21,6 +21,8 @@ empty result.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,13 +58,9 @@ def known(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
     the long licences; rows without a text or with an empty one add nothing.
     """
     rows = [("text", *x) for x in FULL_TEXTS] + [("line", *x) for x in notices()]
-    entries = F.array(
-        *[
-            F.struct(F.lit(scope).alias("known_scope"), F.lit(name).alias("license"), F.lit(text).alias("text"))
-            for scope, name, text in rows
-        ]
-    )
-    listed = spark.range(1).select(F.explode(entries).alias("entry")).select("entry.*")
+    entries = F.from_json(F.lit(json.dumps(rows)), "array<array<string>>")
+    listed = spark.range(1).select(F.explode(entries).alias("entry"))
+    listed = listed.selectExpr("entry[0] AS known_scope", "entry[1] AS license", "entry[2] AS text")
     if texts is not None:
         more = texts.where(canonical(F.col("text")).rlike(r"[^ \n]"))
         listed = listed.unionByName(more.select(F.lit("text").alias("known_scope"), "license", "text"))
