@@ -102,17 +102,17 @@ def inflated(member: bytes) -> bytes:
 def members(file: BinaryIO, at: int) -> Iterator[tuple[int, bytes]]:
     """Offsets and bytes of the members from ``at`` on."""
     file.seek(at)
-    held = b""
+    held, used = b"", 0
     while True:
-        if len(held) < _LARGEST:
-            held += file.read(16 * _LARGEST)
-        if not held:
+        if len(held) - used < _LARGEST:
+            held, used = held[used:] + file.read(16 * _LARGEST), 0
+        if used == len(held):
             return
-        length = member_size(held[:64])
-        if not length or length > len(held):
+        length = member_size(held[used : used + 64])
+        if not length or length > len(held) - used:
             raise ValueError(f"no whole block-gzip member at byte {at}")
-        yield at, inflated(held[:length])
-        at, held = at + length, held[length:]
+        yield at, inflated(held[used : used + length])
+        at, used = at + length, used + length
 
 
 def lines_of_range(file: BinaryIO, start: int, end: int, size: int) -> Iterator[list[bytes]]:

@@ -6,15 +6,21 @@
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import fixed_width_bin
 
+# What runs in tasks travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -185,28 +191,53 @@ _MEMBER = bytes.fromhex("1f8b08040000000000ff060042430200")
 _END = _MEMBER + bytes.fromhex("1b0003000000000000000000")
 
 
-def block_gzip_bytes(data: bytes, size: int = 0xFF00) -> bytes:
-    """``data`` as a block-gzip file with members of ``size`` bytes of text."""
-    found = []
-    for i in range(0, len(data), size):
-        part = data[i : i + size]
+def block_gzip_parts(texts: Iterable[bytes], size: int = 0xFF00) -> Iterator[bytes]:
+    """``texts``, one after the other, as the members of a block-gzip file, ``size`` bytes of text each.
+
+    Holds one of the texts and one member at a time.
+    """
+
+    def member(part: bytes) -> bytes:
         tool = zlib.compressobj(6, zlib.DEFLATED, -15)
         packed = tool.compress(part) + tool.flush()
         length = len(_MEMBER) + 2 + len(packed) + 8
-        found += [_MEMBER, (length - 1).to_bytes(2, "little"), packed]
-        found.append(zlib.crc32(part).to_bytes(4, "little") + len(part).to_bytes(4, "little"))
-    return b"".join(found) + _END
+        sums = zlib.crc32(part).to_bytes(4, "little") + len(part).to_bytes(4, "little")
+        return b"".join([_MEMBER, (length - 1).to_bytes(2, "little"), packed, sums])
+
+    rest = b""
+    for text in texts:
+        data = rest + text
+        whole = len(data) - len(data) % size
+        for i in range(0, whole, size):
+            yield member(data[i : i + size])
+        rest = data[whole:]
+    if rest:
+        yield member(rest)
+    yield _END
+
+
+def block_gzip_bytes(data: bytes, size: int = 0xFF00) -> bytes:
+    """``data`` as a block-gzip file with members of ``size`` bytes of text."""
+    return b"".join(block_gzip_parts([data], size))
 
 
 def write_block_gzip(lines: DataFrame, folder: str, header: list[str], size: int = 0xFF00) -> DataFrame:
-    """One block-gzip file per task with the header and its ``value`` lines; returns ``path``."""
+    """One block-gzip file per task with the header and its ``value`` lines; returns ``path``.
+
+    A task writes batch by batch and names its file when it is whole.
+    """
     os.makedirs(folder, exist_ok=True)
 
+    def text(values: list[str]) -> bytes:
+        return "".join(f"{line}\n" for line in values).encode()
+
     def write(batches):
-        texts = [v for batch in batches for v in batch.column("value").to_pylist()]
-        path = f"{folder}/part-{TaskContext.get().partitionId():05d}.vcf.bgz"
-        with open(path, "wb") as file:
-            file.write(block_gzip_bytes("".join(f"{line}\n" for line in [*header, *texts]).encode(), size))
+        task = TaskContext.get()
+        path = f"{folder}/part-{task.partitionId():05d}.vcf.bgz"
+        texts = chain([header], (batch.column("value").to_pylist() for batch in batches))
+        with open(f"{path}.{task.taskAttemptId()}", "wb") as file:
+            file.writelines(block_gzip_parts(map(text, texts), size))
+        os.replace(file.name, path)
         yield pa.RecordBatch.from_pydict({"path": [path]})
 
     return lines.select("value").mapInArrow(write, "path string")

@@ -143,6 +143,26 @@ def test_ranges_of_a_block_gzip_file_give_every_line_once(tmp_path, size, split)
     assert found == lines
 
 
+@pytest.mark.parametrize("size", [7, 1000, 0xFF00])
+def test_block_gzip_members_are_written_as_texts_come(size):
+    """Not after all texts of a task are held."""
+    texts, taken = [b"%d" % i * 60 for i in range(3000)], []
+    parts = derived.block_gzip_parts((taken.append(0) or x for x in texts), size)
+    first = next(parts)
+    assert len(taken) < 600
+    whole = first + b"".join(parts)
+    assert whole == derived.block_gzip_bytes(b"".join(texts), size)
+    assert gzip.decompress(whole) == b"".join(texts)
+
+
+def test_every_task_names_a_whole_block_gzip_file(spark, tmp_path):
+    lines = spark.range(0, 30000, 1, 3).selectExpr("concat('line ', id) AS value")
+    paths = [r.path for r in derived.write_block_gzip(lines, str(tmp_path), HEADER, 5000).collect()]
+    assert sorted(os.listdir(tmp_path)) == [f"part-{i:05d}.vcf.bgz" for i in range(3)]
+    found = [x for p in sorted(paths) for x in gzip.open(p, "rt").read().splitlines() if not x.startswith("#")]
+    assert found == [f"line {i}" for i in range(30000)]
+
+
 def test_a_last_line_without_its_end(tmp_path):
     (tmp_path / "a.bgz").write_bytes(derived.block_gzip_bytes(b"one\ntwo", 3))
     with open(tmp_path / "a.bgz", "rb") as file:
