@@ -45,6 +45,11 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[quoted(k) for k in keys])
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes a row is taken to have before compression, from its types."""
+    return sum(_VALUE_BYTES.get(kind, 64) for _, kind in df.dtypes)
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None
 ) -> DataFrame | None:
@@ -56,8 +61,7 @@ def hot_keys(
     is none. It only chooses a route for rows, so keys that share a hash do no harm.
     """
     if rows_per_task is None:
-        row = sum(_VALUE_BYTES.get(kind, 64) for _, kind in df.dtypes)
-        rows_per_task = max(1, TASK_BYTES // row)
+        rows_per_task = max(1, TASK_BYTES // row_bytes(df))
     spark = df.sparkSession
     path = scratch_path(spark, "hot-keys")
     (

@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import quoted
-from alleleframe.session import drop_scratch, scratch_path
+from alleleframe.operators.annotate import row_bytes
+from alleleframe.session import drop_scratch, held_settings, scratch_path, setting_bytes
 
 TARGET_FILE_MB = 256
 CODEC = "snappy"
 # Ranges of one clustered write, at most: each may hold several files.
 MOST_RANGES = 30_000
+# Rows that one task of a clustered write sorts or deals out, in bytes before compression.
+RANGE_BYTES = 512 * 1024 * 1024
+# Tasks that deal out rows, at most, unless the session's own splits are more.
+_MOST_SPLITS = 100_000
+# Row groups of a staged copy, encoded: what a split can be as small as.
+_STAGED_GROUP_BYTES = 16 * 1024 * 1024
 _BYTES_PER_MB = 1024 * 1024
 
 
@@ -24,12 +31,16 @@ def write_parquet(
     codec: str = CODEC,
     rows_per_file: int = 0,
     only_own_shards: bool = False,
+    group_bytes: int | None = None,
 ) -> None:
     """Overwrite ``path`` with Parquet files; a task starts a new file after ``rows_per_file`` rows.
 
     ``only_own_shards`` replaces only the ``partition_by`` folders that ``df`` has rows for.
+    ``group_bytes`` bounds the row groups, which a later scan cannot split.
     """
     writer = df.write.mode("overwrite").option("compression", codec)
+    if group_bytes:
+        writer = writer.option("parquet.block.size", group_bytes)
     writer = writer.option("partitionOverwriteMode", "dynamic" if only_own_shards else "static")
     writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
@@ -96,18 +107,41 @@ def target_file_count(total_bytes: int, target_mb: int = TARGET_FILE_MB) -> int:
     return max(int(total_bytes / _BYTES_PER_MB / target_mb), 1)
 
 
-def range_layout(total_bytes: int, rows: int, target_mb: int = TARGET_FILE_MB) -> tuple[int, int]:
+def range_layout(
+    total_bytes: int, rows: int, target_mb: int = TARGET_FILE_MB, bytes_per_row: int = 0
+) -> tuple[int, int]:
     """Number of key ranges and rows per file for files of about ``target_mb``.
 
     One range per file while these are few. Beyond ``MOST_RANGES``, a range holds
     several files, cut by row count, so that a shuffle of 100 TB has some ten
-    thousand reducers, sorted outside of memory, and not one per file.
+    thousand reducers, sorted outside of memory, and not one per file. A range is
+    one task, so rows of ``bytes_per_row`` that compress well are cut into ranges
+    of ``RANGE_BYTES``, and files are smaller than ``target_mb``.
     """
     files = target_file_count(total_bytes, target_mb)
+    needed = min(-(-rows * bytes_per_row // RANGE_BYTES), MOST_RANGES)
     if files <= MOST_RANGES:
-        return files, 0
+        return max(files, needed), 0
     per_range = -(-files // MOST_RANGES)
-    return -(-files // per_range), max(1, rows // files)
+    return max(-(-files // per_range), needed), max(1, rows // files)
+
+
+def split_bytes(total_bytes: int, rows: int, bytes_per_row: int) -> int:
+    """Bytes of files whose rows are ``RANGE_BYTES`` before compression.
+
+    A task that deals rows out to hundreds of ranges holds all rows of its split.
+    """
+    wanted = total_bytes * RANGE_BYTES // max(rows * bytes_per_row, 1)
+    return max(wanted, total_bytes // _MOST_SPLITS, 4 * _BYTES_PER_MB)
+
+
+def clustering(df: DataFrame, target_mb: int = TARGET_FILE_MB) -> tuple[int, int, dict[str, int]]:
+    """Ranges and rows per file for a Parquet scan, and the settings to read it under."""
+    total, rows = scan_size(df)
+    count, rows_per_file = range_layout(total, rows, target_mb, row_bytes(df))
+    name = "spark.sql.files.maxPartitionBytes"
+    split = min(setting_bytes(df.sparkSession, name), split_bytes(total, rows, row_bytes(df)))
+    return count, rows_per_file, {name: split}
 
 
 def cluster_files(df: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
@@ -146,7 +180,7 @@ def replace_shards(
     spark = df.sparkSession
     staged = scratch_path(spark, "stage")
     try:
-        write_parquet(df, staged, codec=codec)
+        write_parquet(df, staged, codec=codec, group_bytes=_STAGED_GROUP_BYTES)
         copy = spark.read.parquet(staged)
         if shards is not None:
             # One row per folder.
@@ -154,9 +188,10 @@ def replace_shards(
             others = found - {tuple(s) for s in shards}
             if others:
                 raise ValueError(f"rows of shards that are not to be replaced: {sorted(others, key=repr)}")
-        count, rows_per_file = range_layout(*scan_size(copy), target_mb)
+        count, rows_per_file, settings = clustering(copy, target_mb)
         clustered = cluster_files(copy, [*partition_by, *keys], count)
-        write_parquet(clustered, path, partition_by, codec, rows_per_file, only_own_shards=True)
+        with held_settings(spark, settings):
+            write_parquet(clustered, path, partition_by, codec, rows_per_file, only_own_shards=True)
         return spark.read.parquet(path)
     finally:
         drop_scratch(spark, staged)
@@ -173,6 +208,7 @@ def write_clustered(
 ) -> DataFrame:
     """Write ``df`` clustered by ``keys`` into files of about ``target_mb``.
 
+    Files are smaller where their rows would be more than a task should sort.
     ``df`` is first written once, unsorted, to the shared scratch folder. This
     gives the compressed size that sets the file count, and it keeps the
     sampling pass of the range partitioning from running the parse or join
@@ -182,13 +218,15 @@ def write_clustered(
     spark = df.sparkSession
     staged = scratch_path(spark, "stage")
     try:
-        write_parquet(df, staged, codec=codec)
+        write_parquet(df, staged, codec=codec, group_bytes=_STAGED_GROUP_BYTES)
         copy = spark.read.parquet(staged)
-        count, rows_per_file = range_layout(*scan_size(copy), target_mb)
+        count, rows_per_file, settings = clustering(copy, target_mb)
         clustered = cluster_files(copy, keys, count)
-        if table:
-            return save_external_table(clustered, table, path, partition_by, codec, rows_per_file)
-        write_parquet(clustered, path, partition_by, codec, rows_per_file)
-        return spark.read.parquet(path)
+        with held_settings(spark, settings):
+            if table:
+                save_external_table(clustered, table, path, partition_by, codec, rows_per_file)
+            else:
+                write_parquet(clustered, path, partition_by, codec, rows_per_file)
+        return spark.read.table(table) if table else spark.read.parquet(path)
     finally:
         drop_scratch(spark, staged)
