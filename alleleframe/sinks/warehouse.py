@@ -11,13 +11,12 @@ from pyspark.sql import types as T
 
 from alleleframe.functions.columns import quoted
 from alleleframe.operators.filters import MAX_TEXT_LENGTH
-from alleleframe.session import delete_folder
+from alleleframe.session import delete_folder, held_settings
 from alleleframe.sinks.statistics import collect_statistics, column_statistics
 from alleleframe.sinks.storage import (
     TARGET_FILE_MB,
     cluster_files,
-    range_layout,
-    scan_size,
+    clustering,
     table_detail,
 )
 
@@ -112,28 +111,25 @@ def create_typed_table(
     then the names are switched and the old load's files deleted. Spark checks
     each value against its width on write and raises if it is too long; a load
     that fails leaves the old table as it was. With ``keys``, ``df`` must be a
-    Parquet scan; files are then clustered by them, with about ``target_mb`` each.
+    Parquet scan; files are then clustered by them, with about ``target_mb`` each
+    or as many rows as a task should sort.
     """
     spark = df.sparkSession
     columns = ", ".join(
         f"`{name}` {'DOUBLE' if kind == 'FLOAT8' else kind}"
         for name, kind in warehouse_types(df, widths).items()
     )
-    rows, rows_per_file = df, 0
+    rows, rows_per_file, settings = df, 0, {}
     if keys:
-        count, rows_per_file = range_layout(*scan_size(df), target_mb)
+        count, rows_per_file, settings = clustering(df, target_mb)
         rows = cluster_files(df, keys, count)
     load = uuid.uuid4().hex[:12]
     fresh, folder = f"{table}_load_{load}", f"{path.rstrip('/')}/load-{load}"
     spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet LOCATION '{folder}'")
     try:
-        # insertInto takes no such option for the files of a catalog table, but the setting holds.
-        before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", str(rows_per_file))
-        try:
+        # insertInto takes no option for the files of a catalog table, but the setting holds.
+        with held_settings(spark, settings | {"spark.sql.files.maxRecordsPerFile": rows_per_file}):
             rows.write.insertInto(fresh, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.files.maxRecordsPerFile", before)
         if accept:
             accept(fresh)
         old = swap_table(spark, fresh, table)

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from alleleframe.operators.annotate import merge_annotations
+from alleleframe.session import held_settings
 from alleleframe.sinks import bucketed, statistics, storage, warehouse
 from alleleframe.sinks.statistics import collect_statistics, column_statistics
 
@@ -271,6 +272,38 @@ def test_one_range_holds_several_sorted_files(spark, tmp_path, monkeypatch):
         assert keys == sorted(keys)
 
 
+def test_rows_that_compress_well_are_cut_into_ranges_a_task_sorts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "RANGE_BYTES", 100_000, raising=False)
+    df = spark.range(20000).selectExpr("20000 - id AS k", "'same' AS v")  # 40 bytes a row
+    written = storage.write_clustered(df, str(tmp_path / "out"), ["k"])
+    assert rows(written) == rows(df)
+    assert len([f for f in os.listdir(tmp_path / "out") if f.endswith(".parquet")]) == 8
+    storage.write_parquet(df, str(tmp_path / "source"))
+    loaded = warehouse.load_checked(spark, str(tmp_path / "source"), "t_ranges", str(tmp_path / "t"), ["k"])
+    assert rows(loaded) == rows(df)
+    (load,) = os.listdir(tmp_path / "t")
+    assert len([f for f in os.listdir(tmp_path / "t" / load) if f.endswith(".parquet")]) == 8
+
+
+def test_tasks_that_deal_out_rows_read_splits_of_bounded_rows(spark, tmp_path, monkeypatch):
+    mb, name = 2**20, "spark.sql.files.maxPartitionBytes"
+    assert storage.split_bytes(100 * mb, 4 * mb, 512) == 25 * mb
+    assert storage.split_bytes(100 << 40, 10**12, 500) == (100 << 40) // 100_000
+    assert storage.split_bytes(0, 0, 8) == 4 * mb
+    path = str(tmp_path / "p")
+    df = spark.range(0, 600_000, 1, 1).selectExpr("id AS k", "xxhash64(id) AS a", "xxhash64(id + 1) AS b")
+    storage.write_parquet(df, path, codec="none", group_bytes=mb)
+    source, before = spark.read.parquet(path), spark.conf.get(name)
+    monkeypatch.setattr(storage, "RANGE_BYTES", 4 * mb)
+    # 24 bytes a row, hardly compressed: the smallest split is also that of RANGE_BYTES.
+    count, _, settings = storage.clustering(source)
+    assert count == 4 and 4 * mb <= settings[name] < 6 * mb
+    with held_settings(spark, settings):
+        parts = spark.read.parquet(path).rdd.glom().map(len).collect()
+    assert sum(parts) == 600_000 and max(parts) < 300_000
+    assert spark.conf.get(name) == before
+
+
 def test_typed_table_checks_widths(spark, tmp_path):
     df = spark.createDataFrame([("abc", None, 1.5, 2, True)], "s string, n string, d double, i bigint, b boolean")
     assert warehouse.warehouse_types(df) == {
