@@ -77,6 +77,11 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
+def broadcast_if_few(hot: DataFrame) -> DataFrame:
+    """Key hashes, marked to be broadcast unless they are more than an executor should hold."""
+    return F.broadcast(hot) if hot.count() <= _BROADCAST_KEYS else hot
+
+
 def left_join_on_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
 ) -> DataFrame:
@@ -96,7 +101,7 @@ def left_join_on_keys(
     if hot is None:
         return left.join(right, keys, "left")
 
-    listed = F.broadcast(hot) if hot.count() <= _BROADCAST_KEYS else hot
+    listed = broadcast_if_few(hot)
 
     def routed(df: DataFrame, kind: str) -> DataFrame:
         return df.withColumn("_hash", key_hash(keys)).join(listed, "_hash", kind).drop("_hash")

@@ -15,8 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import quoted
-from alleleframe.operators.annotate import hot_keys, key_hash, merge_annotations
+from alleleframe.operators.annotate import (
+    broadcast_if_few,
+    hot_keys,
+    key_hash,
+    merge_annotations,
+    row_bytes,
+)
 from alleleframe.operators.reshape import MERGE_KEYS, VARIANT_KEYS
+from alleleframe.session import drop_scratch, scratch_path
+from alleleframe.sinks import storage
 from alleleframe.sinks.storage import CODEC, target_file_count
 
 _HOT = "_hot"
@@ -27,6 +35,13 @@ def bucket_count(total_bytes: int, target_mb: int = 256) -> int:
     return 1 << (target_file_count(total_bytes, target_mb) - 1).bit_length()
 
 
+def buckets_for(df: DataFrame, rows: int, least: int) -> int:
+    """At least ``least`` buckets: doubled until one task can sort the rows of each."""
+    while least * storage.RANGE_BYTES < rows * row_bytes(df):
+        least *= 2
+    return least
+
+
 def write_bucketed(
     df: DataFrame,
     table: str,
@@ -42,7 +57,7 @@ def write_bucketed(
     go to ``<table>_hot``, which is always written. With ``path`` both tables are
     external.
     """
-    listed = None if hot is None else F.broadcast(hot)
+    listed = None if hot is None else broadcast_if_few(hot)
     hashed = df.withColumn("_hash", key_hash(keys))
     cold = df if hot is None else hashed.join(listed, "_hash", "left_anti").drop("_hash")
     rest = df.limit(0) if hot is None else hashed.join(listed, "_hash", "left_semi").drop("_hash")
@@ -65,10 +80,21 @@ def bucket_variants(
     """Write variants and annotations as a pair of tables that join without a shuffle.
 
     Hot keys are those of the annotations; both tables leave out the same ones.
+    ``buckets`` is the least number; large tables get more, see ``buckets_for``.
+    Annotations are staged first, as they are read three times: for the hot keys,
+    the rows of these and all others.
     """
-    hot = hot_keys(annotations, MERGE_KEYS, rows_per_task)
-    write_bucketed(variants, tables[0], VARIANT_KEYS, buckets, hot)
-    write_bucketed(annotations, tables[1], MERGE_KEYS, buckets, hot)
+    spark = variants.sparkSession
+    staged = scratch_path(spark, "stage")
+    try:
+        storage.write_parquet(annotations, staged)
+        notes = spark.read.parquet(staged)
+        hot = hot_keys(notes, MERGE_KEYS, rows_per_task)
+        buckets = buckets_for(variants, variants.count(), buckets_for(notes, notes.count(), buckets))
+        write_bucketed(variants, tables[0], VARIANT_KEYS, buckets, hot)
+        write_bucketed(notes, tables[1], MERGE_KEYS, buckets, hot)
+    finally:
+        drop_scratch(spark, staged)
 
 
 def merge_bucketed(spark: SparkSession, variants: str, annotations: str) -> DataFrame:

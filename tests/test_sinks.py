@@ -218,6 +218,34 @@ def test_hot_keys_are_kept_out_of_buckets(spark):
     assert rows(joined) == rows(plain)
 
 
+def test_large_tables_get_more_buckets_and_annotations_are_derived_once(spark, monkeypatch):
+    """140 bytes a row: 3000 rows are five tasks of 100 kB."""
+    monkeypatch.setattr(storage, "RANGE_BYTES", 100_000)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = spark.range(3000).selectExpr(
+        "concat('chr', id % 5) AS chromosome", "id AS start_position", "'A' AS refallele",
+        "'T' AS altallele", "sha1(string(id)) AS genename",
+    )
+    right = found.mapInArrow(counted, found.schema)
+    left = spark.range(3000).selectExpr(
+        "concat('chr', id % 5) AS contigName", "id AS start", "'A' AS referenceAllele",
+        "'T' AS alternateAllele", "'PASS' AS filters", "id / 3000 AS INFO_AF",
+    )
+    bucketed.bucket_variants(left, right, ("bv_more", "ba_more"), 2)
+    assert seen.value == 3000
+    for name in ("bv_more", "ba_more"):
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert described["Num Buckets"] == "8"
+    joined = bucketed.merge_bucketed(spark, "bv_more", "ba_more")
+    assert rows(joined) == rows(merge_annotations(left, found))
+
+
 def test_buckets_are_a_power_of_two():
     assert [bucketed.bucket_count(mb * 2**20) for mb in (1, 256, 600, 1025, 10**8)] == [1, 1, 2, 4, 524288]
 
