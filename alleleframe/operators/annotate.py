@@ -26,6 +26,8 @@ TASK_BYTES = 256 * 1024 * 1024
 # Key hashes, 8 bytes each, that every executor may hold to route rows without a shuffle. At
 # TASK_BYTES per key, 250 TB of rows have fewer hot keys.
 _BROADCAST_KEYS = 1_000_000
+# Groups of key hashes that are counted before single keys are: a small table in every task.
+_COUNT_BUCKETS = 65_536
 # Bytes a value is taken to have, by type; others count as 64.
 _VALUE_BYTES = {"boolean": 1, "int": 4, "float": 4, "bigint": 8, "double": 8, "string": 32}
 
@@ -55,26 +57,30 @@ def hot_keys(
 ) -> DataFrame | None:
     """Hashes (``_hash``) of the keys that hold more rows than one task should join.
 
-    By default that is ``TASK_BYTES`` of rows of ``df``. Group counts of the
-    8-byte key hash, with partial counts before the shuffle; the result is kept
-    in the shared folder as a table, of any number of keys, and is None if there
-    is none. It only chooses a route for rows, so keys that share a hash do no harm.
+    By default that is ``TASK_BYTES`` of rows of ``df``. Rows are first counted
+    per bucket of hashes, which shuffles next to nothing; only in buckets with
+    more rows than that can a key have as many, and only there are single hashes
+    counted. The result is kept in the shared folder as a table, of any number of
+    keys, and is None if there is none. It only chooses a route for rows, so keys
+    that share a hash do no harm.
     """
     if rows_per_task is None:
         rows_per_task = max(1, TASK_BYTES // row_bytes(df))
     spark = df.sparkSession
-    path = scratch_path(spark, "hot-keys")
-    (
-        df.select(*map(quoted, keys))
-        .dropna()
-        .groupBy(key_hash(keys).alias("_hash"))
-        .count()
-        .filter(F.col("count") > rows_per_task)
-        .select("_hash")
-        .write.parquet(path)
-    )
-    hot = spark.read.schema("_hash bigint").parquet(path)
-    return None if hot.isEmpty() else hot
+    hashes = df.select(*map(quoted, keys)).dropna().select(key_hash(keys).alias("_hash"))
+    hashes = hashes.withColumn("_bucket", F.pmod("_hash", F.lit(_COUNT_BUCKETS)))
+
+    def frequent(rows: DataFrame, column: str) -> DataFrame | None:
+        path = scratch_path(spark, "hot-keys")
+        counts = rows.groupBy(column).count()
+        counts.filter(F.col("count") > rows_per_task).select(column).write.parquet(path)
+        found = spark.read.schema(f"{column} bigint").parquet(path)
+        return None if found.isEmpty() else found
+
+    full = frequent(hashes, "_bucket")
+    if full is None:
+        return None
+    return frequent(hashes.join(F.broadcast(full), "_bucket", "left_semi"), "_hash")
 
 
 def broadcast_if_few(hot: DataFrame) -> DataFrame:

@@ -37,6 +37,18 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     return df.select(*plain, *fields)
 
 
+def _explode(df: DataFrame, kept: Sequence[str], alternates: str, name: str) -> DataFrame:
+    """One row per element of ``alternates`` with its ``_index``; none for a NULL or empty array.
+
+    The plain generator would have Spark filter on the array's size below it, which
+    splits every text line again for each condition.
+    """
+    exploded = df.select(
+        *[quoted(c) for c in kept], F.posexplode_outer(quoted(alternates)).alias("_index", name)
+    )
+    return exploded.filter(F.col("_index").isNotNull())
+
+
 def explode_alternates(
     df: DataFrame,
     alternates: str = "alternateAlleles",
@@ -54,9 +66,7 @@ def explode_alternates(
     if align is not None:
         arrays &= set(align)
     kept = [c for c in df.columns if c != alternates]
-    exploded = df.select(
-        *[quoted(c) for c in kept], F.posexplode(quoted(alternates)).alias("_index", name)
-    )
+    exploded = _explode(df, kept, alternates, name)
     return exploded.select(
         *[F.get(quoted(c), F.col("_index")).alias(c) if c in arrays else quoted(c) for c in kept],
         quoted(name),
@@ -98,9 +108,7 @@ def explode_by_number(
     arrays = {f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)} - {alternates}
     kinds = {c: n for c, n in numbers.items() if c in arrays and n in ("A", "R", "G")}
     kept = [c for c in df.columns if c != alternates]
-    exploded = df.select(
-        *[quoted(c) for c in kept], F.posexplode(quoted(alternates)).alias("_index", name)
-    )
+    exploded = _explode(df, kept, alternates, name)
     index = F.col("_index")
     return exploded.select(
         *[_of_allele(quoted(c), index, kinds[c]).alias(c) if c in kinds else quoted(c) for c in kept],

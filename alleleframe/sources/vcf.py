@@ -24,6 +24,9 @@ SPARK_TYPES = {
     "Character": "string",
 }
 
+# Declared fields up to which each is looked up in the INFO text by itself.
+_MOST_LOOKUPS = 16
+
 _ATTRIBUTE = re.compile(r"[<,](ID|Number|Type)=([^,>]+)")
 
 
@@ -109,6 +112,18 @@ def _info_as_json(info: Column) -> Column:
     return F.concat(F.lit("{"), F.rtrim(members, F.lit(",")), F.lit("}"))
 
 
+def _lookup(entries: Column, name: str) -> Column:
+    """Text of one field of ``;A=1;B;``; empty if it has no value, NULL if it is absent.
+
+    The last entry of that name wins. Only a name that also stands without ``=``
+    needs a pattern to tell which entry is last.
+    """
+    mark, bare = F.lit(f";{name}="), F.lit(f";{name};")
+    last = F.substring_index(F.substring_index(entries, f";{name}=", -1), ";", 1)
+    either = F.regexp_extract(entries, rf"(?s).*;\Q{name}\E(?:=([^;]*+))?;", 1)
+    return F.when(F.contains(entries, bare), either).when(F.contains(entries, mark), last)
+
+
 def _typed(raw: Column, field: InfoField) -> Column:
     if field.is_flag:
         return raw.isNotNull()
@@ -118,8 +133,10 @@ def _typed(raw: Column, field: InfoField) -> Column:
         parts = F.split(raw, ",")
         if spark_type == "string":
             return F.transform(parts, missing_as_null)
-        return F.transform(parts, lambda text: text.try_cast(spark_type))
-    return missing_as_null(raw) if spark_type == "string" else raw.try_cast(spark_type)
+        # Text that is no number costs an exception when cast, so the common missing mark is not.
+        missing = F.array(F.lit(None).cast(spark_type))
+        return F.when(raw == ".", missing).otherwise(parts.try_cast(f"array<{spark_type}>"))
+    return missing_as_null(raw) if spark_type == "string" else missing_as_null(raw).try_cast(spark_type)
 
 
 def _list_or_null(text: Column, separator: str) -> Column:
@@ -147,11 +164,18 @@ def parse_vcf_lines(
         _list_or_null(part(2), ";").alias("names"),
         part(3).alias("referenceAllele"),
         _list_or_null(part(4), ",").alias("alternateAlleles"),
-        part(5).try_cast("double").alias("qual"),
+        F.nullif(part(5), F.lit(".")).try_cast("double").alias("qual"),
         _list_or_null(part(6), ";").alias("filters"),
     ]
     if not fields:
         return records.select(*columns)
+    if len(fields) <= _MOST_LOOKUPS:
+        entries = F.concat(F.lit(";"), part(7), F.lit(";")).alias("_entries")
+        found = records.select(*columns, entries)
+        texts = [_lookup(F.col("_entries"), f.name).alias(f"_raw{i}") for i, f in enumerate(fields)]
+        found = found.select(*found.columns[:-1], *texts)
+        info = F.struct(*[_typed(F.col(f"_raw{i}"), f).alias(f.name) for i, f in enumerate(fields)])
+        return found.select(*found.columns[: len(columns)], info.alias("INFO"))
     options = {"allowUnquotedControlChars": "true", "mode": "FAILFAST"}
     parsed = F.from_json(_info_as_json(part(7)), text_schema, options)
     raw = F.col("_info")

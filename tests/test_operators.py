@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from alleleframe.functions.columns import duration_text, fixed_width_bin, pairwise_divergence
-from alleleframe.operators import analytics
+from alleleframe.operators import analytics, annotate
 from alleleframe.operators.annotate import (
     hot_keys,
     left_join_on_keys,
@@ -303,3 +303,16 @@ def test_overview_keeps_values_that_only_one_direction_lists(spark):
     assert up == [("rare0", 5), ("rare2", 5), ("rare4", 5), ("rare1", 4), ("rare3", 4), ("rare5", 4)]
     assert analytics.report_of(overview, "label").count() == 25
     assert analytics.report_of(overview, "label", "down").count() == 25
+
+
+def test_even_keys_are_not_shuffled_to_find_hot_ones(spark, monkeypatch):
+    """Only buckets with more rows than a task should join have their keys counted."""
+    monkeypatch.setattr(annotate, "_COUNT_BUCKETS", 16)
+    even = spark.range(8000).withColumn("k", F.col("id") % 4000)
+    written = []
+    plain = annotate.scratch_path
+    monkeypatch.setattr(annotate, "scratch_path", lambda *a: written.append(plain(*a)) or written[-1])
+    assert hot_keys(even, ["k"], rows_per_task=2000) is None and len(written) == 1
+    mixed = even.withColumn("k", F.when(F.col("id") % 4 == 0, 7).otherwise(F.col("k")))
+    hot = hot_keys(mixed, ["k"], rows_per_task=1500)
+    assert [tuple(r) for r in hot.collect()] == [tuple(spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first())]

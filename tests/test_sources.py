@@ -312,3 +312,35 @@ def test_genes(spark, tmp_path):
     with pytest.raises(ValueError, match="keep_nulls"):
         genes_from_tsv(spark, str(marked), null_value=".", keep_nulls=False)
     assert genes_from_tsv(spark, str(tmp_path / "g.tsv")).columns == ["Gene_name", "Gene_full"]
+
+
+def test_few_info_fields_read_like_many(spark, tmp_path, monkeypatch):
+    """A field looked up by itself has the value the whole INFO text as JSON gives it."""
+    header = [
+        "##fileformat=VCFv4.2",
+        "##INFO=<ID=AF,Number=A,Type=Float>",
+        "##INFO=<ID=F,Number=1,Type=Float>",
+        "##INFO=<ID=N,Number=.,Type=Integer>",
+        "##INFO=<ID=S,Number=1,Type=String>",
+        "##INFO=<ID=T.x,Number=.,Type=String>",
+        "##INFO=<ID=DB,Number=0,Type=Flag>",
+    ]
+    entries = ["AF=.", "AF=0.1,.", "AF=1", "AF", "AF=", "=AF=2", "XAF=9", "F=.", "F=x", "F=2", "N=1,x,.", "N=."]
+    entries += ["S=a=b", "S", 'S="\\é', "S=.", "T.x=a,.", "Tzx=1", "T.x", "DB", "DB=1", "DBX", "af=3", "", "=", "S=a,"]
+    draw = random.Random(5)
+    infos = [".", "", *entries, *(";".join(draw.choices(entries, k=draw.randint(1, 6))) for _ in range(400))]
+    records = [f"chr1\t{i}\t.\tA\tT\t.\tPASS\t{info}" for i, info in enumerate(infos)] + ["chr1\t9999\t.\tA\tT\t.\tPASS"]
+    path = write_vcf(tmp_path / "a.vcf", records, header)
+    few = vcf.read_vcf(spark, path)
+    assert "from_json" not in few._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(vcf, "_MOST_LOOKUPS", 0)
+    many = vcf.read_vcf(spark, path)
+    key = lambda df: sorted((r.start, repr(r.INFO and r.INFO.asDict())) for r in df.collect())
+    assert few.schema == many.schema
+    assert [p for p in zip(key(few), key(many)) if p[0] != p[1]] == []
+
+
+def test_a_line_is_split_once(spark, tmp_path):
+    flat = variants_from_vcf(spark, write_vcf(tmp_path / "a.vcf", RECORDS), header=HEADER)
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 1
